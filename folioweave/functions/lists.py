@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,6 +11,15 @@ from pyspark.sql import functions as F
 STATS = ["HP", "Attack", "Defense", "Sp. Attack", "Sp. Defense", "Speed"]
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once per row.
+
+    A lambda re-evaluates whatever outer expression it mentions for every element, so
+    anything costly that a lambda needs is bound here first.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def at(arr: Column, i: int) -> Column:
     """0-based element, negative from the end, NULL outside."""
     return F.try_element_at(arr, F.lit(i + 1 if i >= 0 else i))
@@ -80,24 +89,23 @@ def stat_vector(items: Column, number_first: bool = True, slots: Sequence[str] =
         slot = F.lit(len(slots))
         for i in range(len(slots) - 1, 0, -1):
             slot = F.when(name.startswith(slots[i - 1]), F.lit(i)).otherwise(slot)
-        return F.struct(
-            slot.alias("slot"), F.regexp_extract(x, pattern, num_grp).try_cast("int").alias("n")
-        )
+        number = F.regexp_extract(x, pattern, num_grp).try_cast("int")
+        return F.struct(slot.alias("slot"), number.alias("n"))
 
     parsed = F.filter(F.transform(items, entry), lambda e: e["n"].isNotNull())
 
-    def pick(k: int) -> Column:
-        hits = F.filter(parsed, lambda e: e["slot"] == k)
+    def pick(found: Column, k: int) -> Column:
+        hits = F.filter(found, lambda e: e["slot"] == k)
         return F.coalesce(at(hits, -1)["n"], F.lit(0))
 
-    return F.array(*[pick(k + 1) for k in range(len(slots))])
+    return let(parsed, lambda found: F.array(*[pick(found, k + 1) for k in range(len(slots))]))
 
 
 def segments_to_map(c: Column, default_key: str = "") -> Column:
     """``A<br>B`` or ``<b>x</b><br>A<br><b>y</b><br>B`` to a map heading -> items.
 
-    Text before the first heading is filed under ``default_key``. Keys keep document
-    order; of repeated headings the last one wins.
+    Text before the first heading is filed under ``default_key``; of repeated headings the
+    last one wins.
     """
     parts = F.split(c, r"(?i)<b>")
 
@@ -109,9 +117,12 @@ def segments_to_map(c: Column, default_key: str = "") -> Column:
         return F.struct(key.alias("key"), items.alias("value"))
 
     entries = F.filter(F.transform(parts, entry), lambda e: F.size(e["value"]) > 0)
-    keys = F.array_distinct(F.transform(entries, lambda e: e["key"]))
 
-    def last_value(k: Column) -> Column:
-        return F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"]
+    def build(found: Column) -> Column:
+        last = F.filter(
+            found,
+            lambda e, i: ~F.exists(F.slice(found, i + 2, F.size(found)), lambda later: later["key"] == e["key"]),
+        )
+        return F.map_from_entries(last)
 
-    return F.map_from_arrays(keys, F.transform(keys, last_value))
+    return let(entries, build)

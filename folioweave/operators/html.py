@@ -18,6 +18,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folioweave.functions.lists import let
+
 NOISE = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
 TOKEN = r"<[^>]*>|[^<]+"
 TAG = r"^<(/?[A-Za-z][A-Za-z0-9]*)"
@@ -154,10 +156,15 @@ def span(nodes: Column, start: Column, stop: Column) -> Column:
     ).otherwise(F.slice(nodes, 1, 0))
 
 
+def after_pos(nodes: Column, pos: Column) -> Column:
+    """Nodes after a position. A slice evaluates the position once, a filter would per node."""
+    return F.slice(nodes, pos + 2, F.size(nodes))
+
+
 def first_pos(nodes: Column, pred: Callable[[Column], Column], after: Column | None = None) -> Column:
     """Position of the first node (after a position) that satisfies the predicate."""
-    test = pred if after is None else (lambda n: pred(n) & (n["pos"] > after))
-    return nth(F.filter(nodes, test), 0)["pos"]
+    rest = nodes if after is None else after_pos(nodes, after)
+    return nth(F.filter(rest, pred), 0)["pos"]
 
 
 def texts(nodes: Column) -> Column:
@@ -179,8 +186,7 @@ def text_after(nodes: Column, tag: str) -> Column:
 
 def section(nodes: Column, start: Callable[[Column], Column], stop: Callable[[Column], Column]) -> Column:
     """Nodes from the first match of ``start`` to the next match of ``stop`` or the page end."""
-    s = first_pos(nodes, start)
-    return span(nodes, s, first_pos(nodes, stop, after=s))
+    return let(first_pos(nodes, start), lambda s: span(nodes, s, first_pos(nodes, stop, after=s)))
 
 
 def next_section(
@@ -191,9 +197,8 @@ def next_section(
     k: int = 1,
 ) -> Column:
     """The k-th section that opens after an anchor, up to its stop or the page end."""
-    a = first_pos(nodes, anchor)
-    s = nth(F.filter(nodes, lambda n: start(n) & (n["pos"] > a)), k - 1)["pos"]
-    return span(nodes, s, first_pos(nodes, stop, after=s))
+    opened = nth(F.filter(after_pos(nodes, first_pos(nodes, anchor)), start), k - 1)["pos"]
+    return let(opened, lambda s: span(nodes, s, first_pos(nodes, stop, after=s)))
 
 
 def every(nodes: Column, start: int = 1, step: int = 1) -> Column:
@@ -253,7 +258,7 @@ def structure(tokens: DataFrame) -> DataFrame:
     """Place every token in its table, row and cell.
 
     Adds ``depth`` (table nesting), ``tbl``/``row``/``cell`` (positions of the opening
-    tokens), ``row_no``/``col_no`` (1-based), ``stop`` (position where an opened table,
+    tokens), ``row_no``/``col_no`` (1-based), ``cell_cls`` (class of the cell), ``stop`` (position where an opened table,
     row or cell ends, NULL at a truncated end) and ``prev`` (tag of the token before).
     Closing ``td``/``tr`` tags are not needed. Two sorts in all: by page, and by page and depth.
     """
@@ -275,6 +280,8 @@ def structure(tokens: DataFrame) -> DataFrame:
         since(is_tbl).alias("tbl"),
         since(is_row).alias("row"),
         since(is_cell).alias("cell"),
+        F.last(F.when(is_cell, F.coalesce(attr(F.col("tok"), "class"), F.lit(""))), ignorenulls=True)
+        .over(level).alias("_cls"),
         seen(is_row).alias("_rows"),
         seen(is_cell).alias("_cells"),
         F.when(tag == "/table", pos).alias("_tbl_stop"),
@@ -303,6 +310,7 @@ def structure(tokens: DataFrame) -> DataFrame:
         F.when(in_cell, F.col("cell")).alias("cell"),
         F.when(in_row, F.col("_rows") - F.col("_rows0")).alias("row_no"),
         F.when(in_cell, F.col("_cells") - F.col("_cells0")).alias("col_no"),
+        F.when(in_cell, F.col("_cls")).alias("cell_cls"),
         "stop",
     )
 
@@ -361,20 +369,29 @@ class Doc:
 
     def own_texts(self, cell: Column) -> Column:
         """Text nodes that are direct children of a cell: not in a nested element or table."""
-        hit = F.filter(
-            self.texts,
-            lambda t: (t["cell"] == cell["pos"])
-            & (t["prev"].startswith("/") | t["prev"].isin("td", "th", "br", "img", "hr", "input")),
-        )
-        return F.transform(hit, lambda t: t["text"])
+
+        def pick(box: Column) -> Column:
+            hit = F.filter(self.texts, lambda t: (t["cell"] == box["pos"]) & self._direct(t))
+            return F.transform(hit, lambda t: t["text"])
+
+        return let(cell, pick)
 
     def all_texts(self, cell: Column) -> Column:
         """Every text node below a cell, nested tables included."""
-        hit = F.filter(self.texts, lambda t: self._inside(t, cell))
-        return F.transform(hit, lambda t: t["text"])
+
+        def pick(box: Column) -> Column:
+            return F.transform(F.filter(self.texts, lambda t: self._inside(t, box)), lambda t: t["text"])
+
+        return let(cell, pick)
 
     def tags_in(self, cell: Column, tag: str) -> Column:
-        return F.filter(self.tags, lambda t: (t["tag"] == tag) & self._inside(t, cell))
+        return let(
+            cell, lambda box: F.filter(self.tags, lambda t: (t["tag"] == tag) & self._inside(t, box))
+        )
+
+    @staticmethod
+    def _direct(t: Column) -> Column:
+        return t["prev"].startswith("/") | t["prev"].isin("td", "th", "br", "img", "hr", "input")
 
     def attr_in(self, cell: Column, tag: str, name: str, starts: str = "") -> Column:
         """Attribute values of a tag below a cell, in document order."""
@@ -395,7 +412,7 @@ class Doc:
         """
 
         def pred(t: Column) -> Column:
-            own = t["prev"].startswith("/") | t["prev"].isin("td", "th", "br")
+            own = self._direct(t)
             tests = {
                 "text": (t["text"] == label) & own,
                 "bold": (t["text"] == label) & (t["prev"] == "b"),

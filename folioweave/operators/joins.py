@@ -12,31 +12,30 @@ from pyspark.sql import functions as F
 def outer_merge_all(frames: Sequence[DataFrame], on: Sequence[str], even_keys: bool = False) -> DataFrame:
     """Full outer merge of several frames on shared keys; repeated keys multiply.
 
-    A full outer join cannot be split when one key holds many rows. Every frame therefore
-    first gets one empty row for each key it lacks; after that plain inner joins give the
-    outer result, and adaptive execution can split a heavy key on either side. The lists of
-    keys are pre-aggregated before they are shuffled. NULL keys match each other.
+    A full outer join cannot be split when one key holds many rows. So one aggregate first
+    notes for every key which frames have it (a bit mask, combined in the map tasks, so a
+    heavy key shrinks to one row per task). Each frame then gets an empty row for every key
+    it lacks, and plain inner joins give the outer result; adaptive execution can split a
+    heavy key on either side of those. NULL keys match each other.
 
     ``even_keys=True`` says that no key is heavy and uses full outer joins directly.
     """
     on = list(on)
     if even_keys:
         return reduce(lambda a, b: a.join(b, on, "full_outer"), frames)
-    keys = [f.select(*on).distinct() for f in frames]
-    everything = reduce(DataFrame.unionByName, keys).distinct()
-    whole = []
-    for frame, own in zip(frames, keys):
-        have = own.select(*[F.col(k).alias(f"_{k}") for k in on])
-        cond = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in on])
-        missing = everything.join(have, cond, "left_anti")
-        whole.append(frame.unionByName(missing, allowMissingColumns=True))
+    marked = [f.select(*on, F.lit(1 << i).alias("_mask")) for i, f in enumerate(frames)]
+    present = reduce(DataFrame.unionByName, marked).groupBy(*on).agg(F.bit_or("_mask").alias("_mask"))
+
+    def whole(i: int) -> DataFrame:
+        lacking = present.filter(F.col("_mask").bitwiseAND(F.lit(1 << i)) == 0).select(*on)
+        return frames[i].unionByName(lacking, allowMissingColumns=True)
 
     def merge(a: DataFrame, b: DataFrame) -> DataFrame:
-        renamed = b.select(*[F.col(c).alias(f"_{c}") if c in on else F.col(c) for c in b.columns])
-        cond = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in on])
-        return a.join(renamed, cond, "inner").drop(*[f"_{k}" for k in on])
+        side = b.select(*[F.col(c).alias(f"_{c}") if c in on else F.col(c) for c in b.columns])
+        same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in on])
+        return a.join(side, same, "inner").drop(*[f"_{k}" for k in on])
 
-    return reduce(merge, whole)
+    return reduce(merge, [whole(i) for i in range(len(frames))])
 
 
 def outer_merge(a: DataFrame, b: DataFrame, on: Sequence[str], even_keys: bool = False) -> DataFrame:

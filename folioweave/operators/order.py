@@ -24,7 +24,11 @@ def sort_by_base_key(df: DataFrame, base_key: str, form_index: str, tie: Sequenc
     return sort_by(df, [base_key, form_index], tie)
 
 
+def mixed_class(num: Column, raw: Column) -> Column:
+    """0 for numbers, 1 for text, 2 for NULL."""
+    return F.when(raw.isNull(), F.lit(2)).when(num.isNull(), F.lit(1)).otherwise(F.lit(0))
+
+
 def mixed_order(num: Column, raw: Column) -> list[Column]:
     """Sort columns for a number-or-text value: numbers, then text, then NULL."""
-    cls = F.when(raw.isNull(), F.lit(2)).when(num.isNull(), F.lit(1)).otherwise(F.lit(0))
-    return [cls.asc(), num.asc_nulls_last(), raw.asc_nulls_last()]
+    return [mixed_class(num, raw).asc(), num.asc_nulls_last(), raw.asc_nulls_last()]

@@ -38,11 +38,11 @@ def append_rows(df: DataFrame, rows: Sequence[Mapping[str, object]]) -> DataFram
     """Append literal rows; columns a row does not name stay NULL."""
     if not rows:
         return df
-    schema = df.schema
-    data = [tuple(r.get(f.name) for f in schema) for r in rows]
-    for f in schema:
-        f.nullable = True
-    return df.unionByName(df.sparkSession.createDataFrame(data, schema))
+    def record(row: Mapping[str, object]) -> Column:
+        return F.struct(*[F.lit(row.get(f.name)).cast(f.dataType).alias(f.name) for f in df.schema])
+
+    literal = df.sparkSession.range(0, 1, 1, 1).select(F.inline(F.array(*[record(r) for r in rows])))
+    return df.unionByName(literal)
 
 
 def clone_rows(df: DataFrame, cond: Column, changes: Sequence[Mapping[str, Column | str]],
