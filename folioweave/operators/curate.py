@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folioweave.functions import text as tx
+from folioweave.functions.literals import array_of, sql_list, sql_name, sql_value
 
 Value = str | int | float | None | Column
 
@@ -34,18 +35,20 @@ class Test:
     op: str
     value: object
 
-    def column(self) -> Column:
-        c = F.col(self.col)
+    def sql(self) -> str:
+        c = sql_name(self.col)
+        if self.op == "in":
+            return f"{c} IN ({sql_list(self.value)})"
+        v = sql_value(f"\\A(?:{self.value})" if self.op == "regex" else self.value)
         return {
-            "eq": lambda v: c == v,
-            "in": lambda v: c.isin(*v),
-            "starts": lambda v: c.startswith(v),
-            "ends": lambda v: c.endswith(v),
-            "contains": lambda v: c.contains(v),
-            "regex": lambda v: tx.matches_at_start(c, v),
-            "gt": lambda v: c > v,
-            "lt": lambda v: c < v,
-        }[self.op](self.value)
+            "eq": f"{c} = {v}",
+            "starts": f"startswith({c}, {v})",
+            "ends": f"endswith({c}, {v})",
+            "contains": f"contains({c}, {v})",
+            "regex": f"rlike({c}, {v})",
+            "gt": f"{c} > {v}",
+            "lt": f"{c} < {v}",
+        }[self.op]
 
 
 @dataclass(frozen=True)
@@ -59,8 +62,9 @@ class Rule:
         named = {t.col for t in self.tests}
         return named | {c for c, v in self.set.items() if isinstance(v, Column)}
 
-    def condition(self) -> Column:
-        return _sure(reduce(lambda a, b: a & b, [t.column() for t in self.tests]))
+    def sql(self) -> str:
+        """Condition as SQL; NULL counts as false where it is used, in CASE."""
+        return " AND ".join(t.sql() for t in self.tests)
 
 
 def rule(match: Mapping[str, object], set: Mapping[str, Value]) -> Rule:
@@ -81,13 +85,7 @@ def rule(match: Mapping[str, object], set: Mapping[str, Value]) -> Rule:
 
 def assign_where(df: DataFrame, cond: Column, values: Mapping[str, Value]) -> DataFrame:
     """Set columns where a condition holds, in one projection."""
-    ok = _sure(cond)
-    return df.select(
-        *[
-            F.when(ok, _lit(values[c])).otherwise(F.col(c)).alias(c) if c in values else F.col(c)
-            for c in df.columns
-        ]
-    )
+    return df.withColumns({c: F.when(cond, _lit(v)).otherwise(F.col(c)) for c, v in values.items()})
 
 
 def layers(rules: Iterable[Rule]) -> list[list[Rule]]:
@@ -110,19 +108,19 @@ def apply_rules(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
     whose branches run from the last rule to the first.
     """
     for layer in layers(rules):
-        touched = {c for r in layer for c in r.set}
-        cols = []
-        for c in df.columns:
-            if c not in touched:
-                cols.append(F.col(c))
-                continue
-            expr = None
-            for r in reversed(layer):
-                if c in r.set:
-                    value = _lit(r.set[c])
-                    expr = F.when(r.condition(), value) if expr is None else expr.when(r.condition(), value)
-            cols.append(expr.otherwise(F.col(c)).cast(df.schema[c].dataType).alias(c))
-        df = df.select(*cols)
+        types = {f.name: f.dataType.simpleString() for f in df.schema}
+        changed = {}
+        for c in dict.fromkeys(c for r in layer for c in r.set):
+            mine = [r for r in reversed(layer) if c in r.set]
+            if any(isinstance(r.set[c], Column) for r in mine):
+                expr = F.when(F.expr(mine[0].sql()), _lit(mine[0].set[c]))
+                for r in mine[1:]:
+                    expr = expr.when(F.expr(r.sql()), _lit(r.set[c]))
+                changed[c] = expr.otherwise(F.col(c)).cast(types[c])
+            else:
+                branches = " ".join(f"WHEN {r.sql()} THEN {sql_value(r.set[c])}" for r in mine)
+                changed[c] = F.expr(f"CAST(CASE {branches} ELSE {sql_name(c)} END AS {types[c]})")
+        df = df.withColumns(changed)
     return df
 
 
@@ -151,13 +149,13 @@ def move_conditions(df: DataFrame, moves: Sequence[Move], sources: Sequence[str]
 
 
 def _move_batch(df: DataFrame, batch: Sequence[Move], sources: Sequence[str]) -> DataFrame:
-    env = {c: F.col(c) for c in df.columns}
+    env = {c: sql_name(c) for c in {*sources, *[m.target for m in batch]}}
     for m in batch:
-        flag = reduce(lambda a, b: a | b, [_sure(env[s].contains(m.search)) for s in sources])
-        env[m.target] = F.when(flag, F.lit(m.value)).otherwise(env[m.target])
+        found = " OR ".join(f"contains({env[s]}, {sql_value(m.search)})" for s in sources)
+        env[m.target] = f"CASE WHEN {found} THEN {sql_value(m.value)} ELSE {env[m.target]} END"
         for s in sources:
-            env[s] = F.replace(env[s], F.lit(m.search), F.lit(""))
-    return df.select(*[env[c].alias(c) for c in df.columns])
+            env[s] = f"replace({env[s]}, {sql_value(m.search)}, '')"
+    return df.withColumns({c: F.expr(e) for c, e in env.items()})
 
 
 def move_by_affix(df: DataFrame, source: str, target: str, prefix: str = "", suffix: str = "",
@@ -192,12 +190,8 @@ def route(text: Column, by: Column, branches: Mapping[str, tuple[Sequence[str],
 
 def blank_to_null(df: DataFrame) -> DataFrame:
     """'' to NULL in every string column."""
-    return df.select(
-        *[
-            tx.blank_to_null(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
-            for f in df.schema
-        ]
-    )
+    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    return df.withColumns({c: F.expr(f"nullif({sql_name(c)}, '')") for c in texts})
 
 
 # ---------------------------------------------------------------- filters
@@ -222,7 +216,8 @@ def exclude(df: DataFrame, key: str, keys: Sequence[str] | DataFrame) -> DataFra
     if isinstance(keys, DataFrame):
         only = keys.select(F.col(keys.columns[0]).alias(key)).distinct()
         return df.join(only, key, "left_anti")
-    return df.filter(F.col(key).isNull() | ~F.col(key).isin(*keys))
+    k = sql_name(key)
+    return df.filter(F.expr(f"{k} IS NULL OR {k} NOT IN ({sql_list(keys)})"))
 
 
 def drop_where(df: DataFrame, cond: Column) -> DataFrame:
@@ -244,7 +239,7 @@ def prune_null_columns(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 def rank_of(c: Column, values: Sequence[str]) -> Column:
     """Position of a value in an ordered enumeration (0-based), NULL when unknown."""
-    return F.nullif(F.array_position(F.array(*[F.lit(v) for v in values]), c), F.lit(0)).cast("int") - 1
+    return F.nullif(F.array_position(array_of(values), c), F.lit(0)).cast("int") - 1
 
 
 def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:

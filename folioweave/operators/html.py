@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioweave.functions.lists import let
+from folioweave.functions.literals import sql_list
 
 NOISE = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
 TOKEN = r"<[^>]*>|[^<]+"
@@ -53,7 +54,7 @@ def has_attr(tok: Column, name: str) -> Column:
 
 def unescape(c: Column) -> Column:
     """Named and numeric character references to characters, in one pass."""
-    table = F.create_map(*[F.lit(x) for kv in ENTITIES.items() for x in kv])
+    table = F.expr(f"map({sql_list([x for kv in ENTITIES.items() for x in kv])})")
     runs = F.regexp_extract_all(c, F.lit(r"&#?[A-Za-z0-9]+;|[^&]+|&"), F.lit(0))
 
     def one(r: Column) -> Column:
@@ -260,7 +261,7 @@ def structure(tokens: DataFrame) -> DataFrame:
     Adds ``depth`` (table nesting), ``tbl``/``row``/``cell`` (positions of the opening
     tokens), ``row_no``/``col_no`` (1-based), ``cell_cls`` (class of the cell), ``stop`` (position where an opened table,
     row or cell ends, NULL at a truncated end) and ``prev`` (tag of the token before).
-    Closing ``td``/``tr`` tags are not needed. Two sorts in all: by page, and by page and depth.
+    Missing closing tags do no harm. Two sorts in all: by page, and by page and depth.
     """
     page = Window.partitionBy("page_id").orderBy("pos")
     tokens = depth_of(tokens.withColumn("prev", F.lag("tag").over(page)), "table")
@@ -269,8 +270,11 @@ def structure(tokens: DataFrame) -> DataFrame:
     tag, pos = F.col("tag"), F.col("pos")
     is_tbl, is_row, is_cell = tag == "table", tag == "tr", tag.isin("td", "th")
 
-    def since(flag: Column) -> Column:
-        return F.last(F.when(flag, pos), ignorenulls=True).over(level)
+    def since(flag: Column, closed: Sequence[str] = ()) -> Column:
+        # -1 once a closing tag ends the element, so text between elements has no owner
+        mark = F.when(flag, pos)
+        mark = mark.when(tag.isin(*closed), F.lit(-1)) if closed else mark
+        return F.last(mark, ignorenulls=True).over(level)
 
     def seen(flag: Column) -> Column:
         return F.sum(flag.cast("int")).over(level)
@@ -278,8 +282,8 @@ def structure(tokens: DataFrame) -> DataFrame:
     out = tokens.select(
         "*",
         since(is_tbl).alias("tbl"),
-        since(is_row).alias("row"),
-        since(is_cell).alias("cell"),
+        since(is_row, ["/tr"]).alias("row"),
+        since(is_cell, ["/td", "/th", "/tr"]).alias("cell"),
         F.last(F.when(is_cell, F.coalesce(attr(F.col("tok"), "class"), F.lit(""))), ignorenulls=True)
         .over(level).alias("_cls"),
         seen(is_row).alias("_rows"),

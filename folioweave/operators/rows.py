@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioweave.functions.literals import sql_value
+
 
 def explode_forms(df: DataFrame, forms: str, index: str = "form_index", form: str = "form") -> DataFrame:
     """One row per item of an array column, keeping the item's index."""
@@ -38,10 +40,13 @@ def append_rows(df: DataFrame, rows: Sequence[Mapping[str, object]]) -> DataFram
     """Append literal rows; columns a row does not name stay NULL."""
     if not rows:
         return df
-    def record(row: Mapping[str, object]) -> Column:
-        return F.struct(*[F.lit(row.get(f.name)).cast(f.dataType).alias(f.name) for f in df.schema])
+    def record(row: Mapping[str, object]) -> str:
+        fields = [
+            f"{sql_value(f.name)}, CAST({sql_value(row.get(f.name))} AS {f.dataType.simpleString()})" for f in df.schema
+        ]
+        return f"named_struct({', '.join(fields)})"
 
-    literal = df.sparkSession.range(0, 1, 1, 1).select(F.inline(F.array(*[record(r) for r in rows])))
+    literal = df.sparkSession.range(0, 1, 1, 1).selectExpr(f"inline(array({', '.join(record(r) for r in rows)}))")
     return df.unionByName(literal)
 
 
@@ -52,21 +57,26 @@ def clone_rows(df: DataFrame, cond: Column, changes: Sequence[Mapping[str, Colum
     ``copy_no`` optionally adds 0 for the original and 1.. for its copies.
     """
 
+    touched = list(dict.fromkeys(c for ch in changes for c in ch))
+    types = {f.name: f.dataType for f in df.schema}
+
     def variant(i: int, change: Mapping[str, Column | str]) -> Column:
-        cols = []
-        for f in df.schema:
-            v = change.get(f.name)
-            c = F.col(f.name) if v is None else (v if isinstance(v, Column) else F.lit(v))
-            cols.append(c.cast(f.dataType).alias(f.name))
-        return F.struct(*cols, F.lit(i).alias("_copy"))
+        cols = [F.lit(i).alias("_copy")]
+        for name in touched:
+            v = change.get(name)
+            c = F.col(name) if v is None else (v if isinstance(v, Column) else F.lit(v))
+            cols.append(c.cast(types[name]).alias(name))
+        return F.struct(*cols)
 
     original = variant(0, {})
     copies = [variant(i + 1, ch) for i, ch in enumerate(changes)]
-    # a cheap guard first: most rows never build their copies
+    # only the changed columns are multiplied, and only for matching rows
     many = F.when(F.coalesce(cond, F.lit(False)), F.array(original, *copies)).otherwise(F.array(original))
-    out = df.select(F.explode(many).alias("_v"))
-    names = [F.col("_v")[f.name].alias(f.name) for f in df.schema]
-    return out.select(*names, *([F.col("_v")["_copy"].alias(copy_no)] if copy_no else []))
+    out = df.withColumn("_v", F.explode(many))
+    fresh = {c: F.col("_v")[c] for c in touched}
+    if copy_no:
+        fresh[copy_no] = F.col("_v")["_copy"]
+    return out.withColumns(fresh).drop("_v")
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
