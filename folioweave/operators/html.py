@@ -17,9 +17,11 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from folioweave.functions.lists import let
 from folioweave.functions.literals import sql_list
+from folioweave.operators import plan
 
 NOISE = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
 TOKEN = r"<[^>]*>|[^<]+"
@@ -230,7 +232,8 @@ def shred(pages: DataFrame, keep: Sequence[str] = (), partitions: int | None = N
     """
     src = pages.select("page_id", *keep, "html")
     if cluster:
-        src = src.repartition(partitions, "page_id") if partitions else src.repartition("page_id")
+        # a fixed count: coalescing by size would pack too many compact pages into one task
+        src = src.repartition(partitions or plan.shuffle_partitions(pages), "page_id")
     toks = F.regexp_extract_all(clean_html(F.col("html")), F.lit(TOKEN), F.lit(0))
     long = src.select("page_id", *keep, F.posexplode(toks).alias("pos", "tok"))
     is_markup = F.col("tok").startswith("<")
@@ -245,10 +248,14 @@ def shred(pages: DataFrame, keep: Sequence[str] = (), partitions: int | None = N
     )
 
 
+def _running(w: WindowSpec) -> WindowSpec:
+    return w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
 def depth_of(tokens: DataFrame, tag: str) -> DataFrame:
     """Add ``depth``: how many elements of ``tag`` are open at each token."""
     w = Window.partitionBy("page_id").orderBy("pos")
-    opened = F.sum((F.col("tag") == tag).cast("int")).over(w)
+    opened = F.sum((F.col("tag") == tag).cast("int")).over(_running(w))
     closed = F.sum((F.col("tag") == f"/{tag}").cast("int")).over(
         w.rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -266,7 +273,7 @@ def structure(tokens: DataFrame) -> DataFrame:
     page = Window.partitionBy("page_id").orderBy("pos")
     tokens = depth_of(tokens.withColumn("prev", F.lag("tag").over(page)), "table")
 
-    level = Window.partitionBy("page_id", "depth").orderBy("pos")
+    level = _running(Window.partitionBy("page_id", "depth").orderBy("pos"))
     tag, pos = F.col("tag"), F.col("pos")
     is_tbl, is_row, is_cell = tag == "table", tag == "tr", tag.isin("td", "th")
 
@@ -319,154 +326,6 @@ def structure(tokens: DataFrame) -> DataFrame:
     )
 
 
-def documents(pages: DataFrame, keep: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
-    """One row per page with three sorted arrays: ``cells``, ``texts`` and ``tags``.
-
-    * ``cells``: ``pos, stop, depth, tbl, row, row_no, col_no, cls, tok``
-    * ``texts``: ``pos, depth, tbl, row, cell, row_no, col_no, prev, text`` (entities decoded)
-    * ``tags``: other opening tags, ``pos, tag, depth, tbl, row, cell, stop, tok``
-    """
-    toks = structure(shred(pages, keep=keep, partitions=partitions, cluster=True))
-    place = ["depth", "tbl", "row", "cell", "row_no", "col_no"]
-    is_cell = F.col("tag").isin("td", "th")
-    is_open = (F.col("kind") == "open") & ~is_cell
-    cell = F.struct("pos", "stop", *[c for c in place if c != "cell"], attr(F.col("tok"), "class").alias("cls"), "tok")
-    text = F.struct("pos", *place, "prev", unescape(F.col("tok")).alias("text"))
-    tag = F.struct("pos", "tag", *place, "stop", "tok")
-
-    def gather(cond: Column, what: Column) -> Column:
-        return F.array_sort(F.collect_list(F.when(cond, what)))
-
-    return toks.groupBy("page_id", *keep).agg(
-        gather(is_cell, cell).alias("cells"),
-        gather(F.col("kind") == "text", text).alias("texts"),
-        gather(is_open, tag).alias("tags"),
-    )
-
-
-# ---------------------------------------------------------------- fields of a document
-
-
-class Doc:
-    """Selectors over the three arrays of :func:`documents`, each a Column."""
-
-    def __init__(self, cells: str = "cells", texts: str = "texts", tags: str = "tags"):
-        self.cells, self.texts, self.tags = F.col(cells), F.col(texts), F.col(tags)
-
-    # cells
-
-    def cells_where(self, cls: str | None = None, token: str | None = None, **attrs: str | None) -> Column:
-        """Cells by exact class, by one class token, or by other attributes (None = absent)."""
-
-        def pred(c: Column) -> Column:
-            ok = F.lit(True)
-            if cls is not None:
-                ok = ok & F.coalesce(c["cls"] == cls, F.lit(False))
-            if token is not None:
-                ok = ok & F.coalesce(F.array_contains(F.split(c["cls"], r"\s+"), token), F.lit(False))
-            for name, value in attrs.items():
-                got = attr(c["tok"], name)
-                ok = ok & (got.isNull() if value is None else F.coalesce(got == value, F.lit(False)))
-            return ok
-
-        return F.filter(self.cells, pred)
-
-    def own_texts(self, cell: Column) -> Column:
-        """Text nodes that are direct children of a cell: not in a nested element or table."""
-
-        def pick(box: Column) -> Column:
-            hit = F.filter(self.texts, lambda t: (t["cell"] == box["pos"]) & self._direct(t))
-            return F.transform(hit, lambda t: t["text"])
-
-        return let(cell, pick)
-
-    def all_texts(self, cell: Column) -> Column:
-        """Every text node below a cell, nested tables included."""
-
-        def pick(box: Column) -> Column:
-            return F.transform(F.filter(self.texts, lambda t: self._inside(t, box)), lambda t: t["text"])
-
-        return let(cell, pick)
-
-    def tags_in(self, cell: Column, tag: str) -> Column:
-        return let(
-            cell, lambda box: F.filter(self.tags, lambda t: (t["tag"] == tag) & self._inside(t, box))
-        )
-
-    @staticmethod
-    def _direct(t: Column) -> Column:
-        return t["prev"].startswith("/") | t["prev"].isin("td", "th", "br", "img", "hr", "input")
-
-    def attr_in(self, cell: Column, tag: str, name: str, starts: str = "") -> Column:
-        """Attribute values of a tag below a cell, in document order."""
-        vals = F.transform(self.tags_in(cell, tag), lambda t: attr(t["tok"], name))
-        return F.filter(vals, lambda v: v.startswith(starts) if starts else v.isNotNull())
-
-    @staticmethod
-    def _inside(n: Column, box: Column) -> Column:
-        return (n["pos"] > box["pos"]) & (box["stop"].isNull() | (n["pos"] < box["stop"]))
-
-    # labels
-
-    def labels(self, label: str, mode: str = "text") -> Column:
-        """Text nodes that name a cell.
-
-        ``text``: equals a direct text; ``bold``: equals the text of a bold child;
-        ``heading``: text of an ``h2`` child; ``contains``/``starts``: part of a direct text.
-        """
-
-        def pred(t: Column) -> Column:
-            own = self._direct(t)
-            tests = {
-                "text": (t["text"] == label) & own,
-                "bold": (t["text"] == label) & (t["prev"] == "b"),
-                "heading": (t["text"] == label) & (t["prev"] == "h2"),
-                "contains": t["text"].contains(label) & own,
-                "starts": t["text"].startswith(label) & own,
-            }
-            return tests[mode] & t["cell"].isNotNull()
-
-        return F.filter(self.texts, pred)
-
-    def value_cell(self, label: str, cell: int = 1, mode: str = "text", offset: int = 1,
-                   cls: str | None = None) -> Column:
-        """Cell number ``cell`` of the row ``offset`` below the label's row.
-
-        With ``cls`` the number counts only cells of exactly that class. The first label
-        that has such a cell decides.
-        """
-
-        def in_row(c: Column, t: Column) -> Column:
-            ok = (c["tbl"] == t["tbl"]) & (c["row_no"] == t["row_no"] + offset)
-            return ok & F.coalesce(c["cls"] == cls, F.lit(False)) if cls is not None else ok
-
-        found = F.transform(
-            self.labels(label, mode),
-            lambda t: nth(F.filter(self.cells, lambda c: in_row(c, t)), cell - 1),
-        )
-        return nth(F.filter(found, lambda c: c.isNotNull()), 0)
-
-    def beside_cell(self, label: str, mode: str = "bold", step: int = 1) -> Column:
-        """The cell ``step`` places right of a label cell, in the same row."""
-        found = F.transform(
-            self.labels(label, mode),
-            lambda t: nth(
-                F.filter(
-                    self.cells,
-                    lambda c: (c["tbl"] == t["tbl"]) & (c["row_no"] == t["row_no"])
-                    & (c["col_no"] == t["col_no"] + step),
-                ),
-                0,
-            ),
-        )
-        return nth(F.filter(found, lambda c: c.isNotNull()), 0)
-
-    def value(self, label: str, cell: int = 1, mode: str = "text", offset: int = 1,
-              cls: str | None = None, n: int = 0) -> Column:
-        """n-th direct text of the value cell."""
-        return nth(self.own_texts(self.value_cell(label, cell, mode, offset, cls)), n)
-
-
 # ---------------------------------------------------------------- rows of records
 
 
@@ -505,7 +364,7 @@ def profile(pages: DataFrame, tags: Sequence[str]) -> DataFrame:
 
 def number_rows(tokens: DataFrame, tag: str) -> DataFrame:
     """Treat every ``tag`` element as a row: adds ``row`` (opening position) and ``row_no``."""
-    page = Window.partitionBy("page_id").orderBy("pos")
+    page = _running(Window.partitionBy("page_id").orderBy("pos"))
     opened = F.col("tag") == tag
     return tokens.select(
         "*",
