@@ -25,7 +25,7 @@ def documents(pages: DataFrame, keep: Sequence[str] = (), partitions: int | None
     * ``cells``: place, ``stop``, ``cls``, ``align``, ``colspan``
     * ``texts``: place, ``cls`` of the cell, ``prev`` tag, ``direct`` (child of the cell
       itself), ``text`` with entities decoded
-    * ``tags``: other opening tags: place, ``stop``, ``tag``, ``cls``, ``val`` (src or href)
+    * ``tags``: other opening tags: place, ``stop``, ``tag``, ``cls``, ``val`` (src or href), ``title``
     """
     toks = html.structure(html.shred(pages, keep=keep, partitions=partitions, cluster=True))
     tok = F.col("tok")
@@ -38,7 +38,7 @@ def documents(pages: DataFrame, keep: Sequence[str] = (), partitions: int | None
                     html.unescape(tok).alias("text"))
     val = F.coalesce(html.attr(tok, "src"), html.attr(tok, "href"))
     tag = F.struct("pos", "stop", *PLACE, "tag", F.col("cell_cls").alias("in_cls"),
-                   html.attr(tok, "class").alias("cls"), val.alias("val"))
+                   html.attr(tok, "class").alias("cls"), val.alias("val"), html.attr(tok, "title").alias("title"))
 
     def gather(cond: Column, what: Column) -> Column:
         return F.array_sort(F.collect_list(F.when(cond, what)))
@@ -93,6 +93,11 @@ class Doc:
         inside = "t.pos > b.pos AND (b.stop IS NULL OR t.pos < b.stop)"
         return self.let(cell, f"transform(filter(texts, t -> {inside}), t -> t.text)", "b")
 
+    def texts_with(self, box: str, test: str) -> str:
+        """Texts below a cell, row or table that satisfy a test on ``t``."""
+        inside = "t.pos > b.pos AND (b.stop IS NULL OR t.pos < b.stop)"
+        return self.let(box, f"transform(filter(texts, t -> {inside} AND ({test})), t -> t.text)", "b")
+
     def texts_after(self, cell: str, tag: str) -> str:
         """Direct texts of a cell that follow a given tag."""
         return self.let(
@@ -114,8 +119,11 @@ class Doc:
     # labels
 
     @staticmethod
-    def labels(label: str, mode: str = "text") -> str:
-        """Texts that name a cell: its own text, a bold or heading child's text, or part of it."""
+    def labels(label: str, mode: str = "text", where: str = "true") -> str:
+        """Texts that name a cell: its own text, a bold or heading child's text, or part of it.
+
+        ``where`` is a further test on ``t``, such as a range of positions.
+        """
         v = sql_value(label)
         test = {
             "text": f"t.text = {v} AND t.direct",
@@ -126,9 +134,10 @@ class Doc:
             "bold_contains": f"contains(t.text, {v}) AND t.prev = 'b'",
             "heading_contains": f"contains(t.text, {v}) AND t.prev = 'h2'",
         }[mode]
-        return f"filter(named, t -> {test})"
+        return f"filter(named, t -> {test} AND ({where}))"
 
-    def value_cell(self, label: str, cell: int = 1, mode: str = "text", offset: int = 1, cls: str | None = None) -> str:
+    def value_cell(self, label: str, cell: int = 1, mode: str = "text", offset: int = 1, cls: str | None = None,
+                   where: str = "true") -> str:
         """Cell number ``cell`` of the row ``offset`` below the label's row.
 
         With ``cls`` the number counts only cells of exactly that class. The first label
@@ -136,20 +145,27 @@ class Doc:
         """
         by_class = f" AND c.cls = {sql_value(cls)}" if cls else ""
         row = f"filter(cells, c -> c.tbl = t.tbl AND c.row_no = t.row_no + {offset}{by_class})"
-        per_label = f"transform({self.labels(label, mode)}, t -> get({row}, {cell - 1}))"
+        per_label = f"transform({self.labels(label, mode, where)}, t -> get({row}, {cell - 1}))"
         return f"get(filter({per_label}, c -> c IS NOT NULL), 0)"
 
-    def beside_cell(self, label: str, mode: str = "bold", step: int = 1, cls: str | None = None) -> str:
+    def row_below(self, label: str, mode: str = "text", offset: int = 1) -> str:
+        """The whole row below a label's row, as a struct with pos and stop."""
+        row = f"filter(tags, g -> g.tag = 'tr' AND g.tbl = t.tbl AND g.row_no = t.row_no + {offset})"
+        found = f"filter(transform({self.labels(label, mode)}, t -> get({row}, 0)), r -> r IS NOT NULL)"
+        return f"get({found}, 0)"
+
+    def beside_cell(self, label: str, mode: str = "bold", step: int = 1, cls: str | None = None,
+                    where: str = "true") -> str:
         """The ``step``-th cell right of a label cell in its row; ``cls`` counts one class only."""
         by_class = f" AND c.cls = {sql_value(cls)}" if cls else ""
         right = f"filter(cells, c -> c.tbl = t.tbl AND c.row_no = t.row_no AND c.col_no > t.col_no{by_class})"
-        per_label = f"transform({self.labels(label, mode)}, t -> get({right}, {step - 1}))"
+        per_label = f"transform({self.labels(label, mode, where)}, t -> get({right}, {step - 1}))"
         return f"get(filter({per_label}, c -> c IS NOT NULL), 0)"
 
     def value(self, label: str, cell: int = 1, mode: str = "text", offset: int = 1, cls: str | None = None,
-              n: int = 0) -> str:
+              n: int = 0, where: str = "true") -> str:
         """n-th direct text of the value cell."""
-        return self.nth(self.own_texts(self.value_cell(label, cell, mode, offset, cls)), n)
+        return self.nth(self.own_texts(self.value_cell(label, cell, mode, offset, cls, where)), n)
 
     # nested tables
 
