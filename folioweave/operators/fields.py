@@ -23,30 +23,32 @@ def documents(pages: DataFrame, keep: Sequence[str] = (), partitions: int | None
     """One row per page with sorted arrays ``cells``, ``texts`` and ``tags``.
 
     * ``cells``: place, ``stop``, ``cls``, ``align``, ``colspan``
-    * ``texts``: place, ``cls`` of the cell, ``prev`` tag, ``direct`` (child of the cell
+    * ``texts`` inside cells: place, ``cls`` of the cell, ``prev`` tag, ``direct`` (child of the cell
       itself), ``text`` with entities decoded
-    * ``tags``: other opening tags: place, ``stop``, ``tag``, ``cls``, ``val`` (src or href), ``title``
+    * ``tags``: tables, rows, images and links: place, ``stop``, ``tag``, ``cls`` (tables), ``val`` (src of images,
+      href of links), ``title``
     """
-    toks = html.structure(html.shred(pages, keep=keep, partitions=partitions, cluster=True))
-    tok = F.col("tok")
-    is_cell = F.col("tag").isin("td", "th")
-    prev = F.col("prev")
-    direct = F.coalesce(prev.startswith("/") | prev.isin("td", "th", "br", "img", "hr", "input"), F.lit(False))
-    cell = F.struct("pos", "stop", *PLACE, html.attr(tok, "class").alias("cls"),
+    toks = html.structure(pages, keep, partitions)
+    tok, tag, pos = F.col("tok"), F.col("tag"), F.col("pos")
+    direct = tag.startswith("/") | tag.isin("td", "th", "br", "img", "hr", "input")
+    cell = F.struct("pos", "stop", *PLACE, F.nullif("cell_cls", F.lit("")).alias("cls"),
                     html.attr(tok, "align").alias("align"), html.attr(tok, "colspan").alias("colspan"))
-    text = F.struct("pos", *PLACE, F.col("cell_cls").alias("cls"), "prev", direct.alias("direct"),
-                    html.unescape(tok).alias("text"))
-    val = F.coalesce(html.attr(tok, "src"), html.attr(tok, "href"))
-    tag = F.struct("pos", "stop", *PLACE, "tag", F.col("cell_cls").alias("in_cls"),
-                   html.attr(tok, "class").alias("cls"), val.alias("val"), html.attr(tok, "title").alias("title"))
+    text = F.struct((pos + 1).alias("pos"), *PLACE, F.col("cell_cls").alias("cls"), tag.alias("prev"),
+                    direct.alias("direct"), html.unescape(F.col("text")).alias("text"))
+    # attributes only of the tags that are asked for them
+    val = F.when(tag == "img", html.attr(tok, "src")).when(tag == "a", html.attr(tok, "href"))
+    title = F.when(tag.isin("img", "a"), html.attr(tok, "title"))
+    box_cls = F.when(tag == "table", html.attr(tok, "class"))
+    node = F.struct("pos", "stop", *PLACE, "tag", F.col("cell_cls").alias("in_cls"),
+                    box_cls.alias("cls"), val.alias("val"), title.alias("title"))
 
     def gather(cond: Column, what: Column) -> Column:
         return F.array_sort(F.collect_list(F.when(cond, what)))
 
     return toks.groupBy("page_id", *keep).agg(
-        gather(is_cell, cell).alias("cells"),
-        gather(F.col("kind") == "text", text).alias("texts"),
-        gather((F.col("kind") == "open") & ~is_cell, tag).alias("tags"),
+        gather(tag.isin("td", "th"), cell).alias("cells"),
+        gather(F.col("cell").isNotNull() & (F.col("text") != ""), text).alias("texts"),
+        gather(tag.isin("table", "tr", "img", "a"), node).alias("tags"),
     )
 
 

@@ -46,8 +46,9 @@ def clean_html(html: Column) -> Column:
 
 def attr(tok: Column, name: str) -> Column:
     """Value of an attribute of an opening tag, NULL when absent or empty."""
-    pattern = rf"""(?i)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-    return F.coalesce(*[F.nullif(F.regexp_extract(tok, pattern, g), F.lit("")) for g in (1, 2, 3)])
+    raw = F.regexp_extract(tok, rf"""(?i)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1)
+    quoted = raw.startswith('"') | raw.startswith("'")
+    return F.nullif(F.when(quoted, F.substr(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw), F.lit(""))
 
 
 def has_attr(tok: Column, name: str) -> Column:
@@ -262,20 +263,55 @@ def depth_of(tokens: DataFrame, tag: str) -> DataFrame:
     return tokens.withColumn("depth", F.greatest(F.lit(0), opened - F.coalesce(closed, F.lit(0))))
 
 
-def structure(tokens: DataFrame) -> DataFrame:
-    """Place every token in its table, row and cell.
+# one token per tag together with the text that follows it; text after a table stands alone,
+# since it lies one level further out than the closing tag
+_TAG_AND_TEXT = r"</table[^>]*>|<[^>]*>[^<]*|[^<]+"
+_PLACED = ["table", "tr", "td", "th", "/table", "/tr", "/td", "/th", "img", "a"]
 
-    Adds ``depth`` (table nesting), ``tbl``/``row``/``cell`` (positions of the opening
-    tokens), ``row_no``/``col_no`` (1-based), ``cell_cls`` (class of the cell), ``stop`` (position where an opened table,
-    row or cell ends, NULL at a truncated end) and ``prev`` (tag of the token before).
-    Missing closing tags do no harm. Two sorts in all: by page, and by page and depth.
+
+def table_tokens(pages: DataFrame, keep: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
+    """Tags with the text after them, and their table ``depth``, clustered by page.
+
+    Columns ``pos`` (even, so that a text may be placed at ``pos + 1``), ``tag`` (with '/' for
+    closing tags), ``tok`` and ``text``. Compared with one row per tag and per text this
+    halves the rows that are sorted, and the tag before a text needs no look-back.
     """
+    src = pages.select("page_id", *keep, "html")
+    # a fixed count: coalescing by size would pack too many compact pages into one task
+    src = src.repartition(partitions or plan.shuffle_partitions(pages), "page_id")
+    toks = F.regexp_extract_all(clean_html(F.col("html")), F.lit(_TAG_AND_TEXT), F.lit(0))
+    long = src.select("page_id", *keep, F.posexplode(toks).alias("_i", "tok"))
+    markup = F.col("tok").startswith("<")
+    long = long.select(
+        "page_id", *keep,
+        (F.col("_i") * 2).alias("pos"),
+        F.when(markup, F.lower(F.regexp_extract("tok", TAG, 1))).otherwise(F.lit("/table")).alias("tag"),
+        "tok",
+        F.when(markup, F.expr("substr(tok, instr(tok, '>') + 1)")).otherwise(F.col("tok")).alias("text"),
+        markup.alias("_markup"),
+    )
     page = Window.partitionBy("page_id").orderBy("pos")
-    tokens = depth_of(tokens.withColumn("prev", F.lag("tag").over(page)), "table")
+    closing = F.col("_markup") & (F.col("tag") == "/table")
+    opened = F.sum((F.col("tag") == "table").cast("int")).over(_running(page))
+    closed = F.sum(closing.cast("int")).over(page.rowsBetween(Window.unboundedPreceding, -1))
+    placed = long.withColumn("depth", F.greatest(F.lit(0), opened - F.coalesce(closed, F.lit(0))))
+    # after the window, so that the test does not repeat the expressions above
+    return placed.filter(F.col("tag").isin(_PLACED) | (F.col("text") != ""))
+
 
+def structure(pages: DataFrame, keep: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
+    """Tags of every page with their text, each placed in its table, row and cell.
+
+    Adds to :func:`table_tokens`: ``tbl``/``row``/``cell`` (positions of the opening tags),
+    ``row_no``/``col_no`` (1-based), ``cell_cls`` (class of the cell) and ``stop`` (position
+    where an opened table, row or cell ends, NULL at a truncated end). Missing closing tags do
+    no harm. All these windows share one sort, by page, depth and position.
+    """
+    tokens = table_tokens(pages, keep, partitions)
     level = _running(Window.partitionBy("page_id", "depth").orderBy("pos"))
     tag, pos = F.col("tag"), F.col("pos")
     is_tbl, is_row, is_cell = tag == "table", tag == "tr", tag.isin("td", "th")
+    closes = F.col("_markup") & (tag == "/table")
 
     def since(flag: Column, closed: Sequence[str] = ()) -> Column:
         # -1 once a closing tag ends the element, so text between elements has no owner
@@ -295,9 +331,9 @@ def structure(tokens: DataFrame) -> DataFrame:
         .over(level).alias("_cls"),
         seen(is_row).alias("_rows"),
         seen(is_cell).alias("_cells"),
-        F.when(tag == "/table", pos).alias("_tbl_stop"),
-        F.when(tag.isin("tr", "/table"), pos).alias("_row_stop"),
-        F.when(tag.isin("td", "th", "tr", "/tr", "/table"), pos).alias("_cell_stop"),
+        F.when(closes, pos).alias("_tbl_stop"),
+        F.when((tag == "tr") | closes, pos).alias("_row_stop"),
+        F.when(tag.isin("td", "th", "/td", "/th", "tr", "/tr") | closes, pos).alias("_cell_stop"),
     )
     # IGNORE NULLS moves one pointer forward, so the look-ahead stays linear
     nxt = "lead({c}, 1) ignore nulls over (partition by page_id, depth order by pos)"
@@ -313,7 +349,7 @@ def structure(tokens: DataFrame) -> DataFrame:
     in_tbl = F.col("depth") > 0
     in_row = in_tbl & (F.col("row") > F.col("tbl"))
     in_cell = in_row & (F.col("cell") > F.col("row"))
-    kept = [c for c in tokens.columns]
+    kept = [c for c in tokens.columns if c != "_markup"]
     return out.select(
         *kept,
         F.when(in_tbl, F.col("tbl")).alias("tbl"),
@@ -329,8 +365,7 @@ def structure(tokens: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- rows of records
 
 
-def records(structured: DataFrame, spec: dict[str, Callable[[], Column] | Column],
-            keep: Sequence[str] = ()) -> DataFrame:
+def records(structured: DataFrame, spec: dict[str, Column], keep: Sequence[str] = ()) -> DataFrame:
     """One output row per table row, all fields picked in one aggregate.
 
     ``spec`` maps a field to an aggregate over the row's tokens, see :func:`first_of` and
@@ -338,7 +373,7 @@ def records(structured: DataFrame, spec: dict[str, Callable[[], Column] | Column
     """
     rows = structured.filter(F.col("row").isNotNull())
     return rows.groupBy("page_id", *keep, "row", "row_no").agg(
-        *[(c() if callable(c) else c).alias(name) for name, c in spec.items()]
+        *[c.alias(name) for name, c in spec.items()]
     )
 
 

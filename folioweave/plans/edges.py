@@ -23,7 +23,7 @@ def extract_edges(pages: DataFrame, gen: int) -> DataFrame:
     """
     method = F.regexp_extract("url", r"/evolution/([a-z]+)", 1)
     tagged = tag_pages(pages, V.METHODS, "method", method)
-    toks = html.structure(html.shred(tagged, keep=["method"], cluster=True))
+    toks = html.structure(tagged, keep=["method"])
 
     def in_class(name: str) -> Column:
         return F.array_contains(F.split("cell_cls", r"\s+"), name)
@@ -33,17 +33,17 @@ def extract_edges(pages: DataFrame, gen: int) -> DataFrame:
         return html.first_of((C("tag") == "a") & (C("col_no") == cell), title)
 
     def form(cell: int) -> Column:
-        return html.first_of((C("tag") == "#text") & (C("prev") == "small") & (C("col_no") == cell), html.unescape(C("tok")))
+        return html.first_of((C("tag") == "small") & (C("col_no") == cell), text)
 
-    is_text = C("tag") == "#text"
-    own = C("prev").isin("td", "br") | C("prev").startswith("/")
+    text = F.nullif(html.unescape(C("text")), F.lit(""))
+    own = C("tag").isin("td", "br") | C("tag").startswith("/")
     found = html.records(toks, {
         "_from": key(1),
         "evolves_from_form": form(1),
         "_to": key(3),
         "evolves_to_form": form(3),
-        "level": html.first_of(is_text & own & in_class("cell-num"), html.unescape(C("tok"))),
-        "_text": html.joined_of(is_text & in_class("cell-med-text"), html.unescape(C("tok"))),
+        "level": html.first_of(own & in_class("cell-num"), text),
+        "_text": html.joined_of(in_class("cell-med-text"), text),
     }, keep=["method"])
     found = found.filter(C("_from").isNotNull() & C("_to").isNotNull())
 
