@@ -451,3 +451,41 @@ def o4(spark, sf):
     df = table(spark, sf, "orders").select("o_custkey", "o_orderkey", raw.alias("raw")).withColumn("num", num)
     df = df.withColumn("class", order.mixed_class(C("num"), C("raw")))
     return df.orderBy(C("o_custkey"), *order.mixed_order(C("num"), C("raw")), C("o_orderkey"))
+
+
+@query("edge_curation", f"""
+    WITH a AS (SELECT o_custkey, o_orderkey, {KEY4.format(k='o_custkey')} AS k, o_orderpriority AS method, o_orderstatus,
+        CASE WHEN o_orderpriority LIKE '1%' THEN 'hold ' || o_orderstatus || ', ' ELSE '' END AS item_used,
+        CASE WHEN o_orderpriority LIKE '1%' THEN '' ELSE 'Daytime, after ' || o_orderstatus || ' learned' END AS other,
+        '' AS time_of_day, '' AS move, {RANK} AS rank, 0 AS stage FROM orders),
+    b AS (SELECT * FROM a UNION ALL BY NAME SELECT 7 AS o_custkey, -1 AS o_orderkey, '0007' AS k, '1-URGENT' AS method, 'F' AS o_orderstatus,
+        'added' AS item_used, '' AS other, '' AS time_of_day, '' AS move, 0 AS rank, 1 AS stage),
+    c AS (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY k, o_orderstatus ORDER BY rank, stage, o_orderkey) = 1),
+    d AS (SELECT * REPLACE (CASE WHEN contains(other, 'Daytime') THEN 'Daytime' ELSE time_of_day END AS time_of_day, replace(other, 'Daytime', '') AS other) FROM c),
+    e AS (SELECT * REPLACE (CASE WHEN suffix(item_used, ', ') THEN rtrim(item_used, ', ') ELSE item_used END AS item_used,
+        CASE WHEN starts_with(other, ', ') THEN substr(other, 3) ELSE other END AS other) FROM d),
+    f AS (SELECT * REPLACE (CASE WHEN suffix(other, 'learned') THEN substr(other, 7, length(other) - 14) ELSE move END AS move,
+        CASE WHEN suffix(other, 'learned') THEN '' ELSE other END AS other,
+        CASE WHEN suffix(other, 'learned') THEN '5-LOW' ELSE method END AS method) FROM e)
+    SELECT k, o_orderstatus, o_orderkey, CASE WHEN method = '5-LOW' THEN 'level' ELSE method END AS method, NULLIF(item_used, '') AS item_used,
+      NULLIF(time_of_day, '') AS time_of_day, NULLIF(move, '') AS move FROM f WHERE k BETWEEN '0001' AND '0905' AND k <> '0020'""")
+def edge_curation(spark, sf):
+    text = F.concat(F.lit("hold "), C("o_orderstatus"), F.lit(", "))
+    cond = F.concat(F.lit("Daytime, after "), C("o_orderstatus"), F.lit(" learned"))
+    routed = curate.route(text, C("o_orderpriority"), {"item_used": (["1-URGENT"], text), "other": ([], cond)}, default="other")
+    df = table(spark, sf, "orders").select(
+        "o_orderkey", X.zfill(C("o_custkey").cast("string"), 4).alias("k"), C("o_orderpriority").alias("method"), "o_orderstatus",
+        *[c.alias(n) for n, c in routed.items()], *[F.lit("").alias(c) for c in ("time_of_day", "move", "weather")],
+        curate.rank_of(C("o_orderpriority"), PRIORITIES).alias("rank"), F.lit(0).alias("stage"))
+    df = rows.append_rows(df, [{"o_orderkey": -1, "k": "0007", "method": "1-URGENT", "o_orderstatus": "F", "item_used": "added", "other": "",
+                                "time_of_day": "", "move": "", "weather": "", "rank": 0, "stage": 1}])
+    # edits never touch the keys or ranks, so they may run before the dedup's shuffle
+    df = curate.move_conditions(df, [curate.Move("Daytime", "time_of_day", "Daytime")], ["item_used", "other"])
+    df = curate.apply_rules(df, [
+        curate.rule({"item_used": ("ends", ", ")}, {"item_used": X.rstrip_set(C("item_used"), ", ")}),
+        curate.rule({"other": ("starts", ", ")}, {"other": X.py_slice(C("other"), 2)})])
+    df = curate.move_by_affix(df, "other", "move", "after ", " learned", also={"method": "5-LOW"}, test=C("other").endswith("learned"))
+    df = curate.apply_rules(df, [curate.rule({"method": "5-LOW"}, {"method": "level"})])
+    df = curate.dedup_first(df, ["k", "o_orderstatus"], ["rank", "stage", "o_orderkey"]).drop("rank", "stage")
+    df = curate.exclude(df.filter(curate.key_between(C("k"), "0001", "0905")), "k", ["0020"])
+    return curate.prune_null_columns(curate.blank_to_null(df))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,19 +27,27 @@ def local_session(cores: str | int = "*", app: str = "folioweave", **conf: str)
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and continue from there.
+def shared_folder(spark: SparkSession) -> str:
+    """Folder that all executors see: the cluster's ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only an
-    unset folder on a local master falls back to a fresh temporary one.
+    Only a local master without that setting falls back to a fresh temporary folder.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return tempfile.mkdtemp(prefix="folioweave-")
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder."""
+    return f"{shared_folder(spark).rstrip('/')}/folioweave/{name}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Checkpoint ``df`` in the shared folder, so that lost executors do not replay its plan."""
+    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="folioweave-ckpt-")
-        sc.setCheckpointDir(folder)
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)

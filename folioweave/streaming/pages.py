@@ -12,13 +12,17 @@ from folioweave.functions import urls as U
 from folioweave.sources.pages import PAGE_SCHEMA
 
 
-def read_page_stream(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
-    return spark.readStream.schema(PAGE_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(path)
+def read_page_stream(spark: SparkSession, path: str, max_files: int = 1000, glob: str | None = None) -> DataFrame:
+    """Pages from files that arrive in a folder; ``glob`` picks files by name."""
+    reader = spark.readStream.schema(PAGE_SCHEMA).option("maxFilesPerTrigger", max_files)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.parquet(path)
 
 
-def stream_pages(spark: SparkSession, path: str, sink: str, checkpoint: str,
-                 extract: Callable[[DataFrame], DataFrame], max_files: int = 1000) -> StreamingQuery:
-    """Extract from pages as they come and append to a parquet folder, one folder per batch.
+def stream_to_folder(pages: DataFrame, sink: str, checkpoint: str,
+                     extract: Callable[[DataFrame], DataFrame]) -> StreamingQuery:
+    """Extract from streamed pages and append to a parquet folder, one folder per batch.
 
     Runs until everything present is handled. ``extract`` sees a plain DataFrame, so the
     per-page windows are allowed. A batch that is replayed after a failure overwrites its own
@@ -29,14 +33,20 @@ def stream_pages(spark: SparkSession, path: str, sink: str, checkpoint: str,
         extract(batch).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
     return (
-        read_page_stream(spark, path, max_files)
-        .writeStream.foreachBatch(land)
+        pages.writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
+def stream_pages(spark: SparkSession, path: str, sink: str, checkpoint: str,
+                 extract: Callable[[DataFrame], DataFrame], max_files: int = 1000,
+                 glob: str | None = None) -> StreamingQuery:
+    """:func:`stream_to_folder` over the page files of a folder."""
+    return stream_to_folder(read_page_stream(spark, path, max_files, glob), sink, checkpoint, extract)
+
+
 def read_sink(spark: SparkSession, sink: str) -> DataFrame:
     return spark.read.parquet(sink).drop("batch_id")
 
