@@ -48,7 +48,7 @@ def resolve_url(base: Column, href: Column) -> Column:
     return (
         F.when(href.rlike(_SCHEME), href)
         .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
-        .when(href == "", no_frag)
+        .when(href == "", base)
         .when(href.startswith("#"), F.concat(no_frag, href))
         .when(href.startswith("?"), F.concat(no_query, href))
         .otherwise(merged)
@@ -71,8 +71,7 @@ def canonical_url(url: Column) -> Column:
 
 def host_allowed(url: Column, allowed: Sequence[str]) -> Column:
     """True if the host is an allowed one or lies below it."""
-    h = host(url)
-    ok = F.lit(False)
-    for d in allowed:
-        ok = ok | (h == d.lower()) | h.endswith("." + d.lower())
-    return F.coalesce(ok, F.lit(False))
+    if not allowed:
+        return F.lit(False)
+    names = "|".join(r"\Q" + d.lower() + r"\E" for d in allowed)
+    return F.coalesce(host(url).rlike(rf"(?:\A|\.)(?:{names})\z"), F.lit(False))

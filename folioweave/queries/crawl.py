@@ -56,7 +56,7 @@ def s2_first(spark, sf):
         WHEN 2 THEN page || '?q=' || bare WHEN 3 THEN whole || '#' || bare
         WHEN 4 THEN regexp_extract(page, '^(.*/)', 1) || bare
         WHEN 5 THEN regexp_replace(page, '^([a-z]+://[^/]*)(/.*)?/[^/]*/[^/]*$', '\\1\\2') || '/up' || href
-        ELSE whole END AS varied
+        ELSE url END AS varied
     FROM v""")
 def s3(spark, sf):
     bare = F.substr(C("href"), F.lit(2))

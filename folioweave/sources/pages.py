@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioweave.functions import urls as U
-from folioweave.operators import curate, html
+from folioweave.operators import curate, html, plan
 
 PAGE_SCHEMA = "page_id BIGINT, url STRING, html STRING"
 
@@ -60,7 +60,8 @@ def discover_links(pages: DataFrame, container: str, item: str, attr: str,
 
 
 def resolve_links(links: DataFrame, base: str = "url", href: str = "href", out: str = "target") -> DataFrame:
-    return links.withColumn(out, U.resolve_url(F.col(base), F.col(href)))
+    """Add the absolute url of every link, worked out once even if it is filtered on later."""
+    return plan.pin(links, {out: U.resolve_url(F.col(base), F.col(href))}, keep=links.columns)
 
 
 def filter_hosts(df: DataFrame, url_col: str, allowed: Sequence[str]) -> DataFrame:
