@@ -9,37 +9,67 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def outer_merge_all(frames: Sequence[DataFrame], on: Sequence[str], even_keys: bool = False) -> DataFrame:
+# rows of one key above which the key is spread over several tasks
+HEAVY_ROWS = 1_000_000
+
+
+def outer_merge_all(frames: Sequence[DataFrame], on: Sequence[str], even_keys: bool = False,
+                    heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """Full outer merge of several frames on shared keys; repeated keys multiply.
 
-    A full outer join cannot be split when one key holds many rows. So one aggregate first
-    notes for every key which frames have it (a bit mask, combined in the map tasks, so a
-    heavy key shrinks to one row per task). Each frame then gets an empty row for every key
-    it lacks, and plain inner joins give the outer result; adaptive execution can split a
-    heavy key on either side of those. NULL keys match each other.
+    A full outer join puts all rows of a key into one task. Instead, one aggregate first counts
+    every key per frame (combined in the map tasks, so a heavy key shrinks to one row each).
+    From the counts
+
+    * every frame gets an empty row for each key it lacks, after which inner joins give the
+      outer result;
+    * a key with more than ``heavy_rows`` rows in some frame is cut into slices: the frame
+      that holds most of them is sliced by a hash of row and input partition, the other frames repeat their
+      rows of that key once per slice.
 
-    ``even_keys=True`` says that no key is heavy and uses full outer joins directly.
+    The slice number joins along with the key, so all joins share one partitioning. NULL keys
+    match each other. ``even_keys=True`` says that no key is heavy and uses full outer joins.
     """
     on = list(on)
     if even_keys:
         return reduce(lambda a, b: a.join(b, on, "full_outer"), frames)
-    marked = [f.select(*on, F.lit(1 << i).alias("_mask")) for i, f in enumerate(frames)]
-    present = reduce(DataFrame.unionByName, marked).groupBy(*on).agg(F.bit_or("_mask").alias("_mask"))
+    marked = [f.select(*on, F.lit(i).alias("_frame")) for i, f in enumerate(frames)]
+    per_frame = F.array(*[F.count_if(F.col("_frame") == i) for i in range(len(frames))])
+    # one array column: all branches below read the same aggregate and share its exchange
+    counts = reduce(DataFrame.unionByName, marked).groupBy(*on).agg(per_frame.alias("_rows"))
+    most = F.array_max("_rows")
+    heavy = counts.filter(most > heavy_rows).select(
+        *[F.col(k).alias(f"_{k}") for k in on],
+        (F.array_position("_rows", most) - 1).alias("_cut"),
+        F.ceil(most / F.lit(heavy_rows)).cast("int").alias("_slices"),
+    )
+
+    def same() -> Column:
+        return reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in on])
 
     def whole(i: int) -> DataFrame:
-        lacking = present.filter(F.col("_mask").bitwiseAND(F.lit(1 << i)) == 0).select(*on)
-        return frames[i].unionByName(lacking, allowMissingColumns=True)
+        frame = frames[i]
+        lacking = counts.filter(F.get("_rows", F.lit(i)) == 0).select(*on)
+        # the input partition tells identical rows apart; it is the same when a task is run again
+        full = frame.withColumn("_at", F.spark_partition_id()).unionByName(lacking, allowMissingColumns=True)
+        joined = full.join(heavy, same(), "left")
+        every = F.sequence(F.lit(0), F.col("_slices") - 1)
+        own = F.array(F.pmod(F.xxhash64(*[F.col(c) for c in full.columns]), F.col("_slices").cast("bigint")).cast("int"))
+        slices = F.when(F.col("_slices").isNull(), F.array(F.lit(0))).when(F.col("_cut") == i, own).otherwise(every)
+        return joined.select(*frame.columns, F.explode(slices).alias("_slice"))
 
     def merge(a: DataFrame, b: DataFrame) -> DataFrame:
-        side = b.select(*[F.col(c).alias(f"_{c}") if c in on else F.col(c) for c in b.columns])
-        same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in on])
-        return a.join(side, same, "inner").drop(*[f"_{k}" for k in on])
+        side = b.select(*[F.col(c).alias(f"_{c}") if c in on else F.col(c) for c in b.columns if c != "_slice"],
+                        F.col("_slice").alias("_slice_b"))
+        joined = a.join(side, same() & (F.col("_slice") == F.col("_slice_b")), "inner")
+        return joined.drop(*[f"_{k}" for k in on], "_slice_b")
 
-    return reduce(merge, [whole(i) for i in range(len(frames))])
+    return reduce(merge, [whole(i) for i in range(len(frames))]).drop("_slice")
 
 
-def outer_merge(a: DataFrame, b: DataFrame, on: Sequence[str], even_keys: bool = False) -> DataFrame:
-    return outer_merge_all([a, b], on, even_keys)
+def outer_merge(a: DataFrame, b: DataFrame, on: Sequence[str], even_keys: bool = False,
+                heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    return outer_merge_all([a, b], on, even_keys, heavy_rows)
 
 
 def lookup_column(df: DataFrame, dim: DataFrame, on: str, value: str, alias: str | None = None) -> DataFrame:

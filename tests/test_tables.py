@@ -131,8 +131,8 @@ def random_frames(spark, seed, hot):
     return frames
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_outer_merge_chain_like_pandas(spark, seed):
+@pytest.mark.parametrize("seed, heavy", [(1, 1_000_000), (2, 1), (3, 3)])
+def test_outer_merge_chain_like_pandas(spark, seed, heavy):
     import pandas as pd
 
     frames = random_frames(spark, seed, hot=2)
@@ -145,7 +145,7 @@ def test_outer_merge_chain_like_pandas(spark, seed):
     def key(rows_):
         return sorted((tuple(-1 if v is None or v != v else v for v in r) for r in rows_), key=str)
 
-    got = joins.outer_merge_all(frames, ["k", "m"]).select(cols)
+    got = joins.outer_merge_all(frames, ["k", "m"], heavy_rows=heavy).select(cols)
     assert key(tuples(got)) == key(want[cols].itertuples(index=False, name=None))
 
 
@@ -155,6 +155,16 @@ def test_outer_merge_is_inner_joins_only(spark):
     assert "FullOuter" not in shape and "Nested" not in shape and "Cartesian" not in shape
 
 
+def test_heavy_key_of_copies(spark):
+    # a third of the rows are copies of one row
+    hot = C("id") % 3 == 0
+    big = spark.range(0, 5000, 1, 20).select(F.when(hot, 7).otherwise(C("id")).alias("k"), F.when(hot, 1).otherwise(C("id")).alias("v"))
+    small = spark.range(10).select(C("id").alias("k"), (C("id") * 10).alias("w"))
+    got = joins.outer_merge(big, small, ["k"], heavy_rows=100)
+    want = big.join(small, "k", "full_outer")
+    assert got.select("k", "v", "w").exceptAll(want.select("k", "v", "w")).isEmpty() and got.count() == want.count()
+
+
 def test_even_keys_agree(spark):
     frames = [f.filter("k IS NOT NULL") for f in random_frames(spark, 9, hot=1)]
     a = joins.outer_merge_all(frames, ["k", "m"]).select("k", "m", "v0", "v1", "v2", "v3")
