@@ -226,7 +226,10 @@ def drop_where(df: DataFrame, cond: Column) -> DataFrame:
 
 
 def prune_null_columns(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Drop columns that hold no value at all. One aggregate, one row back to the driver."""
+    """Drop columns that hold no value at all. One aggregate, one row back to the driver.
+
+    The aggregate runs the frame's plan; where that is costly, pass a checkpointed or written frame.
+    """
     open_cols = [c for c in df.columns if c not in keep]
     if not open_cols:
         return df

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from folioweave.functions import text as X
 from folioweave.operators import curate, html, order, rows
 from folioweave.plans import edge_values as V
+from folioweave.session import cut_lineage
 from folioweave.sources.pages import tag_pages
 
 C = F.col
@@ -173,8 +174,7 @@ def curate_edges(edges: DataFrame, gen: int) -> DataFrame:
 def evolutions(pages: DataFrame, gen: int, prune: bool = True, ordered: bool = True) -> DataFrame:
     """The evolution table of one generation from its stored pages."""
     df = curate_edges(extract_edges(pages, gen), gen)
-    if ordered:
-        df = order.sort_by_rank(df, ["evolves_from", "evolves_to"], RANKS, [])
-    else:
-        df = df.drop(*RANKS)
-    return curate.prune_null_columns(df) if prune and gen >= 2 else df
+    if prune and gen >= 2:
+        # the columns to keep are known only after a run: keep that run's rows
+        df = curate.prune_null_columns(cut_lineage(df), keep=RANKS)
+    return order.sort_by_rank(df, ["evolves_from", "evolves_to"], RANKS, []) if ordered else df.drop(*RANKS)

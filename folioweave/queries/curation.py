@@ -9,6 +9,7 @@ from folioweave.functions import numbers as N
 from folioweave.functions import text as X
 from folioweave.operators import curate, joins, order, quality, rows
 from folioweave.queries.registry import query, table
+from folioweave.session import cut_lineage
 
 C = F.col
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -488,4 +489,5 @@ def edge_curation(spark, sf):
     df = curate.apply_rules(df, [curate.rule({"method": "5-LOW"}, {"method": "level"})])
     df = curate.dedup_first(df, ["k", "o_orderstatus"], ["rank", "stage", "o_orderkey"]).drop("rank", "stage")
     df = curate.exclude(df.filter(curate.key_between(C("k"), "0001", "0905")), "k", ["0020"])
-    return curate.prune_null_columns(curate.blank_to_null(df))
+    # which columns hold values is known only after a run, so that run is kept
+    return curate.prune_null_columns(cut_lineage(curate.blank_to_null(df)))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioweave.operators import order
+from folioweave.operators import order, plan
 
 # Fixed value: rows a spreadsheet can hold, less its header.
 SHEET_ROWS = 1_048_575
@@ -33,10 +33,11 @@ def write_by_gen(df: DataFrame, path: str, gen: str = "gen", mode: str = "errori
                  rows_per_file: int = 2_000_000) -> None:
     """One dataset with a folder per generation.
 
-    Rows are spread by the generation and a row hash: a generation with most of the rows
-    still uses all tasks, and a file ends after ``rows_per_file`` rows.
+    Rows are spread by generation, row hash and input partition: a generation, or a group of
+    copies, with most of the rows still uses many tasks. A file ends after ``rows_per_file`` rows.
     """
-    spread = df.repartition(F.col(gen), F.pmod(F.xxhash64(*df.columns), F.lit(64)))
+    slot = F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.lit(plan.shuffle_partitions(df)))
+    spread = df.withColumn("_slot", slot).repartition(F.col(gen), F.col("_slot")).drop("_slot")
     (
         spread.write.mode(mode).option("maxRecordsPerFile", rows_per_file)
         .partitionBy(gen).parquet(path)

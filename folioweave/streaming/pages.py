@@ -55,7 +55,9 @@ def stream_dedup_urls(pages: DataFrame, arrived: str | None = None, delay: str =
     """First page per canonical url across arrivals.
 
     With an arrival time the state is kept for ``delay`` only; without one it grows with the
-    number of distinct urls, which suits runs that end (``availableNow``).
+    number of distinct urls, which suits runs that end (``availableNow``). A url seen many times
+    meets its state in one task, so select the columns you need first and bound the batches
+    with ``max_files``.
     """
     keyed = pages.withColumn("canonical_url", U.canonical_url(F.col("url")))
     if arrived is None:
