@@ -266,6 +266,7 @@ def depth_of(tokens: DataFrame, tag: str) -> DataFrame:
 # one token per tag together with the text that follows it; text after a table stands alone,
 # since it lies one level further out than the closing tag
 _TAG_AND_TEXT = r"</table[^>]*>|<[^>]*>[^<]*|[^<]+"
+_WITH_ATTRS = ["table", "td", "th", "img", "a"]
 _PLACED = ["table", "tr", "td", "th", "/table", "/tr", "/td", "/th", "img", "a"]
 
 
@@ -273,7 +274,7 @@ def table_tokens(pages: DataFrame, keep: Sequence[str] = (), partitions: int | N
     """Tags with the text after them, and their table ``depth``, clustered by page.
 
     Columns ``pos`` (even, so that a text may be placed at ``pos + 1``), ``tag`` (with '/' for
-    closing tags), ``tok`` and ``text``. Compared with one row per tag and per text this
+    closing tags), ``tok`` (tags whose attributes are asked for) and ``text``. Compared with one row per tag and per text this
     halves the rows that are sorted, and the tag before a text needs no look-back.
     """
     src = pages.select("page_id", *keep, "html")
@@ -282,13 +283,13 @@ def table_tokens(pages: DataFrame, keep: Sequence[str] = (), partitions: int | N
     toks = F.regexp_extract_all(clean_html(F.col("html")), F.lit(_TAG_AND_TEXT), F.lit(0))
     long = src.select("page_id", *keep, F.posexplode(toks).alias("_i", "tok"))
     markup = F.col("tok").startswith("<")
+    tag = F.when(markup, F.lower(F.regexp_extract("tok", TAG, 1))).otherwise(F.lit("/table"))
+    long = long.select("page_id", *keep, (F.col("_i") * 2).alias("pos"), tag.alias("tag"), "tok", markup.alias("_markup"))
+    # the sorts below move only what is read later: attributes of a few tags, and the text
     long = long.select(
-        "page_id", *keep,
-        (F.col("_i") * 2).alias("pos"),
-        F.when(markup, F.lower(F.regexp_extract("tok", TAG, 1))).otherwise(F.lit("/table")).alias("tag"),
-        "tok",
-        F.when(markup, F.expr("substr(tok, instr(tok, '>') + 1)")).otherwise(F.col("tok")).alias("text"),
-        markup.alias("_markup"),
+        "page_id", *keep, "pos", "tag", "_markup",
+        F.expr(f"CASE WHEN tag IN ({sql_list(_WITH_ATTRS)}) THEN substr(tok, 1, instr(tok, '>')) ELSE '' END").alias("tok"),
+        F.expr("CASE WHEN _markup THEN substr(tok, instr(tok, '>') + 1) ELSE tok END").alias("text"),
     )
     page = Window.partitionBy("page_id").orderBy("pos")
     closing = F.col("_markup") & (F.col("tag") == "/table")
