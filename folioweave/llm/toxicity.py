@@ -27,6 +27,7 @@ from folioweave.llm.common import settle, ship
 
 WORD = re.compile(r"[^\W\d_]+")
 
+NEUTRAL = "people"
 #: Terms of one line may stand for each other.
 IDENTITY_GROUPS = (
     ("women", "men"), ("woman", "man"), ("girls", "boys"), ("girl", "boy"), ("female", "male"),
@@ -57,7 +58,8 @@ def features(text: str | None, wanted: dict[str, int] | None = None) -> set:
 
 
 def swaps(text: str | None, groups: tuple[tuple[str, ...], ...] = IDENTITY_GROUPS) -> Iterator[str]:
-    """Texts in which each identity term gives way to the next one of its group, for every step through the groups."""
+    """Texts in which each identity term gives way to another of its group, for every step through the groups, and to a
+    word that names no group."""
     low = (text or "").lower()
     place = {t: (g, i) for g in groups for i, t in enumerate(g)}
     if not any(w in place for w in WORD.findall(low)):
@@ -67,6 +69,7 @@ def swaps(text: str | None, groups: tuple[tuple[str, ...], ...] = IDENTITY_GROUP
             g, i = place.get(m.group(), ((m.group(),), 0))
             return g[(i + step) % len(g)]
         yield WORD.sub(turn, low)
+    yield WORD.sub(lambda m: NEUTRAL if m.group() in place else m.group(), low)
 
 
 @dataclass
