@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from folioweave.llm.common import fresh, settle
 
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 4_096
 #: Rates are rounded to this many parts of a copy, so that their sums are exact whole numbers.
 UNIT = 1_000_000
 OFFSETS = 32
