@@ -72,9 +72,7 @@ def reduce_ratio(a: Column, b: Column) -> Column:
     g = gcd(p, q)
     return F.when(
         g > 0,
-        F.concat(
-            (p / g).cast("bigint").cast("string"), F.lit(":"), (q / g).cast("bigint").cast("string")
-        ),
+        F.concat(F.call_function("div", p, g).cast("string"), F.lit(":"), F.call_function("div", q, g).cast("string")),
     )
 
 

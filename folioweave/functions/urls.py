@@ -70,8 +70,8 @@ def canonical_url(url: Column) -> Column:
 
 
 def host_allowed(url: Column, allowed: Sequence[str]) -> Column:
-    """True if the host is an allowed one or lies below it."""
+    """True if the host is an allowed one or lies below it. An empty list allows every url."""
     if not allowed:
-        return F.lit(False)
+        return F.lit(True)
     names = "|".join(r"\Q" + d.lower() + r"\E" for d in allowed)
     return F.coalesce(host(url).rlike(rf"(?:\A|\.)(?:{names})\z"), F.lit(False))

@@ -53,24 +53,30 @@ class Test:
 
 @dataclass(frozen=True)
 class Rule:
-    """Where all tests hold, set the given columns. Values may be literals or Columns."""
+    """Where all tests hold, set the given columns. Values may be literals or Columns.
+
+    ``uses`` names the columns that Column values read; without it a rule with such a value may read any column.
+    """
 
     tests: tuple[Test, ...]
     set: Mapping[str, Value] = field(default_factory=dict)
+    uses: tuple[str, ...] | None = None
+
+    def reads_any(self) -> bool:
+        return self.uses is None and any(isinstance(v, Column) for v in self.set.values())
 
     def reads(self) -> set[str]:
-        named = {t.col for t in self.tests}
-        return named | {c for c, v in self.set.items() if isinstance(v, Column)}
+        return {t.col for t in self.tests} | {*(self.uses or ())}
 
     def sql(self) -> str:
         """Condition as SQL; NULL counts as false where it is used, in CASE."""
         return " AND ".join(t.sql() for t in self.tests)
 
 
-def rule(match: Mapping[str, object], set: Mapping[str, Value]) -> Rule:
+def rule(match: Mapping[str, object], set: Mapping[str, Value], uses: Sequence[str] | None = None) -> Rule:
     """Shorthand: ``{"col": value}`` means equality, ``{"col": ("ends", "x")}`` names the test.
 
-    A list as value means membership.
+    A list as value means membership. ``uses``: see :class:`Rule`.
     """
     tests = []
     for col, want in match.items():
@@ -80,7 +86,7 @@ def rule(match: Mapping[str, object], set: Mapping[str, Value]) -> Rule:
             tests.append(Test(col, "in", want))
         else:
             tests.append(Test(col, "eq", want))
-    return Rule(tuple(tests), dict(set))
+    return Rule(tuple(tests), dict(set), None if uses is None else tuple(uses))
 
 
 def assign_where(df: DataFrame, cond: Column, values: Mapping[str, Value]) -> DataFrame:
@@ -93,7 +99,7 @@ def layers(rules: Iterable[Rule]) -> list[list[Rule]]:
     out: list[list[Rule]] = []
     written: set[str] = set()
     for r in rules:
-        if not out or r.reads() & written:
+        if not out or r.reads() & written or r.reads_any() and written:
             out.append([])
             written = set()
         out[-1].append(r)

@@ -43,7 +43,7 @@ def documents(pages: DataFrame, keep: Sequence[str] = (), partitions: int | None
                     box_cls.alias("cls"), val.alias("val"), title.alias("title"))
 
     def gather(cond: Column, what: Column) -> Column:
-        return F.array_sort(F.collect_list(F.when(cond, what)))
+        return F.sort_array(F.collect_list(F.when(cond, what)))
 
     return toks.groupBy("page_id", *keep).agg(
         gather(tag.isin("td", "th"), cell).alias("cells"),

@@ -14,6 +14,7 @@ A page is one source row before and after, so what is regrouped is bounded by th
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,17 +24,29 @@ from folioweave.functions.lists import let
 from folioweave.functions.literals import sql_list
 from folioweave.operators import plan
 
-NOISE = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
-TOKEN = r"<[^>]*>|[^<]+"
+# scripts, styles and comments end at the end of the page if nothing else ends them; so does a tag that is cut off
+NOISE = (r"(?is)<script\b.*?(?:</script\b[^>]*+>|\z)|<style\b.*?(?:</style\b[^>]*+>|\z)|<!--.*?(?:-->|\z)"
+         r"|<[/!?A-Za-z][^<>]*+\z")
+# A tag is '<', an optional '/' and a letter, and runs to the first '>' outside quoted values. Possessive loops keep
+# no way back, so a long page does not fill the matcher's stack.
+MARKUP = r"""</?[A-Za-z](?:[^>="']++|=\s*+"[^"]*+"|=\s*+'[^']*+'|[="'])*+>|<[/!?][^>]*+>"""
+WORDS = r"(?:[^<]++|<(?![A-Za-z/!?]))"
+TOKEN = rf"{MARKUP}|{WORDS}++|<"
 TAG = r"^<(/?[A-Za-z][A-Za-z0-9]*)"
 
-# Character entities that pages use by name.
-ENTITIES = {
-    "&amp;": "&", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": " ",
-    "&copy;": "©", "&middot;": "·", "&eacute;": "é", "&Eacute;": "É", "&egrave;": "è",
-    "&rsquo;": "’", "&lsquo;": "‘", "&rdquo;": "”", "&ldquo;": "“", "&mdash;": "—",
-    "&ndash;": "–", "&hellip;": "…", "&times;": "×", "&frac12;": "½", "&deg;": "°",
-}
+# names that pages use most; a lookup meets them first
+COMMON = ["amp", "lt", "gt", "quot", "apos", "nbsp", "eacute", "rsquo", "ndash", "mdash"]
+
+
+def _names() -> dict[str, str]:
+    """Character references by name, from the language's own table of the HTML standard."""
+    first = {f"{n};": html5[f"{n};"] for n in COMMON}
+    return first | {n: c for n, c in html5.items() if n.endswith(";") and n not in first}
+
+
+def _old_codes() -> dict[str, str]:
+    """Numbers 128 to 159, which stand for the characters of windows-1252."""
+    return {f"{b:X}": bytes([b]).decode("cp1252") for b in range(128, 160) if b not in (129, 141, 143, 144, 157)}
 
 
 # ---------------------------------------------------------------- text and attributes
@@ -48,7 +61,9 @@ def attr(tok: Column, name: str) -> Column:
     """Value of an attribute of an opening tag, NULL when absent or empty."""
     raw = F.regexp_extract(tok, rf"""(?i)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1)
     quoted = raw.startswith('"') | raw.startswith("'")
-    return F.nullif(F.when(quoted, F.substr(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw), F.lit(""))
+    bare = F.when(quoted, F.substr(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw)
+    value = F.nullif(bare, F.lit(""))
+    return F.when(tok.contains("&"), let(value, unescape)).otherwise(value)
 
 
 def has_attr(tok: Column, name: str) -> Column:
@@ -56,27 +71,36 @@ def has_attr(tok: Column, name: str) -> Column:
 
 
 def unescape(c: Column) -> Column:
-    """Named and numeric character references to characters, in one pass."""
-    table = F.expr(f"map({sql_list([x for kv in ENTITIES.items() for x in kv])})")
-    runs = F.regexp_extract_all(c, F.lit(r"&#?[A-Za-z0-9]+;|[^&]+|&"), F.lit(0))
+    """Named and numeric character references to characters, in one pass.
+
+    Numbers outside the character range give the replacement character; a name needs its semicolon, a number does not.
+    """
+    # one literal, folded to a map when the query is planned
+    pairs = "\x01".join(f"{name}\x02{char}" for name, char in _names().items())
+    table = F.str_to_map(F.lit(pairs), F.lit("\x01"), F.lit("\x02"))
+    old = F.expr(f"map({sql_list([x for kv in _old_codes().items() for x in kv])})")
+    runs = F.regexp_extract_all(c, F.lit(r"&#[0-9]+;?|&#[xX][0-9A-Fa-f]+;?|&[A-Za-z0-9]+;|[^&]+|&"), F.lit(0))
+
+    def number(r: Column) -> Column:
+        dec = F.regexp_extract(r, r"^&#0*([0-9]+);?$", 1)
+        digits = F.when(dec != "", F.when(F.length(dec) <= 7, F.conv(dec, 10, 16)).otherwise("FFFFFF")).otherwise(
+            F.upper(F.regexp_extract(r, r"^&#[xX]0*([0-9A-Fa-f]+);?$", 1)))
+        wide = F.lpad(digits, 8, "0")
+        bad = (F.length(digits) > 6) | (wide > "0010FFFF") | wide.between("0000D800", "0000DFFF") | (wide == "00000000")
+        return (F.when(digits == "", F.when(r.rlike("^&#[xX]?0+;?$"), F.lit("\ufffd")).otherwise(r))
+                .when(bad, F.lit("\ufffd"))
+                .otherwise(F.coalesce(F.try_element_at(old, digits), F.decode(F.unhex(wide), "UTF-32"))))
 
     def one(r: Column) -> Column:
-        dec = F.regexp_extract(r, r"^&#([0-9]{1,5});$", 1).try_cast("int")
-        hexa = F.nullif(F.regexp_extract(r, r"^&#[xX]([0-9A-Fa-f]{1,4});$", 1), F.lit(""))
-        digits = F.coalesce(F.hex(dec), hexa)
-        char = F.decode(F.unhex(F.lpad(digits, 4, "0")), "UTF-16BE")
-        return (
-            F.when(~r.startswith("&"), r)
-            .when(r.startswith("&#") & (F.length(digits) <= 4), F.coalesce(char, r))
-            .otherwise(F.coalesce(F.try_element_at(table, r), r))
-        )
+        return (F.when(~r.startswith("&"), r).when(r.startswith("&#"), number(r))
+                .otherwise(F.coalesce(F.try_element_at(table, F.substr(r, F.lit(2))), r)))
 
     return F.when(c.contains("&"), F.array_join(F.transform(runs, one), "")).otherwise(c)
 
 
 def icon_count(cell_html: Column, pattern: str = r"<img\b") -> Column:
     """How many icons a cell holds; 0 for a blank or missing cell."""
-    return F.coalesce(F.regexp_count(cell_html, F.lit(pattern)), F.lit(0))
+    return F.coalesce(F.regexp_count(cell_html, F.lit(f"(?i){pattern}")), F.lit(0))
 
 
 def capture(c: Column, pattern: str, group: int = 1) -> Column:
@@ -101,12 +125,17 @@ def flat_nodes(html: Column) -> Column:
         toks,
         lambda t, i: F.struct(
             i.alias("pos"),
-            F.when(t.startswith("<"), F.lower(F.regexp_extract(t, TAG, 1))).otherwise(F.lit("#text")).alias("tag"),
+            F.when(is_markup(t), F.lower(F.regexp_extract(t, TAG, 1))).otherwise(F.lit("#text")).alias("tag"),
             t.alias("tok"),
         ),
     )
 
 
+def is_markup(tok: Column) -> Column:
+    """True for a tag or declaration, false for text, which may begin with a lone '<'."""
+    return tok.rlike(r"\A<[A-Za-z/!?]")
+
+
 def where(nodes: Column, pred: Callable[[Column], Column]) -> Column:
     """Nodes that satisfy a predicate, in document order."""
     return F.filter(nodes, pred)
@@ -151,6 +180,11 @@ def nth(nodes: Column, n: int) -> Column:
     return F.try_element_at(nodes, F.lit(n + 1 if n >= 0 else n))
 
 
+def nth_after(nodes: Column, pos: Column, n: int) -> Column:
+    """The node ``n`` places after a position, NULL behind the end."""
+    return F.get(nodes, pos + n)
+
+
 def span(nodes: Column, start: Column, stop: Column) -> Column:
     """Nodes strictly after position ``start`` and before ``stop`` (to the end if NULL)."""
     first = start + F.lit(1)
@@ -234,17 +268,17 @@ def shred(pages: DataFrame, keep: Sequence[str] = (), partitions: int | None = N
     src = pages.select("page_id", *keep, "html")
     if cluster:
         # a fixed count: coalescing by size would pack too many compact pages into one task
-        src = src.repartition(partitions or plan.shuffle_partitions(pages), "page_id")
+        src = src.repartition(partitions or plan.page_partitions(pages), "page_id")
     toks = F.regexp_extract_all(clean_html(F.col("html")), F.lit(TOKEN), F.lit(0))
     long = src.select("page_id", *keep, F.posexplode(toks).alias("pos", "tok"))
-    is_markup = F.col("tok").startswith("<")
+    markup = is_markup(F.col("tok"))
     return long.select(
         "page_id",
         *keep,
         "pos",
-        F.when(~is_markup, F.lit("text")).when(F.col("tok").startswith("</"), F.lit("close"))
+        F.when(~markup, F.lit("text")).when(F.col("tok").startswith("</"), F.lit("close"))
         .otherwise(F.lit("open")).alias("kind"),
-        F.when(is_markup, F.lower(F.regexp_extract("tok", TAG, 1))).otherwise(F.lit("#text")).alias("tag"),
+        F.when(markup, F.lower(F.regexp_extract("tok", TAG, 1))).otherwise(F.lit("#text")).alias("tag"),
         "tok",
     )
 
@@ -265,7 +299,7 @@ def depth_of(tokens: DataFrame, tag: str) -> DataFrame:
 
 # one token per tag together with the text that follows it; text after a table stands alone,
 # since it lies one level further out than the closing tag
-_TAG_AND_TEXT = r"</table[^>]*>|<[^>]*>[^<]*|[^<]+"
+_TAG_AND_TEXT = rf"(?i:</table)\b[^>]*+>|(?:{MARKUP}){WORDS}*+|{WORDS}++|<"
 _WITH_ATTRS = ["table", "td", "th", "img", "a"]
 _PLACED = ["table", "tr", "td", "th", "/table", "/tr", "/td", "/th", "img", "a"]
 
@@ -279,17 +313,21 @@ def table_tokens(pages: DataFrame, keep: Sequence[str] = (), partitions: int | N
     """
     src = pages.select("page_id", *keep, "html")
     # a fixed count: coalescing by size would pack too many compact pages into one task
-    src = src.repartition(partitions or plan.shuffle_partitions(pages), "page_id")
+    src = src.repartition(partitions or plan.page_partitions(pages), "page_id")
     toks = F.regexp_extract_all(clean_html(F.col("html")), F.lit(_TAG_AND_TEXT), F.lit(0))
     long = src.select("page_id", *keep, F.posexplode(toks).alias("_i", "tok"))
-    markup = F.col("tok").startswith("<")
+    markup = is_markup(F.col("tok"))
     tag = F.when(markup, F.lower(F.regexp_extract("tok", TAG, 1))).otherwise(F.lit("/table"))
     long = long.select("page_id", *keep, (F.col("_i") * 2).alias("pos"), tag.alias("tag"), "tok", markup.alias("_markup"))
+    # where the tag ends: at the only '>', or else where the grammar says
+    end = (F.when(~F.col("_markup"), F.lit(0)).when(F.expr("locate('>', tok, instr(tok, '>') + 1) = 0"), F.expr("instr(tok, '>')"))
+           .otherwise(F.length(F.regexp_extract("tok", rf"\A(?:{MARKUP})", 0))))
+    long = long.withColumn("_end", end)
     # the sorts below move only what is read later: attributes of a few tags, and the text
     long = long.select(
         "page_id", *keep, "pos", "tag", "_markup",
-        F.expr(f"CASE WHEN tag IN ({sql_list(_WITH_ATTRS)}) THEN substr(tok, 1, instr(tok, '>')) ELSE '' END").alias("tok"),
-        F.expr("CASE WHEN _markup THEN substr(tok, instr(tok, '>') + 1) ELSE tok END").alias("text"),
+        F.expr(f"CASE WHEN tag IN ({sql_list(_WITH_ATTRS)}) THEN substr(tok, 1, _end) ELSE '' END").alias("tok"),
+        F.expr("substr(tok, _end + 1)").alias("text"),
     )
     page = Window.partitionBy("page_id").orderBy("pos")
     closing = F.col("_markup") & (F.col("tag") == "/table")
@@ -385,7 +423,7 @@ def first_of(cond: Column, value: Column) -> Column:
 
 def joined_of(cond: Column, value: Column) -> Column:
     """All values where the condition holds, joined in document order."""
-    pairs = F.array_sort(F.collect_list(F.when(cond, F.struct("pos", value.alias("v")))))
+    pairs = F.sort_array(F.collect_list(F.when(cond, F.struct("pos", value.alias("v")))))
     return F.array_join(F.transform(pairs, lambda p: p["v"]), "")
 
 

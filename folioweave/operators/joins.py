@@ -9,67 +9,64 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-# rows of one key above which the key is spread over several tasks
-HEAVY_ROWS = 1_000_000
+def _same(on: Sequence[str], left: str, right: str) -> Column:
+    return reduce(lambda x, y: x & y, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in on])
 
 
-def outer_merge_all(frames: Sequence[DataFrame], on: Sequence[str], even_keys: bool = False,
-                    heavy_rows: int = HEAVY_ROWS) -> DataFrame:
-    """Full outer merge of several frames on shared keys; repeated keys multiply.
+def outer_merge_all(frames: Sequence[DataFrame], on: Sequence[str], heavy: Sequence[tuple] = (),
+                    slices: int = 64) -> DataFrame:
+    """Full outer merge of several frames on shared keys; repeated keys multiply and NULL keys match each other.
 
-    A full outer join puts all rows of a key into one task. Instead, one aggregate first counts
-    every key per frame (combined in the map tasks, so a heavy key shrinks to one row each).
-    From the counts
-
-    * every frame gets an empty row for each key it lacks, after which inner joins give the
-      outer result;
-    * a key with more than ``heavy_rows`` rows in some frame is cut into slices: the frame
-      that holds most of them is sliced by a hash of row and input partition, the other frames repeat their
-      rows of that key once per slice.
-
-    The slice number joins along with the key, so all joins share one partitioning. NULL keys
-    match each other. ``even_keys=True`` says that no key is heavy and uses full outer joins.
+    Every frame is read once by a chain of full outer joins. A full outer join puts all rows of a key into one task, so
+    keys known to be very frequent can be named in ``heavy`` (tuples in the order of ``on``): their rows are merged apart,
+    the frame with most of them dealt to ``slices`` tasks and the others' rows repeated for each.
     """
     on = list(on)
-    if even_keys:
-        return reduce(lambda a, b: a.join(b, on, "full_outer"), frames)
-    marked = [f.select(*on, F.lit(i).alias("_frame")) for i, f in enumerate(frames)]
-    per_frame = F.array(*[F.count_if(F.col("_frame") == i) for i in range(len(frames))])
-    # one array column: all branches below read the same aggregate and share its exchange
-    counts = reduce(DataFrame.unionByName, marked).groupBy(*on).agg(per_frame.alias("_rows"))
-    most = F.array_max("_rows")
-    heavy = counts.filter(most > heavy_rows).select(
-        *[F.col(k).alias(f"_{k}") for k in on],
-        (F.array_position("_rows", most) - 1).alias("_cut"),
-        F.ceil(most / F.lit(heavy_rows)).cast("int").alias("_slices"),
-    )
-
-    def same() -> Column:
-        return reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in on])
+    if heavy:
+        named = [reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.lit(v)) for k, v in zip(on, key, strict=True)]) for key in heavy]
+        is_heavy = reduce(lambda x, y: x | y, named)
+        plain = outer_merge_all([f.filter(~is_heavy) for f in frames], on)
+        return plain.unionByName(_merge_heavy([f.filter(is_heavy) for f in frames], on, slices))
+
+    def merge(a: DataFrame, b: DataFrame) -> DataFrame:
+        joined = a.alias("a").join(b.alias("b"), _same(on, "a", "b"), "full_outer")
+        keys = [F.coalesce(f"a.{k}", f"b.{k}").alias(k) for k in on]
+        return joined.select(*keys, *[f"a.{c}" for c in a.columns if c not in on], *[f"b.{c}" for c in b.columns if c not in on])
+
+    return reduce(merge, frames)
+
+
+def _merge_heavy(frames: Sequence[DataFrame], on: list[str], slices: int) -> DataFrame:
+    """Merge of a few named keys. Their counts (one row per key and frame) are worked out once, on the driver."""
+    counts = [{tuple(r[k] for k in on): r["n"] for r in f.groupBy(*on).agg(F.count("*").alias("n")).collect()} for f in frames]
+    keys = list(dict.fromkeys(k for c in counts for k in c))
+    most = {k: max(range(len(frames)), key=lambda i: counts[i].get(k, 0)) for k in keys}
 
     def whole(i: int) -> DataFrame:
-        frame = frames[i]
-        lacking = counts.filter(F.get("_rows", F.lit(i)) == 0).select(*on)
+        f = frames[i]
         # the input partition tells identical rows apart; it is the same when a task is run again
-        full = frame.withColumn("_at", F.spark_partition_id()).unionByName(lacking, allowMissingColumns=True)
-        joined = full.join(heavy, same(), "left")
-        every = F.sequence(F.lit(0), F.col("_slices") - 1)
-        own = F.array(F.pmod(F.xxhash64(*[F.col(c) for c in full.columns]), F.col("_slices").cast("bigint")).cast("int"))
-        slices = F.when(F.col("_slices").isNull(), F.array(F.lit(0))).when(F.col("_cut") == i, own).otherwise(every)
-        return joined.select(*frame.columns, F.explode(slices).alias("_slice"))
+        own = F.pmod(F.xxhash64(*f.columns, F.spark_partition_id()), F.lit(slices)).cast("int")
+        cut = reduce(lambda x, y: x | y, [
+            reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(on, k, strict=True)])
+            for k in keys if most[k] == i] or [F.lit(False)])
+        every = F.array(*[F.lit(s) for s in range(slices)])
+        dealt = f.withColumn("_slice", F.explode(F.when(cut, F.array(own)).otherwise(every)))
+        lacking = [k for k in keys if k not in counts[i]]
+        if not lacking:
+            return dealt
+        kinds = ", ".join(f"{c} {t}" for c, t in f.dtypes if c in on)
+        rows = f.sparkSession.createDataFrame(lacking, kinds).select(*on, F.explode(every).alias("_slice"))
+        return dealt.unionByName(rows, allowMissingColumns=True)
 
     def merge(a: DataFrame, b: DataFrame) -> DataFrame:
-        side = b.select(*[F.col(c).alias(f"_{c}") if c in on else F.col(c) for c in b.columns if c != "_slice"],
-                        F.col("_slice").alias("_slice_b"))
-        joined = a.join(side, same() & (F.col("_slice") == F.col("_slice_b")), "inner")
-        return joined.drop(*[f"_{k}" for k in on], "_slice_b")
+        joined = a.alias("a").join(b.alias("b"), _same([*on, "_slice"], "a", "b"))
+        return joined.select(*[f"a.{c}" for c in a.columns], *[f"b.{c}" for c in b.columns if c not in (*on, "_slice")])
 
     return reduce(merge, [whole(i) for i in range(len(frames))]).drop("_slice")
 
 
-def outer_merge(a: DataFrame, b: DataFrame, on: Sequence[str], even_keys: bool = False,
-                heavy_rows: int = HEAVY_ROWS) -> DataFrame:
-    return outer_merge_all([a, b], on, even_keys, heavy_rows)
+def outer_merge(a: DataFrame, b: DataFrame, on: Sequence[str], heavy: Sequence[tuple] = ()) -> DataFrame:
+    return outer_merge_all([a, b], on, heavy)
 
 
 def lookup_column(df: DataFrame, dim: DataFrame, on: str, value: str, alias: str | None = None) -> DataFrame:

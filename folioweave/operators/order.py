@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioweave.session import cut_lineage
+
 
 def sort_by(df: DataFrame, keys: Sequence[str], tie: Sequence[str]) -> DataFrame:
     """Ascending, NULLs last, ties broken by unique columns."""
@@ -20,10 +22,28 @@ def sort_by_rank(df: DataFrame, keys: Sequence[str], ranks: Sequence[str], tie:
     return out.drop(*ranks) if drop else out
 
 
-def sort_by_base_key(df: DataFrame, base_key: str, form_index: str, tie: Sequence[str] = ()) -> DataFrame:
+def sort_by_base_key(df: DataFrame, base_key: str, form_index: str, tie: Sequence[str]) -> DataFrame:
     return sort_by(df, [base_key, form_index], tie)
 
 
+def with_position(ordered: DataFrame, name: str = "position") -> DataFrame:
+    """A sorted frame with each row's place, from 0.
+
+    Rows are numbered inside their range partition and moved on by the rows of the partitions before, of which the driver
+    gets one count each; no row meets rows of another partition. The sorted frame is checkpointed, so both readings agree.
+    """
+    kept = cut_lineage(ordered.withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftrightunsigned("_at", 33)
+    counts = kept.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()
+    before, pairs = 0, []
+    for part_no, n in sorted((r["part"], r["n"]) for r in counts):
+        pairs += [F.lit(part_no), F.lit(before)]
+        before += n
+    first = F.try_element_at(F.create_map(*pairs), part) if pairs else F.lit(0).cast("bigint")
+    inside = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return kept.select(*ordered.columns, (first + inside).cast("bigint").alias(name))
+
+
 def mixed_class(num: Column, raw: Column) -> Column:
     """0 for numbers, 1 for text, 2 for NULL."""
     return F.when(raw.isNull(), F.lit(2)).when(num.isNull(), F.lit(1)).otherwise(F.lit(0))

@@ -19,3 +19,14 @@ def pin(df: DataFrame, columns: dict[str, Column], keep: list[str]) -> DataFrame
 
 def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+#: Stored bytes of compact pages that one task takes; cut up they take many times that.
+PAGE_BYTES = 32 << 20
+
+
+def page_partitions(pages: DataFrame) -> int:
+    """Tasks for a page job: the session's number, or more where the size that the optimizer knows asks for it."""
+    size = int(str(pages._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    known = size if size < 1 << 60 else 0
+    return max(shuffle_partitions(pages), -(-known // PAGE_BYTES))

@@ -175,8 +175,8 @@ def by_stat_block(pages: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- generations 4 to 9
 
 
-def page_fields(pages: DataFrame, gen: int) -> DataFrame:
-    """Page-level raw values of a multi-form page, each looked up once."""
+def page_fields(pages: DataFrame, gen: int, more: dict[str, str] | None = None) -> DataFrame:
+    """Page-level raw values of a multi-form page, each looked up once; ``more`` adds selectors."""
     path = V.TYPE_PATH[gen]
     head = "h2" if gen >= 7 else "b"
     type_cell = D.value_cell("Type", 5)
@@ -251,6 +251,7 @@ def page_fields(pages: DataFrame, gen: int) -> DataFrame:
         raw["extra"] = D.nth(D.all_texts(D.value_cell(V.EXTRA[gen][1], 4)), 0)
     if gen >= 8:
         raw["std_height"], raw["std_weight"] = standard["height"], standard["weight"]
+    raw.update(more or {})
     labels = ["National", "Type", "Classification", "Height", "Weight", "Gender Ratio", "Effort Values Earned",
               "Experience Growth", "Base Egg Steps", "Capture Rate", "Egg Groups", "Stats", "Alternate Forms", "Colour",
               "Ability", "Abilities", "Standard"] + ([V.EXTRA[gen][1]] if gen in V.EXTRA else [])
@@ -333,7 +334,9 @@ def _resolve(df: DataFrame, gen: int) -> DataFrame:
         block = F.get("specials", i - (C("n_forms") - C("n_special")))
         shared = F.when(F.size("named_types") > 0, F.coalesce(by_index, L.at(C("named_types"), 0)["types"])).otherwise(C("types"))
         special_types = F.when(i < C("n_forms") - C("n_special"), shared).otherwise(block["types"])
-    picked = F.when(mode == "map", by_name).when(mode == "index", by_index).otherwise(C("types"))
+    # icons of different type rows are never taken together
+    whole_page = F.when(n_types == 0, C("types")).otherwise(by_name)
+    picked = F.when(mode == "map", by_name).when(mode == "index", by_index).otherwise(whole_page)
     if gen >= 6:
         picked = F.when(C("n_special") > 0, special_types).otherwise(picked)
 
@@ -343,7 +346,7 @@ def _resolve(df: DataFrame, gen: int) -> DataFrame:
         heading = F.when(hit, F.lit(value)).otherwise(heading)
     evs = F.when(F.size("ev_map") == 1, L.at(F.map_values("ev_map"), 0)).otherwise(L.lookup(C("ev_map"), heading))
 
-    out = {"type_list": picked, "stats": F.get("stat_tables", stat), "ev_items": evs}
+    out = {"type_list": picked, "stats": F.get("stat_tables", stat), "ev_items": evs, "n_evs": F.size("ev_map")}
     if gen >= 6:
         out["special"] = F.when(C("n_special") > 0, block)
     used = {"named_types", "stat_tables", "ev_map", "types"} | ({"specials"} if gen >= 6 else set())
@@ -382,11 +385,14 @@ def _finish_forms(df: DataFrame, gen: int) -> DataFrame:
         height = F.coalesce(C("special")["height"], height)
         weight = F.coalesce(C("special")["weight"], weight)
     steps = X.replace_all(X.strip(C("egg_steps")), [(",", ""), (" (SWSH)", ""), (" Steps", "")])
-    eg1, eg2 = L.pair(C("eggs"), V.NO_EGGS)
-    rate = X.strip_parens(X.clean_ws(F.coalesce(F.get("cptr_rt", i), L.at(C("cptr_rt"), 0))))
+    eg1, eg2 = L.pair(C("eggs"))
+    first_rate = L.at(C("cptr_rt"), 0)
+    own_rate = F.when(C("name") == V.RATE_BY_FORM_NAME, F.get("cptr_rt", i)).otherwise(first_rate) if gen >= 7 else first_rate
+    rate = X.strip_parens(X.clean_ws(own_rate))
     listed = F.size("ev_items") > 0
     vec = F.when(listed, L.stat_vector(C("ev_items")))
-    one, two = L.pair(C("type_list"))
+    one, second = L.pair(C("type_list"))
+    two = F.when(F.size("type_list") == 2, second).otherwise(F.lit(""))
     out = {
         "page_id": C("page_id"),
         "dex_no": X.zfill(F.replace(X.clean_ws(C("dex_no")), F.lit("#"), F.lit("")), 4),
@@ -422,7 +428,7 @@ def _finish_forms(df: DataFrame, gen: int) -> DataFrame:
         "exp_growth": X.clean_ws(C("exp_growth")),
         "base_egg_steps": N.to_int(steps),
         "base_egg_steps_raw": F.when(steps == "", F.lit("N/A")).otherwise(steps),
-        "egg_group_one": F.when(C("no_eggs"), F.lit(V.NO_EGGS)).otherwise(eg1),
+        "egg_group_one": F.when(C("no_eggs"), F.lit(V.NO_EGGS)).otherwise(F.nullif(eg1, F.lit(""))),
         "egg_group_two": F.when(C("no_eggs"), F.lit("")).otherwise(eg2),
     })
     if gen in V.EXTRA:
@@ -431,11 +437,19 @@ def _finish_forms(df: DataFrame, gen: int) -> DataFrame:
         out[col] = X.recode(X.py_slice(text, -11), recodes) if recodes else text
     out["ev_vector"] = vec
     out["evs_raw"] = F.when(listed, F.array_join("ev_items", ", ")).otherwise(F.lit(V.NOT_LISTED))
+    out["_evs"] = C("evs").isNull() | (C("n_evs") > 1) & ~F.coalesce(listed, F.lit(False))
+    # a blank cell stands for no steps from generation 6 on; other texts must be numbers
+    blank_steps = (steps == "") & F.lit(gen >= 6)
+    out["_steps"] = ~F.coalesce(blank_steps, F.lit(False)) & N.to_int(steps).isNull()
     df = df.select(*[v.alias(k) for k, v in out.items()])
     df = df.select("*", *[L.at(C("ev_vector"), k).alias(c) for k, c in enumerate(V.EVS)]).drop("ev_vector")
 
-    must = ["dex_no", "name", "class", "height_ft", "weight_lb", "male_female_rate", "type_one", *V.BASE_STATS, "cptr_rt", "exp_growth"]
-    df = quality.validate(df, _missing(df, must))
+    must = ["dex_no", "name", "class", "height_ft", "weight_lb", "male_female_rate", "type_one", *V.BASE_STATS, "cptr_rt",
+            "exp_growth", "egg_group_one", *([V.EXTRA[gen][0]] if gen in V.EXTRA else [])]
+    no_ability = (F.coalesce(C("ability_one"), F.lit("")) == "" if gen == 4
+                  else ~F.coalesce(F.exists("abilities", lambda a: F.trim(F.replace(a, F.lit("Abilities:"), F.lit(""))) != ""), F.lit(False)))
+    df = quality.validate(df, {**_missing(df, must), "abilities: missing": no_ability, "evs: no block for the form": C("_evs"),
+                               "base_egg_steps: not a number": C("_steps")}).drop("_evs", "_steps")
     return _key_rules(df.withColumn("base_key", C("dex_no")), gen)
 
 
@@ -443,10 +457,10 @@ def _key_rules(df: DataFrame, gen: int) -> DataFrame:
     """Form suffix on the key, then the ordered overrides."""
     df = df.withColumn("dex_no", X.form_suffix(C("dex_no"), C("form")))
     base = C("base_key")
-    todo = [curate.rule({"dex_no": V.PLAIN_KEYS[gen]}, {"dex_no": base})] if gen in V.PLAIN_KEYS else []
+    todo = [curate.rule({"dex_no": V.PLAIN_KEYS[gen]}, {"dex_no": base}, ["base_key"])] if gen in V.PLAIN_KEYS else []
     if gen >= 8:
         todo += [curate.rule({"form": a}, {"form": b}) for a, b in V.FORM_LABELS.items()]
-    todo += [curate.rule({"form": f}, {"dex_no": F.concat(base, F.lit(s)) if s else base})
+    todo += [curate.rule({"form": f}, {"dex_no": F.concat(base, F.lit(s)) if s else base}, ["base_key"])
              for f, s in V.of_gen(V.FORM_SUFFIXES, gen)]
     if gen >= 8:
         todo += [curate.rule({"form": f}, {"male_female_rate": r}) for f, r in V.FORM_RATIOS.items()]
@@ -465,7 +479,7 @@ def extract(pages: DataFrame, gen: int) -> DataFrame:
 
 def dex(pages: DataFrame, gen: int, ordered: bool = True) -> tuple[DataFrame, DataFrame]:
     """(dex table, quarantined rows with reasons)."""
-    good, bad = quality.split_quarantine(extract(pages, gen))
+    good, bad = quality.write_split(extract(pages, gen), f"dex-g{gen}")
     if ordered:
         if gen >= 4:
             good = order.sort_by_base_key(good, "base_key", "form_index", ["page_id"])
@@ -476,25 +490,31 @@ def dex(pages: DataFrame, gen: int, ordered: bool = True) -> tuple[DataFrame, Da
 
 
 def profile(pages: DataFrame, gen: int = 8) -> DataFrame:
-    """How many nodes each selector finds per page, and which form rule the page would use."""
-    df = page_fields(pages, gen)
+    """How many nodes each selector finds per page, and which form rule the page would use. Generations 4 to 9."""
+    if gen < 4:
+        raise ValueError("pages of the first three generations are read by position and have no forms to profile")
+    more = {"height_texts": f"size({D.all_texts(D.value_cell('Height', 2))})"}
+    df = page_fields(pages, gen, more)
     n_types, n_forms, n_stats = F.size("type_rows"), F.size("alternates"), F.size("stat_tables")
-    special = F.size("specials")
+    special = F.size("specials") if gen >= 6 else F.lit(0)
     rule = (F.when(special > 0, "special forms").when((n_types == n_forms) & (n_forms == n_stats), "types = forms = stats")
             .when((n_types == n_forms) & (n_stats == 1), "types = forms, one stat table")
             .when((n_types == 0) & (n_forms == n_stats), "no types, forms = stats")
             .when((n_types == 0), "no types, forms differ from stats")
             .when((n_types != n_forms) & (n_forms == n_stats), "types differ, forms = stats").otherwise("else"))
-    col, _, recodes = V.EXTRA[gen]
     steps = X.replace_all(X.strip(C("egg_steps")), [(",", ""), (" (SWSH)", "")])
-    return df.select(
-        "page_id", X.zfill(F.replace(X.clean_ws(C("dex_no")), F.lit("#"), F.lit("")), 4).alias("dex_no"),
-        X.clean_ws(C("name")).alias("name"), rule.alias("selector"), special.alias("special_forms"), n_forms.alias("forms"),
-        n_types.alias("types"), n_stats.alias("stats"), C("n_captions").alias("stat_captions"),
-        F.replace(X.clean_ws(C("class")), F.lit(V.CLASS_END), F.lit("")).alias("class"),
-        _page_ratio(C("gender"), gen).alias("male_female_rate"),
-        F.size(_ability_groups()).alias("ability_groups"), F.length(L.at(C("cptr_rt"), 0)).alias("cptr_rt"),
-        X.clean_ws(C("exp_growth")).alias("exp_growth"), N.to_int(steps).alias("base_egg_steps"),
-        C("eggs").alias("egg_groups"), X.recode(X.py_slice(X.strip(C("extra")), -11), recodes).alias(col),
-        F.map_keys(L.segments_to_map(C("evs"))).alias("evs"),
-    )
+    abilities = F.array(C("abilities")) if gen > 4 else C("abilities")
+    out = {
+        "dex_no": X.zfill(F.replace(X.clean_ws(C("dex_no")), F.lit("#"), F.lit("")), 4), "name": X.clean_ws(C("name")),
+        "selector": rule, "special_forms": special, "forms": n_forms, "types": n_types, "stats": n_stats,
+        "stat_captions": C("n_captions"), "class": F.replace(X.clean_ws(C("class")), F.lit(V.CLASS_END), F.lit("")),
+        "height_ft": C("height_texts"), "male_female_rate": _page_ratio(C("gender"), gen), "abilities": abilities,
+        "ability_groups": F.size(_ability_groups()) if gen > 4 else F.lit(1), "cptr_rt": F.length(L.at(C("cptr_rt"), 0)),
+        "exp_growth": X.clean_ws(C("exp_growth")), "base_egg_steps": N.to_int(steps), "egg_groups": C("eggs"),
+    }
+    if gen in V.EXTRA:
+        col, _, recodes = V.EXTRA[gen]
+        text = X.strip(C("extra"))
+        out[col] = X.recode(X.py_slice(text, -11), recodes) if recodes else text
+    out["evs"] = F.map_keys(L.segments_to_map(C("evs")))
+    return df.select("page_id", *[v.alias(k) for k, v in out.items()])

@@ -28,22 +28,26 @@ EXTRA = {
 
 # Alternate form names that count as the normal form, and joined words, from generation 8.
 FORM_CUTS = {
-    8: [(f"{r} Form", "Normal") for r in ("Kantonian", "Johtonian", "Hoennian", "Unovan", "Kalosian", "Alolan")],
+    8: [("Kantonian Form", "Normal"), ("Johtonian Form", "Normal"), ("Hoennian Form", "Normal"), ("Unovan Form", "Normal"),
+        ("Kalosian Form", "Normal"), ("Alolan Form", "Normal")],
+    9: [("Kantonian Form", "Normal"), ("Johtonian Form", "Normal"), ("Hoennian Form", "Normal"), ("Unovan Form", "Normal"),
+        ("Kalosian Form", "Normal"), ("Alolan Form", "Normal"), ("Paldean FormA", "Paldean Form A"),
+        ("Paldean FormB", "Paldean Form B"), ("Paldean FormC", "Paldean Form C")],
 }
-FORM_CUTS[9] = FORM_CUTS[8] + [("Paldean FormA", "Paldean Form A"), ("Paldean FormB", "Paldean Form B"),
-                               ("Paldean FormC", "Paldean Form C")]
 
 # Forms of names whose page lists them otherwise.
 FIXED_FORMS = {
     7: {"Minior": ["Meteor Form", "Core Form"], "Floette": ["", "Eternal Flower"]},
     8: {"Minior": ["Meteor Form", "Core Form"],
         "Darmanitan": ["Normal Standard Mode", "Normal Zen Mode", "Galarian Form Standard Mode", "Galarian Form Zen Mode"],
-        **{n: ["Male", "Female"] for n in ("Indeedee", "Basculegion")},
-        **{n: [""] for n in ("Pikachu", "Burmy", "Cherrim", "Shellos", "Gastrodon", "Arceus")}},
+        "Indeedee": ["Male", "Female"], "Basculegion": ["Male", "Female"],
+        "Pikachu": [""], "Burmy": [""], "Cherrim": [""], "Shellos": [""], "Gastrodon": [""], "Arceus": [""]},
     9: {"Minior": ["Meteor Form", "Core Form"], "Ursaluna": ["Normal", "Bloodmoon"],
-        **{n: ["Male", "Female"] for n in ("Meowstic", "Indeedee", "Basculegion")},
-        **{n: [""] for n in ("Pikachu", "Burmy", "Cherrim", "Shellos", "Gastrodon", "Arceus")}},
+        "Meowstic": ["Male", "Female"], "Indeedee": ["Male", "Female"], "Basculegion": ["Male", "Female"],
+        "Pikachu": [""], "Burmy": [""], "Cherrim": [""], "Shellos": [""], "Gastrodon": [""], "Arceus": [""]},
 }
+# Fixed value: the name whose forms have a capture rate each; all others take the first.
+RATE_BY_FORM_NAME = "Minior"
 # Fixed value: a name whose several type rows do not make forms.
 ONE_FORM_NAME = "Castform"
 

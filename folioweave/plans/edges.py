@@ -6,24 +6,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioweave.functions import text as X
-from folioweave.operators import curate, html, order, rows
+from folioweave.operators import curate, html, order, quality, rows
 from folioweave.plans import edge_values as V
 from folioweave.session import cut_lineage
-from folioweave.sources.pages import tag_pages
 
 C = F.col
 KEY_PREFIX = "View Pokedex for #"  # fixed value: start of a key link's title
-RANKS = ["method_rank", "games_rank", "stage", "page_id", "row_no"]
+RANKS = ["method_rank", "games_rank", "stage", "page_id", "row"]
 WIDE = [*V.COLUMNS[6][:1], "evolves_from_form", "evolves_to", "evolves_to_form", *V.COLUMNS[6][2:]]
 
 
 def extract_edges(pages: DataFrame, gen: int) -> DataFrame:
-    """One row per table row of the method pages, conditions routed to their columns.
+    """One row per data row of the method pages, conditions routed to their columns, with ``errors``.
 
-    Keeps ``page_id`` and ``row_no`` as arrival order. Rows without both keys are left out.
+    Keeps ``page_id`` and ``row``, the position of the row's tag, as arrival order. A page of an unknown method and a row
+    without both keys come with their reason.
     """
-    method = F.regexp_extract("url", r"/evolution/([a-z]+)", 1)
-    tagged = tag_pages(pages, V.METHODS, "method", method)
+    tagged = pages.withColumn("method", F.regexp_extract("url", r"/evolution/([a-z]+)", 1))
     toks = html.structure(tagged, keep=["method"])
 
     def in_class(name: str) -> Column:
@@ -45,14 +44,15 @@ def extract_edges(pages: DataFrame, gen: int) -> DataFrame:
         "evolves_to_form": form(3),
         "level": html.first_of(own & in_class("cell-num"), text),
         "_text": html.joined_of(in_class("cell-med-text"), text),
+        "_cells": F.count_if(C("tag") == "td"),
     }, keep=["method"])
-    found = found.filter(C("_from").isNotNull() & C("_to").isNotNull())
+    found = found.filter(C("_cells") > 0)  # a row of headings is no data
 
     def number(c: str) -> Column:
         return F.left(F.replace(C(c), F.lit(KEY_PREFIX), F.lit("")), F.lit(4))
 
     out = {
-        "page_id": C("page_id"), "row_no": C("row_no"),
+        "page_id": C("page_id"), "row": C("row"),
         "evolves_from": X.region_suffix(number("_from"), C("evolves_from_form")),
         "evolves_from_form": C("evolves_from_form"),
         "evolves_to": X.region_suffix(number("_to"), C("evolves_to_form")),
@@ -73,7 +73,11 @@ def extract_edges(pages: DataFrame, gen: int) -> DataFrame:
         }, default="other_condition"))
     for c in WIDE:
         out.setdefault(c, F.lit(""))
-    return found.select(*[v.alias(k) for k, v in out.items()])
+    table = found.select(*[v.alias(k) for k, v in out.items()], C("_from").isNull().alias("_no_from"), C("_to").isNull().alias("_no_to"))
+    checked = quality.validate(table, {
+        "evolves_from: missing": C("_no_from"), "evolves_to: missing": C("_no_to"),
+        "method: unknown": ~C("method").isin(*V.METHODS)})
+    return checked.drop("_no_from", "_no_to")
 
 
 def _rules(table: list[tuple], gen: int) -> list[curate.Rule]:
@@ -84,7 +88,7 @@ def add_rows(df: DataFrame, gen: int) -> DataFrame:
     """First edits, added rows, copied rows, second edits. Adds ``stage`` to the arrival order."""
     df = curate.apply_rules(df, _rules(V.FIRST_RULES, gen)).withColumn("stage", F.lit(0))
     blank = {c: "" for c in WIDE}
-    added = [{**blank, **r, "stage": 1, "page_id": 0, "row_no": i} for i, r in enumerate(V.ADDED.get(gen, []))]
+    added = [{**blank, **r, "stage": 1, "page_id": 0, "row": i} for i, r in enumerate(V.ADDED.get(gen, []))]
     df = rows.append_rows(df, added)
     if gen in V.DROPPED_FORMS:
         df = curate.drop_where(df, C("evolves_to_form").isin(*V.DROPPED_FORMS[gen]))
@@ -126,10 +130,10 @@ def move_texts(df: DataFrame, gen: int) -> DataFrame:
     if gen >= 4:
         item, other = C("item_used"), C("other_condition")
         df = curate.apply_rules(df, [
-            curate.rule({"item_used": ("ends", ", ")}, {"item_used": X.rstrip_set(item, ", ")}),
-            curate.rule({"item_used": ("ends", ",")}, {"item_used": X.rstrip_set(item, ",")}),
-            curate.rule({"other_condition": ("starts", ", ")}, {"other_condition": X.py_slice(other, 2)}),
-            curate.rule({"other_condition": ("ends", ", ")}, {"other_condition": X.rstrip_set(other, ", ")}),
+            curate.rule({"item_used": ("ends", ", ")}, {"item_used": X.rstrip_set(item, ", ")}, ["item_used"]),
+            curate.rule({"item_used": ("ends", ",")}, {"item_used": X.rstrip_set(item, ",")}, ["item_used"]),
+            curate.rule({"other_condition": ("starts", ", ")}, {"other_condition": X.py_slice(other, 2)}, ["other_condition"]),
+            curate.rule({"other_condition": ("ends", ", ")}, {"other_condition": X.rstrip_set(other, ", ")}, ["other_condition"]),
         ])
         level = {"method": "level"}
         df = curate.move_by_affix(df, "other_condition", "move_learned", "after ", " learned", also=level,
@@ -158,23 +162,36 @@ def keep_generation(df: DataFrame, gen: int) -> DataFrame:
     return df
 
 
-def curate_edges(edges: DataFrame, gen: int) -> DataFrame:
-    """Extracted edges to the generation's table, with ranks kept for sorting.
+def ranked_edges(edges: DataFrame, gen: int) -> DataFrame:
+    """Edges after the first edits and added rows, with ranks; ``errors`` names versions the generation does not know."""
+    df = add_ranks(add_rows(edges, gen), gen)
+    return quality.validate(df, {"versions: unknown": C("games_rank").isNull(), "method: unknown": C("method_rank").isNull()})
+
+
+def curate_edges(ranked: DataFrame, gen: int) -> DataFrame:
+    """Ranked edges to the generation's table, with ranks kept for sorting.
 
     One shuffle, by the duplicate key. The text edits never touch the key copies or ranks, so
     they give the same rows before the dedup as after it. Done before, they run in the map
     tasks, and the window keeps the last filters from being pushed down into the edit chain,
     where each would repeat its expressions.
     """
-    df = move_texts(add_ranks(add_rows(edges, gen), gen), gen)
-    df = keep_generation(dedup(df), gen)
+    df = keep_generation(dedup(move_texts(ranked, gen)), gen)
     return df.select(*V.COLUMNS[gen], *RANKS)
 
 
-def evolutions(pages: DataFrame, gen: int, prune: bool = True, ordered: bool = True) -> DataFrame:
-    """The evolution table of one generation from its stored pages."""
-    df = curate_edges(extract_edges(pages, gen), gen)
+def evolutions(pages: DataFrame, gen: int, prune: bool = True, ordered: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(the evolution table of one generation, quarantined rows with their reasons).
+
+    The pages are read once: what they hold is written and both results read it.
+    """
+    good, bad = quality.write_split(extract_edges(pages, gen), f"edges-g{gen}")
+    good, late = quality.split_quarantine(ranked_edges(good, gen))
+    df = curate_edges(good, gen)
+    reasons = ["page_id", "row", "errors"]
+    bad = bad.select(*reasons).unionByName(late.select(*reasons))
     if prune and gen >= 2:
         # the columns to keep are known only after a run: keep that run's rows
         df = curate.prune_null_columns(cut_lineage(df), keep=RANKS)
-    return order.sort_by_rank(df, ["evolves_from", "evolves_to"], RANKS, []) if ordered else df.drop(*RANKS)
+    table = order.sort_by_rank(df, ["evolves_from", "evolves_to"], RANKS, []) if ordered else df.drop(*RANKS)
+    return table, bad

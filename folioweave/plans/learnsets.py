@@ -40,11 +40,12 @@ KEY_PLACE = {1: ("fooinfo", 3), 2: (None, 11)}
 def _section(caption: str, exact: bool, test: str | None) -> str:
     """SQL text: struct of the section's moves and values."""
     match = f"n.text = {sql_value(caption)}" if exact else f"contains(n.text, {sql_value(caption)})"
-    tbl = f"get(transform(filter(named, n -> n.row_no = 1 AND {match}), n -> n.tbl), 0)"
-    moves = "transform(filter(texts, t -> t.tbl = s AND t.row_no > 2 AND t.prev = 'a'), t -> t.text)"
-    values = (f"transform(filter(texts, t -> t.tbl = s AND t.row_no > 2 AND t.cls = 'fooinfo' AND t.direct AND {test} "
+    # every table with the caption counts, in page order
+    tables = f"array_distinct(transform(filter(named, n -> n.row_no = 1 AND {match}), n -> n.tbl))"
+    moves = "transform(filter(texts, t -> array_contains(s, t.tbl) AND t.row_no > 2 AND t.prev = 'a'), t -> t.text)"
+    values = (f"transform(filter(texts, t -> array_contains(s, t.tbl) AND t.row_no > 2 AND t.cls = 'fooinfo' AND t.direct AND {test} "
               "AND trim(t.text) <> ''), t -> t.text)" if test else "CAST(array() AS array<string>)")
-    return D.let(tbl, f"named_struct('moves', {moves}, 'vals', {values})", "s")
+    return D.let(tables, f"named_struct('moves', {moves}, 'vals', {values})", "s")
 
 
 def sections(pages: DataFrame, gen: int) -> DataFrame:
@@ -84,7 +85,7 @@ def merge_sections(df: DataFrame, cols: list[str]) -> DataFrame:
 def learnsets(pages: DataFrame, gen: int, ordered: bool = True) -> tuple[DataFrame, DataFrame]:
     """(learnset table, quarantined pages with reasons)."""
     cols = [s[0] for s in SECTIONS[gen]]
-    good, bad = quality.split_quarantine(sections(pages, gen))
+    good, bad = quality.write_split(sections(pages, gen), f"learnsets-g{gen}")
     df = merge_sections(good, cols)
     df = df.withColumn("level_raw", C("level")).withColumn("level", N.to_numeric(C("level")))
     df = df.select("dex_no", "move", "level", "level_raw", *cols[1:], F.lit(gen).alias("gen"), "page_id")

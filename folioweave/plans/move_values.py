@@ -14,10 +14,13 @@ from __future__ import annotations
 
 BW, DP, DEX, DEXDP = "/pokedex-bw/type/", "/pokedex-dp/type/", "/attackdex/type/", "/attackdex-dp/type/"
 
-# Notes that are cut from numbers.
-NUMBER_CUTS = {7: [(" (SMUSUM)", "")]}
-# Cuts for the effect rate.
-RATE_CUTS = [(" ", ""), ("%", ""), ("--", "—")]
+# Notes that are cut from numbers, by generation and field.
+NUMBER_CUTS = {(7, "power_points"): [(" (SMUSUM)", "")], (7, "base_power"): [(" (SMUSUM)", "")]}
+# Cuts for the effect rate, by generation.
+FIRST_RATE_CUTS = [("--", "—"), (" ", ""), ("%", "")]
+LATER_RATE_CUTS = [(" %", ""), ("--", "—")]
+RATE_CUTS = {1: FIRST_RATE_CUTS, 2: FIRST_RATE_CUTS, 3: LATER_RATE_CUTS, 4: LATER_RATE_CUTS, 5: LATER_RATE_CUTS,
+             6: LATER_RATE_CUTS, 7: LATER_RATE_CUTS, 8: LATER_RATE_CUTS, 9: LATER_RATE_CUTS}
 # Fixed value: the label that marks a page with further information.
 IN_DEPTH = "In-Depth Effect:"
 

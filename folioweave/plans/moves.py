@@ -25,8 +25,10 @@ def _raw(kind: str, sel: tuple, gen: int) -> str:
         return D.nth(D.texts_after(D.nth(D.cells(sel[0]), sel[1] - 1), "br"), 0)
     if kind in ("aligned", "aligned_icon"):
         # k-th centred cell of its own row, first such cell of the page
-        place = "size(filter(cells, x -> x.row = c.row AND x.align = 'center' AND x.pos <= c.pos))"
-        cell = D.nth(D.cells(where=f"c.align = 'center' AND {place} = {sel[0]}"), 0)
+        k = sel[0]
+        hits = (f"filter(m, (c, i) -> get(m, i - {k - 1}).row = c.row AND coalesce(get(m, i - {k}).row <> c.row, true))")
+        first = f"get(array_sort(transform({hits}, c -> named_struct('pos', c.pos, 'stop', c.stop))), 0)"
+        cell = D.let("centred", first, "m")
         return D.nth(D.own_texts(cell), 0) if kind == "aligned" else D.nth(D.values_in(cell, starts=sel[1]), 0)
     if kind == "icon":
         return D.nth(D.values_in(D.nth(D.cells(sel[0]), sel[1] - 1), starts=sel[2]), 0)
@@ -56,10 +58,10 @@ def _clean(name: str, kind: str, sel: tuple, gen: int) -> Column:
         return raw
     text = X.clean_ws(raw)
     if name == "effect_rate":
-        return X.replace_all(text, V.RATE_CUTS)
+        return X.replace_all(text, V.RATE_CUTS[gen])
     if name == "tm_no" and gen <= 3:
         return X.replace_all(text, [("None", "")])
-    return X.replace_all(text, V.NUMBER_CUTS.get(gen, []))
+    return X.replace_all(text, V.NUMBER_CUTS.get((gen, name), []))
 
 
 def move_fields(gen: int) -> list[tuple[str, str, tuple, str]]:
@@ -75,6 +77,10 @@ def extract_moves(pages: DataFrame, gen: int) -> DataFrame:
     specs = move_fields(gen)
     labels = [s[2][0] for s in specs if "below" in s[1] or s[1] in ("beside_icon", "optional_icon")]
     docs = fields.with_labels(fields.documents(pages), labels)
+    if any(s[1].startswith("aligned") for s in specs):
+        # sorted by row, so that a cell's number among its row's centred cells is a look back
+        place = "named_struct('row', c.row, 'pos', c.pos, 'stop', c.stop)"
+        docs = docs.withColumn("centred", F.expr(f"array_sort(transform(filter(cells, c -> c.align = 'center'), c -> {place}))"))
     raw = plan.pin(docs, {f"raw_{n}": F.expr(_raw(k, sel, gen)) for n, k, sel, _ in specs}, keep=["page_id"])
     clean = raw.select("page_id", *[_clean(n, k, sel, gen).alias(n) for n, k, sel, _ in specs])
 
@@ -102,7 +108,7 @@ def extract_moves(pages: DataFrame, gen: int) -> DataFrame:
 
 def moves(pages: DataFrame, gen: int, ordered: bool = True) -> tuple[DataFrame, DataFrame]:
     """(move table, quarantined pages with reasons)."""
-    good, bad = quality.split_quarantine(extract_moves(pages, gen))
+    good, bad = quality.write_split(extract_moves(pages, gen), f"moves-g{gen}")
     good = good.withColumn("gen", F.lit(gen))
     if ordered:
         good = order.sort_by(good, ["move_name"], ["page_id"])

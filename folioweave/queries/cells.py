@@ -13,7 +13,7 @@ from folioweave.sources.pages import read_pages
 C = F.col
 
 CLEAN = r"""clean AS (SELECT page_id, regexp_replace(html,
-    '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', '', 'g') AS h FROM pages)"""
+    '(?is)<script\b.*?(?:</script\b[^>]*>|\z)|<style\b.*?(?:</style\b[^>]*>|\z)|<!--.*?(?:-->|\z)|<[/!?A-Za-z][^<>]*\z', '', 'g') AS h FROM pages)"""
 TOK = CLEAN + r""", tok AS (SELECT page_id, u.tok, u.pos - 1 AS pos FROM clean,
     unnest(regexp_extract_all(h, '<[^>]*>|[^<]+')) WITH ORDINALITY AS u(tok, pos)),
     tag AS (SELECT page_id, pos, tok, CASE WHEN tok LIKE '<%' THEN
@@ -35,6 +35,22 @@ def h1(spark, sf):
     return html.shred(pages(spark, sf)).groupBy("page_id", "tag").agg(F.count("*").alias("n"))
 
 
+# pieces whose tags a plain pattern gets wrong, before and after a page that ends with a whole tag
+ODD_START = "<p title='Attack > Defense'>a < b <i>x</i> 3 <4</p>"
+ODD_END = "<em>last</em><script>var t = '<p>no</p>';"
+
+
+@query("h1_grammar", f"""
+    WITH {TOK}, t AS (SELECT page_id, tag, count(*) AS n FROM tag GROUP BY ALL
+      UNION ALL SELECT page_id, unnest(['p', '#text', 'i', '#text', '/i', '#text', '/p', 'em', '#text', '/em']), 1 FROM pages)
+    SELECT page_id, tag, sum(n)::BIGINT AS n FROM t GROUP BY ALL""")
+def h1_grammar(spark, sf):
+    # a cut-off tag at the end of a page goes first, as the page alone would lose it
+    whole = html.clean_html(C("html"))
+    odd = pages(spark, sf).select("page_id", "url", F.concat(F.lit(ODD_START), whole, F.lit(ODD_END)).alias("html"))
+    return html.shred(odd).groupBy("page_id", "tag").agg(F.count("*").alias("n"))
+
+
 @query("h1_depth", f"""
     WITH {TOK}, d AS (SELECT page_id, pos, greatest(0, sum((tag = 'p')::INT) OVER w -
         coalesce(sum((tag = '/p')::INT) OVER (PARTITION BY page_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS depth
@@ -101,8 +117,10 @@ def h5(spark, sf):
     WITH {TOK} SELECT a.page_id, b.tok AS heading FROM tag a JOIN tag b
       ON a.page_id = b.page_id AND b.pos = a.pos + 1 WHERE a.tag = 'h1'""")
 def h6(spark, sf):
-    toks = html.shred(pages(spark, sf))
-    return joins.value_below(toks, ["page_id"], "pos", C("tag") == "h1", "tok", out="heading").drop("pos")
+    def beside(x):
+        return html.nth_after(C("n"), x["pos"], 1)["tok"]
+    found = F.transform(html.where(C("n"), html.is_tag("h1")), beside)
+    return nodes(spark, sf).select("page_id", F.explode(found).alias("heading"))
 
 
 @query("h6_next_turn", """
@@ -127,6 +145,18 @@ def h8(spark, sf):
     return nodes(spark, sf).select("page_id", html.full_text(C("n")).alias("page_text"))
 
 
+@query("h8_entities", """
+    SELECT p_partkey, p_name || ' 😀 😀 é üñ£ ' || chr(128512 + (p_partkey % 60)::INTEGER) || ' & &unknown; ' AS text,
+      'x&y' || p_size AS title FROM part""")
+def h8_entities(spark, sf):
+    k = (C("p_partkey") % 60).cast("int")
+    body = F.concat(F.lit("<p title='x&amp;y"), C("p_size").cast("string"), F.lit("'>"), C("p_name"),
+                    F.lit(" &#128512; &#x1F600; &#x000E9; &uuml;&ntilde;&pound; &#"), (k + 128512).cast("string"), F.lit("; &amp; &unknown; </p>"))
+    rows = table(spark, sf, "part").select("p_partkey", "p_size", "p_name", html.flat_nodes(body).alias("n"))
+    return rows.select("p_partkey", html.unescape(html.full_text(C("n"))).alias("text"),
+                       html.attr(html.nth(C("n"), 0)["tok"], "title").alias("title"))
+
+
 @query("h9_code", f"""
     WITH {CLEAN} SELECT page_id, list_transform(regexp_extract_all(h, '<a href="([^"]*)"', 1),
       lambda x: upper(left(replace(replace(x, '/', ''), ',', ''), 1)) || lower(substr(replace(replace(x, '/', ''), ',', ''), 2)))[1] AS code
@@ -149,9 +179,10 @@ def h10(spark, sf):
 
 @query("h11_icons", rf"""
     WITH {CLEAN} SELECT page_id, len(regexp_extract_all(h, '<b>'))::INTEGER AS n_bold,
-      0::INTEGER AS n_img FROM clean""")
+      (page_id % 4)::INTEGER AS n_img FROM clean""")
 def h11(spark, sf):
-    body = html.clean_html(C("html"))
+    icons = F.repeat(F.lit("<IMG src='/i.png'>"), (C("page_id") % 4).cast("int"))
+    body = F.concat(icons, html.clean_html(C("html")))
     return pages(spark, sf).select(
         "page_id", html.icon_count(body, r"<b\b").alias("n_bold"), html.icon_count(body, r"<img\b").alias("n_img"))
 

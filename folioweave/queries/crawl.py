@@ -46,6 +46,26 @@ def s2_first(spark, sf):
         "page_id", "container_no", "href")
 
 
+@query("s2_nested", """
+    SELECT page_id, u.pos::INTEGER AS pos, u.href FROM pages,
+      unnest(['/1/' || page_id, '/2/' || page_id, '/3/' || page_id]) WITH ORDINALITY AS u(href, pos)""")
+def s2_nested(spark, sf):
+    def to(n):
+        return F.concat(F.lit(f"<a href=/{n}/"), C("page_id").cast("string"), F.lit(">x</a>"))
+    boxes = F.concat(F.lit("<section><section>"), to(1), F.lit("<section></section></section>"), to(2), F.lit("</section>"),
+                     F.lit("<a href=/out>x</a><section>"), to(3))
+    pages = S.read_pages(spark, f"{sf}/pages.parquet").select("page_id", "url", boxes.alias("html"))
+    return S.discover_links(pages, "section", "a", "href").select("page_id", "pos", "href")
+
+
+@query("s3_entities", f"""
+    SELECT page_id, {ROOT.format(u='url')} || '/p?a=' || page_id || '&b=2' AS target FROM pages""")
+def s3_entities(spark, sf):
+    link = F.concat(F.lit("<nav><a title='1 > 0' href='/p?a="), C("page_id").cast("string"), F.lit("&amp;b=2'>x</a></nav>"))
+    pages = S.read_pages(spark, f"{sf}/pages.parquet").select("page_id", "url", link.alias("html"))
+    return S.resolve_links(S.discover_links(pages, "nav", "a", "href")).select("page_id", "target")
+
+
 @query("s3_resolve", f"""
     WITH {LINKS}, v AS (SELECT page_id, pos, url, href, substr(href, 2) AS bare,
         {ROOT.format(u='url')} AS root, regexp_extract(url, '^([^?#]*)', 1) AS page,
@@ -77,6 +97,11 @@ def s4(spark, sf):
     return S.filter_hosts(pages, "url", ALLOWED).select("page_id", U.host(C("url")).alias("host"))
 
 
+@query("s4_open", "SELECT page_id, url FROM pages")
+def s4_open(spark, sf):
+    return S.filter_hosts(S.read_pages(spark, f"{sf}/pages.parquet").select("page_id", "url"), "url", [])
+
+
 @query("s5_urls", f"SELECT {CANON.format(u='url')} AS canonical_url, min(page_id) AS page_id FROM pages GROUP BY 1")
 def s5(spark, sf):
     pages = S.read_pages(spark, f"{sf}/pages.parquet").select("page_id", "url")

@@ -137,6 +137,19 @@ def u2(spark, sf):
     return curate.apply_rules(df, rules).select("o_orderkey", "note", "o_orderstatus", "place")
 
 
+@query("u2_column_values", """
+    SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'new' ELSE o_orderpriority END AS a,
+      CASE WHEN o_custkey % 2 = 0 THEN CASE WHEN o_orderstatus = 'F' THEN 'new' ELSE o_orderpriority END || '!' ELSE o_clerk END AS b,
+      CASE WHEN o_custkey % 3 = 0 THEN 'last' ELSE o_orderstatus END AS o_orderstatus FROM (SELECT *, 'c' AS o_clerk FROM orders)""")
+def u2_columns(spark, sf):
+    df = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", C("o_orderpriority").alias("a"), F.lit("c").alias("b"))
+    df = df.withColumn("even", C("o_custkey") % 2).withColumn("third", C("o_custkey") % 3)
+    rules = [curate.rule({"o_orderstatus": "F"}, {"a": "new"}),
+             curate.rule({"even": 0}, {"b": F.concat(C("a"), F.lit("!"))}),  # reads what the rule before wrote
+             curate.rule({"third": 0}, {"o_orderstatus": "last"})]
+    return curate.apply_rules(df, rules).select("o_orderkey", "a", "b", "o_orderstatus")
+
+
 @query("u3_move", """
     WITH a AS (SELECT p_partkey, p_name AS item, p_type || ' red small' AS other, '' AS color, '' AS size FROM part),
     b AS (SELECT p_partkey, replace(item, 'red', '') AS item, replace(other, 'red', '') AS other,
@@ -280,6 +293,16 @@ def j1(spark, sf):
     return joins.outer_merge(c, s, ["nationkey"])
 
 
+@query("j1_null_keys", """
+    WITH c AS (SELECT NULLIF(c_nationkey, 3) AS k, count(*) AS n_cust FROM customer WHERE c_nationkey < 20 GROUP BY 1),
+         s AS (SELECT NULLIF(NULLIF(s_nationkey, 7), 8) AS k, count(*) AS n_supp FROM supplier WHERE s_nationkey > 4 GROUP BY 1)
+    SELECT coalesce(c.k, s.k) AS nationkey, n_cust, n_supp FROM c FULL JOIN s ON c.k IS NOT DISTINCT FROM s.k""")
+def j1_null(spark, sf):
+    c = table(spark, sf, "customer").filter("c_nationkey < 20").groupBy(F.expr("nullif(c_nationkey, 3)").alias("nationkey"))
+    s = table(spark, sf, "supplier").filter("s_nationkey > 4").groupBy(F.expr("nullif(nullif(s_nationkey, 7), 8)").alias("nationkey"))
+    return joins.outer_merge(c.agg(F.count("*").alias("n_cust")), s.agg(F.count("*").alias("n_supp")), ["nationkey"])
+
+
 CHAIN = """
     WITH a AS (SELECT o_custkey AS k, left(o_orderpriority, 1) AS p, min(o_orderkey) AS first_order FROM orders GROUP BY 1, 2),
     b AS (SELECT o_custkey AS k, left(o_orderpriority, 1) AS p, o_orderkey AS late_order FROM orders WHERE o_totalprice > 400000),
@@ -307,7 +330,8 @@ def j2(spark, sf):
 
 @query("j2_outer_chain_even", CHAIN)
 def j2_even(spark, sf):
-    return joins.outer_merge_all(chain_frames(spark, sf), ["k", "p"], even_keys=True)
+    # the same merge with two keys named as heavy: one that all frames may hold, one that some lack
+    return joins.outer_merge_all(chain_frames(spark, sf), ["k", "p"], heavy=[(7, "1"), (10, "2")], slices=4)
 
 
 @query("j3_lookup", """
@@ -408,50 +432,55 @@ BAD = "(o_custkey % 11 = 0 OR o_orderstatus = 'O' OR o_totalprice < 5000)"
     SELECT 'bad' AS part, count(*) AS n, sum(o_orderkey)::BIGINT AS keys FROM orders WHERE {BAD}
     UNION ALL SELECT 'good', count(*), sum(o_orderkey)::BIGINT FROM orders WHERE NOT {BAD}""")
 def q2(spark, sf):
-    good, bad = quality.split_quarantine(checked_orders(spark, sf))
+    good, bad = quality.write_split(checked_orders(spark, sf), "orders")
     def tell(df, name):
         return df.agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys")).select(F.lit(name).alias("part"), "n", "keys")
     return tell(good, "good").unionByName(tell(bad, "bad"))
 
 
-@query("o1_sort", "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem")
+@query("o1_sort", """
+    SELECT l_orderkey, l_linenumber, l_partkey,
+      row_number() OVER (ORDER BY l_shipdate NULLS LAST, l_orderkey, l_linenumber, l_partkey) - 1 AS position FROM lineitem""")
 def o1(spark, sf):
     df = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
-    return order.sort_by(df, ["l_shipdate"], ["l_orderkey", "l_linenumber", "l_partkey"]).drop("l_shipdate")
+    return order.with_position(order.sort_by(df, ["l_shipdate"], ["l_orderkey", "l_linenumber", "l_partkey"])).drop("l_shipdate")
 
 
-@query("o2_sort_by_rank", """
-    SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN 'zz' ELSE o_orderpriority END AS method FROM orders""")
+@query("o2_sort_by_rank", f"""
+    SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN 'zz' ELSE o_orderpriority END AS method,
+      row_number() OVER (ORDER BY o_custkey, {RANK}, o_orderkey) - 1 AS position FROM orders""")
 def o2(spark, sf):
     df = table(spark, sf, "orders").select(
         "o_orderkey", "o_custkey", C("o_orderpriority").alias("method"),
         curate.rank_of(C("o_orderpriority"), PRIORITIES).alias("method_rank"))
     df = curate.apply_rules(df, [curate.rule({"method": "1-URGENT"}, {"method": "zz"})])
-    return order.sort_by_rank(df, ["o_custkey"], ["method_rank"], ["o_orderkey"]).drop("o_custkey")
+    return order.with_position(order.sort_by_rank(df, ["o_custkey"], ["method_rank"], ["o_orderkey"])).drop("o_custkey")
 
 
 @query("o3_base_key", f"""
-    SELECT {KEY4.format(k='p_partkey')} || lower(left(u.form, 2)) AS dex_key, (u.pos - 1)::INTEGER AS form_index FROM part,
+    SELECT {KEY4.format(k='p_partkey')} || lower(left(u.form, 2)) AS dex_key, (u.pos - 1)::INTEGER AS form_index,
+      row_number() OVER (ORDER BY {KEY4.format(k='p_partkey')}, u.pos, p_partkey) - 1 AS position FROM part,
       unnest(string_split(p_name, ' ')) WITH ORDINALITY AS u(form, pos)""")
 def o3(spark, sf):
     df = rows.explode_forms(table(spark, sf, "part").select("p_partkey", F.split("p_name", " ").alias("forms")), "forms")
     df = df.withColumn("base", X.zfill(C("p_partkey").cast("string"), 4))
-    ordered = order.sort_by_base_key(df, "base", "form_index")
-    return ordered.select(X.form_suffix(C("base"), C("form")).alias("dex_key"), "form_index")
+    ordered = order.with_position(order.sort_by_base_key(df, "base", "form_index", ["p_partkey"]))
+    return ordered.select(X.form_suffix(C("base"), C("form")).alias("dex_key"), "form_index", "position")
 
 
 @query("o4_mixed", """
     WITH t AS (SELECT o_custkey, o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN NULL WHEN 1 THEN o_orderpriority
                ELSE (o_orderkey % 97)::VARCHAR END AS raw FROM orders)
-    SELECT o_custkey, o_orderkey, CASE WHEN raw IS NULL THEN 2 WHEN TRY_CAST(raw AS INTEGER) IS NULL THEN 1 ELSE 0 END AS class,
-      TRY_CAST(raw AS INTEGER) AS num, raw FROM t""")
+    , c AS (SELECT o_custkey, o_orderkey, CASE WHEN raw IS NULL THEN 2 WHEN TRY_CAST(raw AS INTEGER) IS NULL THEN 1 ELSE 0 END AS class,
+      TRY_CAST(raw AS INTEGER) AS num, raw FROM t)
+    SELECT *, row_number() OVER (ORDER BY o_custkey, class, num NULLS LAST, raw NULLS LAST, o_orderkey) - 1 AS position FROM c""")
 def o4(spark, sf):
     k = C("o_orderkey") % 4
     raw = F.when(k == 1, C("o_orderpriority")).when(k > 1, (C("o_orderkey") % 97).cast("string"))
     num, text = N.int_or_raw(C("raw"))
     df = table(spark, sf, "orders").select("o_custkey", "o_orderkey", raw.alias("raw")).withColumn("num", num)
     df = df.withColumn("class", order.mixed_class(C("num"), C("raw")))
-    return df.orderBy(C("o_custkey"), *order.mixed_order(C("num"), C("raw")), C("o_orderkey"))
+    return order.with_position(df.orderBy(C("o_custkey"), *order.mixed_order(C("num"), C("raw")), C("o_orderkey")))
 
 
 @query("edge_curation", f"""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from folioweave.functions.literals import sql_value
 from folioweave.plans import dex
 from folioweave.plans import dex_values as V
-from folioweave.queries.registry import query, table
+from folioweave.queries.registry import finished, query, table
 
 C = F.col
 
@@ -170,7 +170,7 @@ def dex_sql(gen: int) -> str:
     where = f"WHERE {cols['dex_no']} NOT IN ({gone})" if gone else ""
     return f"""WITH f AS (SELECT part.*, u.form, (u.pos - 1)::INTEGER AS i FROM part,
         unnest(CASE {v} WHEN 0 THEN [''] WHEN 3 THEN {last} ELSE ['Plant Form', 'Sandy Form'] END) WITH ORDINALITY AS u(form, pos))
-        SELECT {picked} FROM f {where}"""
+        SELECT {picked}, row_number() OVER (ORDER BY {KEY.format(str="VARCHAR")}, i, p_partkey) - 1 AS position FROM f {where}"""
 
 
 def dex_pages(spark, sf, gen):
@@ -181,7 +181,7 @@ def dex_pages(spark, sf, gen):
 def register(gen: int) -> None:
     @query(f"dex_g{gen}", dex_sql(gen))
     def run(spark, sf):
-        good = dex.dex(dex_pages(spark, sf, gen), gen, ordered=False)[0]
+        good = finished(dex.dex(dex_pages(spark, sf, gen), gen)[0], f"dex-g{gen}")
         return good if gen == 4 else good.withColumn("abilities", F.array_join("abilities", "|"))
 
 
@@ -229,13 +229,16 @@ def small_pages(spark, sf, sql):
     return table(spark, sf, "part").select(C("p_partkey").alias("page_id"), F.lit("https://dex.example.org/").alias("url"), F.expr(sql).alias("html"))
 
 
+BY_KEY = f"row_number() OVER (ORDER BY {WHOLE_KEY}, p_partkey) - 1 AS position"
+
+
 @query("dex_g1", f"""
-    SELECT p_partkey AS page_id, {WHOLE_KEY} AS dex_no, p_name AS name, {key4('VARCHAR')} AS sprite, {cap(TYPE1)} AS type_one,
+    SELECT {BY_KEY}, p_partkey AS page_id, {WHOLE_KEY} AS dex_no, p_name AS name, {key4('VARCHAR')} AS sprite, {cap(TYPE1)} AS type_one,
       CASE WHEN p_size % 2 = 0 THEN '' ELSE {cap(TYPE2)} END AS type_two, p_brand AS class, {FEET} AS height_ft, p_size + 0.5::DOUBLE AS weight_lb,
       p_size * 3 AS cptr_rt, CASE WHEN p_size % 2 = 0 THEN 'Slow' ELSE 'Fast' END AS exp_rt,
       {stats_sql(['hp', 'atk', 'def', 'special', 'speed'])}, 1::INTEGER AS gen FROM part""")
 def dex_g1(spark, sf):
-    return dex.dex(small_pages(spark, sf, page_g1()), 1, ordered=False)[0]
+    return finished(dex.dex(small_pages(spark, sf, page_g1()), 1)[0], "dex-g1")
 
 
 def page_g2() -> str:
@@ -257,13 +260,13 @@ def page_g2() -> str:
 
 
 @query("dex_g2", f"""
-    SELECT p_partkey AS page_id, {WHOLE_KEY} AS dex_no, p_name AS name, 'Ab-12' AS sprite, {cap(TYPE1)} AS type_one, {cap(TYPE2)} AS type_two,
+    SELECT {BY_KEY}, p_partkey AS page_id, {WHOLE_KEY} AS dex_no, p_name AS name, 'Ab-12' AS sprite, {cap(TYPE1)} AS type_one, {cap(TYPE2)} AS type_two,
       p_brand AS class, {FEET} AS height_ft, p_size + 0.5::DOUBLE AS weight_lb, p_size * 3 AS cptr_rt, 'Fast' AS exp_rt,
       {stats_sql(['hp', 'atk', 'def', 'sp_atk', 'sp_def', 'speed'])}, {RATIO} AS male_female_rate, p_size * 256 AS base_egg_steps,
       CASE WHEN p_size % 3 = 0 THEN '{V.NO_EGGS}' ELSE 'Monster' END AS egg_group_one, CASE WHEN p_size % 3 = 2 THEN 'Grass' ELSE '' END AS egg_group_two,
       2::INTEGER AS gen FROM part""")
 def dex_g2(spark, sf):
-    return dex.dex(small_pages(spark, sf, page_g2()), 2, ordered=False)[0]
+    return finished(dex.dex(small_pages(spark, sf, page_g2()), 2)[0], "dex-g2")
 
 
 def page_g3() -> str:
@@ -292,7 +295,8 @@ def page_g3() -> str:
 @query("dex_g3", f"""
     WITH f AS (SELECT part.*, u.form, (u.pos - 1)::INTEGER AS i FROM part,
       unnest(CASE WHEN p_partkey % 4 = 0 THEN ['Attack forme', 'Defense forme'] ELSE [''] END) WITH ORDINALITY AS u(form, pos))
-    SELECT p_partkey AS page_id, {WHOLE_KEY} || lower(left(form, 2)) AS dex_no, p_name AS name, form, p_brand AS class, 'Ground' AS dex_cat,
+    SELECT row_number() OVER (ORDER BY {WHOLE_KEY} || lower(left(form, 2)), p_partkey) - 1 AS position,
+      p_partkey AS page_id, {WHOLE_KEY} || lower(left(form, 2)) AS dex_no, p_name AS name, form, p_brand AS class, 'Ground' AS dex_cat,
       upper(left(p_type, 1)) || lower(substr(p_type, 2)) AS color, {FEET} AS height_ft, p_size + 0.5::DOUBLE AS weight_lb, {RATIO} AS male_female_rate,
       {cap(TYPE1)} AS type_one, CASE WHEN p_size % 2 = 0 THEN '' ELSE {cap(TYPE2)} END AS type_two, {FIRST} AS ability_one,
       CASE WHEN p_size % 2 = 0 THEN {SECOND} ELSE '' END AS ability_two,
@@ -301,23 +305,72 @@ def page_g3() -> str:
       CASE WHEN p_size % 3 = 2 THEN 'Grass' ELSE '' END AS egg_group_two, 1::INTEGER AS hp_evs, 0::INTEGER AS atk_evs, 0::INTEGER AS def_evs,
       2::INTEGER AS sp_atk_evs, 0::INTEGER AS sp_def_evs, 3::INTEGER AS speed_evs, 3::INTEGER AS gen FROM f""")
 def dex_g3(spark, sf):
-    return dex.dex(small_pages(spark, sf, page_g3()), 3, ordered=False)[0]
+    return finished(dex.dex(small_pages(spark, sf, page_g3()), 3)[0], "dex-g3")
 
 
-@query("dex_profile_g8", f"""
+def profile_sql(gen: int) -> str:
+    special = "p_partkey % 4 = 3" if gen >= 6 else "false"
+    three = "0" if gen >= 6 else "3"
+    abilities = f"' ' || {FIRST} || ' - ' || {SECOND}"
+    texts = f"'Abilities:' || {abilities}".replace("Abilities:' || ' ' ||", "Abilities: ' ||")
+    extra = ""
+    if gen in V.EXTRA:
+        extra = f"{'CASE WHEN p_size % 2 = 0 THEN ' + chr(39) + 'Yes' + chr(39) + ' ELSE ' + chr(39) + 'No' + chr(39) + ' END' if gen == 8 else 'p_type'} AS {V.EXTRA[gen][0]},"
+    blank = "p_size % 7 = 0" if gen >= 6 else "false"
+    no_evs = "p_size % 10 = 0" if gen >= 6 else "false"
+    return f"""
     SELECT p_partkey AS page_id, {KEY.format(str='VARCHAR')} AS dex_no, p_name AS name,
-      CASE p_partkey % 4 WHEN 3 THEN 'special forms' WHEN 1 THEN 'types = forms = stats' WHEN 2 THEN 'no types, forms = stats'
-        ELSE 'types = forms, one stat table' END AS selector,
-      CASE WHEN p_partkey % 4 = 3 THEN 1 ELSE 0 END AS special_forms, CASE WHEN p_partkey % 4 IN (1, 2) THEN 2 ELSE 0 END AS forms,
+      CASE WHEN {special} THEN 'special forms' WHEN p_partkey % 4 = 1 THEN 'types = forms = stats' WHEN p_partkey % 4 = 2 THEN 'no types, forms = stats'
+        WHEN p_partkey % 4 = 3 THEN 'no types, forms differ from stats' ELSE 'types = forms, one stat table' END AS selector,
+      CASE WHEN {special} THEN 1 ELSE 0 END AS special_forms, CASE WHEN p_partkey % 4 IN (1, 2) THEN 2 WHEN p_partkey % 4 = 3 THEN {three} ELSE 0 END AS forms,
       CASE WHEN p_partkey % 4 = 1 THEN 2 ELSE 0 END AS types, CASE WHEN p_partkey % 4 = 0 THEN 1 ELSE 2 END AS stats,
-      CASE WHEN p_partkey % 4 = 0 THEN 1 ELSE 2 END AS stat_captions, p_brand AS class,
+      CASE WHEN p_partkey % 4 = 0 THEN 1 ELSE 2 END AS stat_captions, p_brand AS class, 1 AS height_ft,
       CASE p_size % 3 WHEN 0 THEN 'N/A' WHEN 1 THEN '7:1' ELSE 'Always female' END AS male_female_rate,
-      CASE WHEN p_partkey % 4 = 3 THEN 2 ELSE 1 END AS ability_groups, length((p_size * 3)::VARCHAR)::INTEGER AS cptr_rt,
-      'Fast' AS exp_growth, CASE WHEN p_size % 7 = 0 THEN NULL ELSE p_size * 256 END AS base_egg_steps,
+      trim({texts} || CASE WHEN {special} THEN ' Abilities: Tough' ELSE '' END) AS abilities,
+      CASE WHEN {special} THEN 2 ELSE 1 END AS ability_groups, length((p_size * 3)::VARCHAR)::INTEGER AS cptr_rt,
+      'Fast' AS exp_growth, CASE WHEN {blank} THEN NULL ELSE p_size * 256 END AS base_egg_steps, {extra}
       CASE p_size % 5 WHEN 0 THEN '' WHEN 1 THEN 'Monster' ELSE 'Monster|Grass' END AS egg_groups,
-      CASE WHEN p_size % 2 = 0 THEN 'Yes' ELSE 'No' END AS dynamax,
-      CASE WHEN p_partkey % 4 = 1 THEN 2 WHEN p_size % 10 = 0 THEN 0 ELSE 1 END AS n_ev_blocks
-    FROM part""")
-def profile(spark, sf):
-    df = dex.profile(dex_pages(spark, sf, 8))
-    return df.withColumn("egg_groups", F.array_join("egg_groups", "|")).withColumn("n_ev_blocks", F.size("evs")).drop("evs")
+      CASE WHEN p_partkey % 4 = 1 THEN 2 WHEN {no_evs} THEN 0 ELSE 1 END AS n_ev_blocks
+    FROM part"""
+
+
+def register_profile(gen: int) -> None:
+    @query(f"dex_profile_g{gen}", profile_sql(gen))
+    def run(spark, sf):
+        df = dex.profile(dex_pages(spark, sf, gen), gen).withColumn("abilities", F.trim(F.array_join("abilities", "")))
+        return df.withColumn("egg_groups", F.array_join("egg_groups", "|")).withColumn("n_ev_blocks", F.size("evs")).drop("evs")
+
+
+for _gen in (5, 8):
+    register_profile(_gen)
+
+
+# Pages that lack something: a form's effort heading, the egg groups, or a number of steps.
+LOST_HEADING, NO_GROUPS, BAD_STEPS = "p_partkey % 20 = 1", "p_partkey % 20 = 2", "p_partkey % 20 = 3"
+
+
+def quarantine_sql(gen: int) -> str:
+    return f"""
+    SELECT p_partkey AS page_id, 'evs: no block for the form' AS reasons, 1::BIGINT AS n FROM part WHERE {LOST_HEADING} AND p_partkey % 4 = 1
+    UNION ALL SELECT p_partkey, 'egg_group_one: missing', 2 FROM part WHERE {NO_GROUPS} AND p_size % 5 <> 0
+    UNION ALL SELECT p_partkey, 'base_egg_steps: not a number', {2 if gen >= 6 else 3} FROM part
+      WHERE {BAD_STEPS}{' AND p_size % 7 <> 0' if gen >= 6 else ''}"""
+
+
+def register_quarantine(gen: int) -> None:
+    @query(f"dex_quarantine_g{gen}", quarantine_sql(gen))
+    def run(spark, sf):
+        lost = F.replace(C("html"), F.lit("<b>Sandy Form</b><br>1 Speed"), F.lit("<b>Other Form</b><br>1 Speed"))
+        bare = F.replace(F.replace(C("html"), F.lit("<a>Monster</a>"), F.lit("-")), F.lit("<a>Grass</a>"), F.lit("-"))
+        steps = F.format_number(C("p_size") * 256, 0)
+        bad = F.replace(C("html"), F.concat(F.lit("<td>"), steps, F.lit("</td></tr>")), F.lit("<td>many</td></tr>"))
+        pages = dex_pages(spark, sf, gen).join(
+            table(spark, sf, "part").select(C("p_partkey").alias("page_id"), "p_partkey", "p_size"), "page_id")
+        pages = pages.withColumn("html", F.when(F.expr(LOST_HEADING), lost).when(F.expr(NO_GROUPS), bare)
+                                 .when(F.expr(BAD_STEPS), bad).otherwise(C("html"))).drop("p_partkey", "p_size")
+        found = dex.dex(pages, gen)[1]
+        return found.groupBy("page_id", F.array_join("errors", "; ").alias("reasons")).agg(F.count("*").alias("n"))
+
+
+for _gen in (5, 8):
+    register_quarantine(_gen)

@@ -12,7 +12,7 @@ from folioweave.functions import text as X
 from folioweave.functions.literals import array_of, array_of_structs
 from folioweave.plans import edge_values as V
 from folioweave.plans import edges
-from folioweave.queries.registry import query, table
+from folioweave.queries.registry import finished, query, table
 
 C = F.col
 
@@ -44,8 +44,11 @@ TEXTS = [
 PER_PAGE = 25
 
 
-def method_pages(spark, sf):
-    """Pages of at most 25 table rows each, rendered from part."""
+LOST_KEY, LOST_METHOD = "p_partkey % 40 = 7", "page_id % 7 = 3"
+
+
+def method_pages(spark, sf, broken=False):
+    """Pages of at most 25 table rows each, rendered from part; ``broken`` ones lack a key, or are of an unknown method."""
     k = C("p_partkey")
     pair = F.element_at(
         array_of_structs(["f", "ff", "t", "tf"], PAIRS),
@@ -58,16 +61,21 @@ def method_pages(spark, sf):
     def cell(num, form):
         small = F.when(listed & (form != ""), F.concat(F.lit('<small class="text-muted">'), form, F.lit("</small>"))).otherwise("")
         return F.concat(F.lit('<td class="cell-name"><a title="View Pokedex for #'), num, F.lit(' x" href="/x">x</a><br>'), small, F.lit("</td>"))
+    second = cell(number(pair["t"], 1), pair["tf"])
+    if broken:
+        second = F.when(F.expr(LOST_KEY), F.lit('<td class="cell-name">?</td>')).otherwise(second)
     level = F.when(C("p_size") % 3 == 0, C("p_size").cast("string")).otherwise("")
     row = F.concat(
         F.lit("<tr>"), cell(number(pair["f"], 0), pair["ff"]), F.lit('<td class="cell-num">'), level, F.lit("</td>"),
-        cell(number(pair["t"], 1), pair["tf"]), F.lit('<td class="cell-med-text"> <i>'), shown, F.lit("</i> </td></tr>"))
+        second, F.lit('<td class="cell-med-text"> <i>'), shown, F.lit("</i> </td></tr>"))
     page = F.floor(k / PER_PAGE)
     listed_rows = table(spark, sf, "part").select(page.alias("page_id"), k.alias("k"), row.alias("row"))
     # bounded group: p_partkey is unique, so a page has at most PER_PAGE rows
     packed = listed_rows.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("k", "row"))).alias("r"))
     body = F.array_join(F.transform("r", lambda x: x["row"]), "\n")
     method = F.element_at(array_of(V.METHODS), (C("page_id") % len(V.METHODS) + 1).cast("int"))
+    if broken:
+        method = F.when(F.expr(LOST_METHOD), F.lit("fusion")).otherwise(method)
     return packed.select(
         "page_id", F.concat(F.lit("https://dex.example.org/evolution/"), method).alias("url"),
         F.concat(F.lit("<html><body><table><thead><tr><th>From</th><th>L</th><th>To</th></tr></thead><tbody>\n"), body,
@@ -169,7 +177,7 @@ def edge_sql(gen: int) -> str:
         rank = f"CASE WHEN {sql_test('evolves_to', V.FIRST_RANK[gen])} THEN 1 ELSE {rank} END"
     games = f"list_position({sql_list(V.GAMES[gen])}, versions)" if gen in V.GAMES else "0"
     keys = ["evolves_from", "evolves_to", *V.EXTRA_KEYS.get(gen, [])] + (["stage = 1"] if gen == 9 else [])
-    s.add(f"""SELECT * FROM PREV QUALIFY row_number() OVER (PARTITION BY {', '.join(keys)}
+    s.add(f"""SELECT *, {rank} AS method_rank, {games} AS games_rank FROM PREV QUALIFY row_number() OVER (PARTITION BY {', '.join(keys)}
         ORDER BY {rank}, {games}, stage, page_id, k) = 1""")
     if gen >= 2:
         s.rules(V.of_gen(V.BEFORE_MOVES, gen))
@@ -203,15 +211,32 @@ def edge_sql(gen: int) -> str:
     cond = f"WHERE {' AND '.join(where)}" if where else ""
     final = f"s{len(s.ctes) - 1}"
     cols = ", ".join(f"{v} AS {c}" for c, v in outs.items())
-    return f"WITH {', '.join(s.ctes)} SELECT {cols}, TRY_CAST(level AS DOUBLE) AS level FROM {final} {cond}"
+    place = "row_number() OVER (ORDER BY evolves_from, evolves_to, method_rank, games_rank, stage, page_id, k) - 1 AS position"
+    rows = f"SELECT {cols}, TRY_CAST(level AS DOUBLE) AS level, {place} FROM {final} {cond}"
+    # columns without any value are dropped by the job; here they are counted
+    used = " + ".join(f"(count({c}) > 0)::BIGINT" for c in V.COLUMNS[gen]) if gen >= 2 else f"{len(V.COLUMNS[gen])} + 0 * count(*)"
+    return f"WITH {', '.join(s.ctes)}, t AS ({rows}) SELECT t.*, u.columns_kept FROM t, (SELECT {used} AS columns_kept FROM t) u"
 
 
 def register(gen: int) -> None:
     @query(f"evo_g{gen}", edge_sql(gen))
     def run(spark, sf):
-        return edges.evolutions(method_pages(spark, sf), gen, prune=False, ordered=False)
+        kept = finished(edges.evolutions(method_pages(spark, sf), gen)[0], f"evo-g{gen}")
+        gone = [F.lit(None).cast("string").alias(c) for c in V.COLUMNS[gen] if c not in kept.columns]
+        n = len([c for c in V.COLUMNS[gen] if c in kept.columns])
+        return kept.select("*", *gone, F.lit(n).cast("bigint").alias("columns_kept"))
 
 
 for _gen in range(1, 10):
     register(_gen)
 
+
+
+@query("evo_quarantine", f"""
+    WITH k AS (SELECT p_partkey // {PER_PAGE} AS page_id, {LOST_KEY} AS no_key, (p_partkey // {PER_PAGE}) % 7 = 3 AS no_method FROM part)
+    SELECT page_id, CASE WHEN no_key AND no_method THEN 'evolves_to: missing; method: unknown'
+      WHEN no_key THEN 'evolves_to: missing' ELSE 'method: unknown' END AS reasons, count(*) AS n
+    FROM k WHERE no_key OR no_method GROUP BY ALL""")
+def quarantine(spark, sf):
+    bad = edges.evolutions(method_pages(spark, sf, broken=True), 8)[1]
+    return bad.groupBy("page_id", F.array_join("errors", "; ").alias("reasons")).agg(F.count("*").alias("n"))

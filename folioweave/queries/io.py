@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from folioweave.operators import order
 from folioweave.queries import crawl
 from folioweave.queries.registry import query, table
 from folioweave.session import scratch_path
@@ -31,12 +32,15 @@ def k2(spark, sf):
     return spark.read.option("header", True).schema("c_custkey BIGINT, c_name STRING, c_mktsegment STRING").csv(path)
 
 
-@query("k3_single_file", "SELECT p_partkey, p_name FROM part")
+@query("k3_single_file", """
+    SELECT p_partkey, p_name, row_number() OVER (ORDER BY p_name NULLS LAST, p_partkey) - 1 AS position FROM part""")
 def k3(spark, sf):
     path = scratch_path(spark, "k3")
-    # a sheet's row limit is the feature; larger tables are refused, part is far below it here
-    K.export_single(table(spark, sf, "part").select("p_partkey", "p_name"), path, ["p_name"], ["p_partkey"])
-    return spark.read.option("header", True).schema("p_partkey BIGINT, p_name STRING").csv(path)
+    K.export_sorted(table(spark, sf, "part").select("p_partkey", "p_name"), path, ["p_name"], ["p_partkey"])
+    # the files by name, the lines as they stand in a file
+    lines = spark.read.option("header", True).schema("p_partkey BIGINT, p_name STRING").csv(path).select(
+        "*", C("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("line"))
+    return order.with_position(lines.orderBy("file", "line")).drop("file", "line")
 
 
 @query("k4_by_generation", """

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from folioweave.functions.literals import sql_value
 from folioweave.plans import learnsets
-from folioweave.queries.registry import query, table
+from folioweave.queries.registry import finished, query, table
 
 C = F.col
 
@@ -69,7 +69,9 @@ def learn_sql(gen: int) -> str:
           UNION ALL SELECT {key}, {SECOND}, (p_partkey % 60)::VARCHAR {ok}
           UNION ALL SELECT {key}, {FIRST}, '99' {ok} AND p_partkey % 4 = 0),
         tm AS (SELECT {key} AS dex_no, {SECOND} AS move, 'TM' || p_size AS tm_hm {ok} UNION ALL SELECT {key}, p_type, 'HM01' {ok}){more}
-        SELECT dex_no, move, TRY_CAST(level_raw AS DOUBLE) AS level, level_raw, tm_hm{extra}, {gen}::INTEGER AS gen FROM {joins}"""
+        SELECT dex_no, move, TRY_CAST(level_raw AS DOUBLE) AS level, level_raw, tm_hm{extra}, {gen}::INTEGER AS gen,
+          row_number() OVER (ORDER BY dex_no, CASE WHEN level_raw IS NULL THEN 2 WHEN TRY_CAST(level_raw AS INTEGER) IS NULL THEN 1 ELSE 0 END,
+            TRY_CAST(level_raw AS INTEGER) NULLS LAST, level_raw NULLS LAST, tm_hm NULLS LAST, move) - 1 AS position FROM {joins}"""
 
 
 def pages(spark, sf, gen):
@@ -80,13 +82,28 @@ def pages(spark, sf, gen):
 def register(gen: int) -> None:
     @query(f"learnsets_g{gen}", learn_sql(gen))
     def run(spark, sf):
-        return learnsets.learnsets(pages(spark, sf, gen), gen, ordered=False)[0]
+        return finished(learnsets.learnsets(pages(spark, sf, gen), gen)[0], f"learnsets-g{gen}")
 
 
 register(1)
 register(2)
 
 
+@query("learnsets_two_tables", f"""
+    SELECT lpad(p_partkey::VARCHAR, greatest(4, length(p_partkey::VARCHAR))::INTEGER, '0') AS dex_no, u.move, u.level, u.egg_moves FROM part,
+      unnest([{{'move': {FIRST}, 'level': '1', 'egg_moves': NULL}}, {{'move': 'Growl', 'level': p_size::VARCHAR, 'egg_moves': NULL}},
+              {{'move': 'Bite', 'level': NULL, 'egg_moves': 'Egg'}}, {{'move': 'Charm', 'level': NULL, 'egg_moves': 'Egg'}}]) AS t(u)""")
+def two_tables(spark, sf):
+    head = "<td>x</td>" * 11 + "<td>"
+    page = concat(lit(f"<html><table><tr>{head}#"), "CAST(p_partkey AS STRING)", lit("</td></tr></table>"),
+                  section("Generation II Level Up", move(FIRST, lit("1"))), section("TM & HM Attacks", lit("")),
+                  section("Generation II Level Up", move(lit("Growl"), "CAST(p_size AS STRING)")),
+                  section("Egg Moves (Details)", move(lit("Bite"))), section("Egg Moves", move(lit("Charm"))), lit("</html>"))
+    rows = table(spark, sf, "part").select(
+        C("p_partkey").alias("page_id"), F.lit("https://dex.example.org/learn/").alias("url"), F.expr(page).alias("html"))
+    return learnsets.learnsets(rows, 2)[0].select("dex_no", "move", C("level_raw").alias("level"), "egg_moves")
+
+
 @query("learnsets_quarantine", f"""
     SELECT p_partkey AS page_id, 'level: moves and values differ in number' AS reasons FROM part WHERE {BROKEN}""")
 def quarantine(spark, sf):

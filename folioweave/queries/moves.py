@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from folioweave.functions.literals import sql_value
 from folioweave.plans import move_values as V
 from folioweave.plans import moves
-from folioweave.queries.registry import query, table
+from folioweave.queries.registry import finished, query, table
 
 C = F.col
 
@@ -35,6 +35,7 @@ def icon_number(i: int) -> str:
 
 
 BROKEN = "p_partkey % 40 = 7"  # pages whose power points are no number
+NOTED = "p_size % 7 = 2"  # pages with a note, and with a rate that is written without a blank
 
 
 class Page:
@@ -74,9 +75,14 @@ def page_sql(gen: int) -> str:
     def text_of(i, name, kind):
         body = field_text(i, kind).format(str="STRING")
         if name == "power_points":
-            return f"CASE WHEN {BROKEN} THEN 'n/a' ELSE {body} END"
+            noted = f"concat({body}, CASE WHEN {NOTED} THEN ' (SMUSUM)' ELSE '' END)" if gen == 7 else body
+            return f"CASE WHEN {BROKEN} THEN 'n/a' ELSE {noted} END"
+        if name == "battle_effect":
+            return f"concat({body}, CASE WHEN {NOTED} THEN ' (SMUSUM)' ELSE '' END)"
         if name == "effect_rate" and gen >= 3:
-            return f"concat({body}, ' %')"
+            return f"CASE WHEN {NOTED} THEN '30%' ELSE concat({body}, ' %') END"
+        if name == "effect_rate":
+            return f"CASE WHEN {NOTED} THEN ' 3 0 %' ELSE {body} END"
         return body
     slots = {}
     for i, (name, kind, sel, typ) in enumerate(specs):
@@ -155,6 +161,10 @@ def move_sql(gen: int) -> str:
         spot = (kind, sel)
         i = seen.setdefault(spot, i)
         text = field_text(i, typ).format(str="VARCHAR")
+        if name == "battle_effect":
+            text = f"({text} || CASE WHEN {NOTED} THEN ' (SMUSUM)' ELSE '' END)"
+        if name == "effect_rate":
+            text = f"CASE WHEN {NOTED} THEN {q('30%' if gen >= 3 else '30')} ELSE {text} END"
         gap = "p_size % 5 = 1"
         if kind.endswith("icon"):
             word = icon_word(i)
@@ -175,7 +185,8 @@ def move_sql(gen: int) -> str:
             cols.append(f"CASE WHEN {gap} THEN 'N/A' ELSE {text} END AS {name}")
         else:
             cols.append(f'{text} AS "{name}"')
-    return f"SELECT p_partkey AS page_id, {', '.join(cols)}, {gen}::INTEGER AS gen FROM part WHERE NOT ({BROKEN})"
+    rows = f"SELECT p_partkey AS page_id, {', '.join(cols)}, {gen}::INTEGER AS gen FROM part WHERE NOT ({BROKEN})"
+    return f"SELECT *, row_number() OVER (ORDER BY move_name NULLS LAST, page_id) - 1 AS position FROM ({rows})"
 
 
 def move_pages(spark, sf, gen):
@@ -186,7 +197,7 @@ def move_pages(spark, sf, gen):
 def register(gen: int) -> None:
     @query(f"moves_g{gen}", move_sql(gen))
     def run(spark, sf):
-        return moves.moves(move_pages(spark, sf, gen), gen, ordered=False)[0]
+        return finished(moves.moves(move_pages(spark, sf, gen), gen)[0], f"moves-g{gen}")
 
 
 for _gen in range(1, 10):

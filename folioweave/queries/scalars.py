@@ -123,6 +123,13 @@ def f10(spark, sf):
     return c.join(s, "nationkey").select("nationkey", N.reduce_ratio(C("a"), C("b")).alias("ratio"))
 
 
+@query("f10_large", """
+    SELECT p_partkey, (9007199254740993 + p_partkey * 2)::VARCHAR || ':1' AS ratio FROM part""")
+def f10_large(spark, sf):
+    large = (C("p_partkey") * 2 + F.lit(9007199254740993)).cast("decimal(20,0)")
+    return table(spark, sf, "part").select("p_partkey", N.reduce_ratio(large, F.lit(1).cast("decimal(20,0)")).alias("ratio"))
+
+
 @query("f11_gender_rate", """
     WITH t AS (SELECT p_partkey, p_size % 5 = 4 AS unknown,
                       CASE WHEN p_size % 3 = 0 THEN '0' ELSE '87.5' END AS m,

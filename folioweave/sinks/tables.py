@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 from folioweave.operators import order, plan
 
-# Fixed value: rows a spreadsheet can hold, less its header.
-SHEET_ROWS = 1_048_575
-
-
 def write_table(df: DataFrame, name: str, mode: str = "errorifexists", fmt: str = "parquet",
                 path: str | None = None, partition_by: Sequence[str] = ()) -> None:
     """Save as a catalog table, failing if it exists."""
@@ -48,13 +44,11 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).option("header", True).csv(path)
 
 
-def export_single(df: DataFrame, path: str, keys: Sequence[str], tie: Sequence[str] = (),
-                  max_rows: int = SHEET_ROWS) -> None:
-    """One sorted delimited file with a header, for a spreadsheet.
+def export_sorted(df: DataFrame, path: str, keys: Sequence[str], tie: Sequence[str],
+                  rows_per_file: int = 1_000_000) -> None:
+    """Sorted delimited files with a header each, numbered in order.
 
-    Refuses tables beyond a sheet's size before anything is sent to one task.
+    Rows are range-partitioned, so every task sorts and writes its own part; reading the files by name gives the order.
     """
-    if df.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"more than {max_rows} rows: write_csv keeps them in several files")
     ordered = order.sort_by(df, keys, tie)
-    ordered.coalesce(1).write.mode("errorifexists").option("header", True).csv(path)
+    ordered.write.mode("errorifexists").option("header", True).option("maxRecordsPerFile", rows_per_file).csv(path)

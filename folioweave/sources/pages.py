@@ -32,26 +32,44 @@ def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
 def discover_links(pages: DataFrame, container: str, item: str, attr: str,
                    first_n: int | None = None, drop: Sequence[str] = ("#",),
                    container_attr: tuple[str, str] | None = None) -> DataFrame:
-    """Attribute of every ``item`` inside every ``container``, in page order.
+    """Attribute of every ``item`` inside a ``container``, in page order.
 
-    Result ``page_id, url, container_no, pos, href`` with 1-based numbers; ``pos`` counts
+    A container ends where its own closing tag stands, or at the end of the page; containers inside one belong to it, and
+    only outermost ones are numbered. Result ``page_id, url, container_no, pos, href`` with 1-based numbers; ``pos`` counts
     within the page before anything is dropped. Runs in the scan's stage, without a shuffle.
     """
-    body = html.clean_html(F.col("html"))
-    boxes = F.regexp_extract_all(body, F.lit(rf"(?is)<{container}\b[^>]*>.*?(?:</{container}\s*>|\z)"), F.lit(0))
-    if container_attr is not None:
+    tags = F.filter(html.flat_nodes(F.col("html")), lambda n: n["tag"].isin(container, f"/{container}", item))
+
+    def counts(t: Column) -> Column:
+        """True for a tag that opens a container of the kind asked for."""
+        if container_attr is None:
+            return t["tag"] == container
         name, value = container_attr
-        boxes = F.filter(boxes, lambda b: F.coalesce(html.attr(F.regexp_extract(b, r"^<[^>]*>", 0), name) == value, F.lit(False)))
-    if first_n is not None:
-        boxes = F.slice(boxes, 1, first_n)
-    items = F.transform(
-        boxes,
-        lambda b, i: F.transform(
-            F.regexp_extract_all(b, F.lit(rf"(?is)<{item}\b[^>]*>"), F.lit(0)),
-            lambda t: F.struct((i + 1).alias("container_no"), html.attr(t, attr).alias("href")),
-        ),
-    )
-    long = pages.select("page_id", "url", F.posexplode(F.flatten(items)).alias("_p", "_l"))
+        return (t["tag"] == container) & F.coalesce(html.attr(t["tok"], name) == value, F.lit(False))
+
+    # one pass over the few tags of a page: how deep we are, where the outermost container began, and the items in it
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("since"), F.lit(0).alias("no"),
+                     F.array().cast("array<struct<container_no: int, tok: string>>").alias("found"))
+
+    def step(acc: Column, t: Column) -> Column:
+        opens, closes = t["tag"] == container, t["tag"] == f"/{container}"
+        begins = counts(t) & (acc["since"] == 0)
+        depth = (F.when(opens, acc["depth"] + 1).when(closes, F.greatest(acc["depth"] - 1, F.lit(0)))
+                 .otherwise(acc["depth"]))
+        since = (F.when(begins, acc["depth"] + 1).when(closes & (acc["depth"] <= acc["since"]), F.lit(0))
+                 .otherwise(acc["since"]))
+        no = F.when(begins, acc["no"] + 1).otherwise(acc["no"])
+        inside = (t["tag"] == item) & (acc["since"] > 0)
+        if first_n is not None:
+            inside = inside & (acc["no"] <= first_n)
+        hit = F.struct(acc["no"].alias("container_no"), t["tok"].alias("tok"))
+        return F.struct(depth.alias("depth"), since.alias("since"), no.alias("no"),
+                        F.when(inside, F.concat(acc["found"], F.array(hit))).otherwise(acc["found"]).alias("found"))
+
+    found = F.aggregate(tags, start, step, lambda acc: acc["found"])
+    items = F.transform(found, lambda f: F.struct(
+        f["container_no"].alias("container_no"), html.attr(f["tok"], attr).alias("href")))
+    long = pages.select("page_id", "url", F.posexplode(items).alias("_p", "_l"))
     out = long.select(
         "page_id", "url", F.col("_l")["container_no"].alias("container_no"),
         (F.col("_p") + 1).alias("pos"), F.col("_l")["href"].alias("href"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,15 +51,16 @@ def read_sink(spark: SparkSession, sink: str) -> DataFrame:
     return spark.read.parquet(sink).drop("batch_id")
 
 
-def stream_dedup_urls(pages: DataFrame, arrived: str | None = None, delay: str = "1 day") -> DataFrame:
-    """First page per canonical url across arrivals.
+def stream_dedup_urls(pages: DataFrame, arrived: str | None = None, delay: str = "1 day",
+                      keep: Sequence[str] = ("page_id", "url")) -> DataFrame:
+    """First page per canonical url across arrivals; only the columns in ``keep`` go through the state's shuffle.
 
     With an arrival time the state is kept for ``delay`` only; without one it grows with the
     number of distinct urls, which suits runs that end (``availableNow``). A url seen many times
-    meets its state in one task, so select the columns you need first and bound the batches
-    with ``max_files``.
+    meets its state in one task: bound the batches with ``max_files``.
     """
-    keyed = pages.withColumn("canonical_url", U.canonical_url(F.col("url")))
+    few = dict.fromkeys([*keep, *([arrived] if arrived else [])])
+    keyed = pages.select(*few, U.canonical_url(F.col("url")).alias("canonical_url"))
     if arrived is None:
         return keyed.dropDuplicates(["canonical_url"])
     return keyed.withWatermark(arrived, delay).dropDuplicatesWithinWatermark(["canonical_url"])

@@ -88,7 +88,7 @@ def test_tokens_rebuild_the_clean_page(spark, sf):
 
 @pytest.mark.parametrize("tag, want", [
     ('<a href="x y">', "x y"), ("<a href='q'>", "q"), ("<a href=bare class=c>", "bare"), ("<a data-href='n'>", None), ('<a href="">', None),
-    ('<A HREF = "Up">', "Up"),
+    ('<A HREF = "Up">', "Up"), ("<a href='/p?a=1&amp;b=2'>", "/p?a=1&b=2"), ("<a title='1 > 0' href=/x>", "/x"),
 ])
 def test_attr(spark, tag, want):
     assert spark.range(1).select(html.attr(F.lit(tag), "href")).first()[0] == want
@@ -96,12 +96,35 @@ def test_attr(spark, tag, want):
 
 @pytest.mark.parametrize("text, want", [
     ("a &amp; b", "a & b"), ("&amp;lt;", "&lt;"), ("&#233;&#xE9;&eacute;", "ééé"), ("&#8217;", "’"), ("&unknown; & x", "&unknown; & x"),
-    ("100% &copy", "100% &copy"),
+    ("100% &copy", "100% &copy"), ("&#128512;&#x1F600;&#x000E9;", "😀😀é"), ("&uuml;&ntilde;&pound;&CounterClockwiseContourIntegral;", "üñ£∳"),
+    ("&#65 &#x41.", "A A."), ("&#0;&#xD800;&#1114112;&#99999999999;", "\ufffd" * 4), ("&#150;", "–"), ("&;&#;&#x;&", "&;&#;&#x;&"), (None, None),
 ])
 def test_unescape(spark, text, want):
     assert spark.range(1).select(html.unescape(F.lit(text))).first()[0] == want
 
 
+def test_quoted_marks_lone_signs_and_cut_scripts(spark):
+    body = "<table><tr><td title='Attack > Defense'>v</td><td>a < b <td>c</td><td x=\"'>\" y='\">'>d <3</td></tr></table><script>t='<td>no</td>'"
+    assert pick(spark, "transform(texts, t -> t.text)", body) == [["v", "a < b ", "c", "d <3"]]
+    assert pick(spark, "transform(cells, c -> c.col_no)", body) == [[1, 2, 3, 4]]
+    flat = spark.range(1).select(html.flat_nodes(F.lit("x<p a='>'>1 < 2</p> it's <b>don't</b><!-- > --><a href='cut")).alias("n")).first().n
+    assert [(x.tag, x.tok) for x in flat] == [("#text", "x"), ("p", "<p a='>'>"), ("#text", "1 < 2"), ("/p", "</p>"), ("#text", " it's "),
+                                              ("b", "<b>"), ("#text", "don't"), ("/b", "</b>")]
+
+
+def test_long_pages_do_not_fill_the_stack(spark):
+    for body in ("a < " * 200_000, "<p " + "a='b' " * 100_000 + ">x", "<p>" * 100_000, "<p a=\"" + "x" * 300_000):
+        assert spark.createDataFrame([(body,)], "h string").select(F.size(html.flat_nodes(C("h")))).first()[0] >= 0
+
+
+def test_links_in_nested_containers(spark):
+    body = "<div><div>..</div><a href=/2></div><a href=/no><div><a href=/3><div><a href=/4></div></div></div><div><a href=/5>"
+    pages = spark.createDataFrame([(1, "http://x/", body)], S.PAGE_SCHEMA)
+    got = [(r.container_no, r.href) for r in S.discover_links(pages, "div", "a", "href").orderBy("pos").collect()]
+    assert got == [(1, "/2"), (2, "/3"), (2, "/4"), (3, "/5")]
+    assert [r.href for r in S.discover_links(pages, "div", "a", "href", first_n=1).collect()] == ["/2"]
+
+
 def test_links_by_container(spark):
     body = ("<select name='S'><option value='/a'><option value='#'></select><select name='T'><option value='/b'></select>"
             "<select name='S'><option value='/c'><option value='/d'>")

@@ -2,8 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from folioweave.plans import dex, edges, moves
+from folioweave.plans import dex, edges, learnsets, moves
 from folioweave.plans import dex_values as DV
+from folioweave.plans import edge_values as EV
 from folioweave.sources import pages as S
 
 C = F.col
@@ -34,7 +35,9 @@ def test_edges_generation_two(spark):
         evo_page("trade", evo_row("0061", "0186", "Kings Rock")),
         ("https://x.example.org/other", "<table><tbody>" + evo_row("0001", "0003") + "</tbody></table>"),
     )
-    got = {(r.evolves_from, r.evolves_to): r.asDict() for r in edges.evolutions(pages, 2).collect()}
+    table, bad = edges.evolutions(pages, 2)
+    assert [r.errors for r in bad.collect()] == [["method: unknown"]]
+    got = {(r.evolves_from, r.evolves_to): r.asDict() for r in table.collect()}
     assert set(got) == {("0001", "0002"), ("0133", "0196"), ("0236", "0106"), ("0042", "0169"), ("0025", "0026"), ("0061", "0186")}
     # the same edge on two method pages: the level page ranks first, so its row stays
     assert got["0133", "0196"]["method"] == "level" and got["0133", "0196"]["stat"] is None
@@ -49,10 +52,45 @@ def test_edges_generation_two(spark):
 def test_edges_are_sorted_by_first_ranks(spark):
     pages = pages_of(spark, evo_page("stone", evo_row("0133", "0134", "Water Stone"), evo_row("0133", "0135", "Thunder Stone")),
                      evo_page("level", evo_row("0010", "0011", level="7")))
-    got = [(r.evolves_from, r.evolves_to) for r in edges.evolutions(pages, 1).collect()]
+    got = [(r.evolves_from, r.evolves_to) for r in edges.evolutions(pages, 1)[0].collect()]
     assert got == [("0010", "0011"), ("0133", "0134"), ("0133", "0135")]
 
 
+def test_edges_without_keys_are_quarantined(spark):
+    broken = evo_row("0010", "0011").replace('<a title="View Pokedex for #0011 X">', "<a>")
+    header = "<tr><th>From</th><th>To</th></tr>"
+    pages = pages_of(spark, evo_page("level", header, evo_row("0001", "0002"), broken, "<tr><td>x</td></tr>"))
+    good, bad = edges.evolutions(pages, 1)
+    assert [r.evolves_to for r in good.collect()] == ["0002"]
+    assert sorted(r.errors for r in bad.collect()) == [["evolves_from: missing", "evolves_to: missing"], ["evolves_to: missing"]]
+
+
+def test_unknown_version_is_quarantined(spark, monkeypatch):
+    pages = pages_of(spark, evo_page("level", evo_row("0001", "0002")), evo_page("stone", evo_row("0133", "0134")))
+    monkeypatch.setitem(EV.GAMES, 9, ["Scarlet", "Violet"])
+    good, bad = edges.evolutions(pages, 9)
+    assert ["versions: unknown"] in [r.errors for r in bad.collect()]
+
+
+def test_first_of_two_tables_on_a_page_wins(spark):
+    two = "<table>" + evo_row("0001", "0002", level="16") + "</table><table>" + evo_row("0001", "0002", level="18") + "</table>"
+    good, _ = edges.evolutions(pages_of(spark, ("https://x.example.org/evolution/level", two)), 1)
+    assert [r.level for r in good.collect()] == [16.0]
+
+
+def test_all_tables_with_a_caption_count(spark):
+    def section(caption, name, value="5"):
+        return (f"<table><tr><td><b>{caption}</b></td></tr><tr><td>h</td></tr><tr><td class='fooinfo'>{value}</td>"
+                f"<td class='fooinfo'><a>{name}</a></td></tr><tr><td>text</td></tr></table>")
+    head = "<table><tr>" + "<td>x</td>" * 11 + "<td>#0001</td></tr></table>"
+    body = (head + section("Generation II Level Up", "Tackle") + section("TM & HM Attacks", "Cut", "HM01")
+            + section("Generation II Level Up", "Growl", "7") + section("Egg Moves", "Bite") + section("Egg Moves (more)", "Charm"))
+    good, bad = learnsets.learnsets(pages_of(spark, ("u", body)), 2)
+    assert bad.count() == 0
+    assert {(r.move, r.level_raw, r.egg_moves) for r in good.collect()} == {
+        ("Tackle", "5", None), ("Growl", "7", None), ("Cut", None, None), ("Bite", None, "Egg"), ("Charm", None, "Egg")}
+
+
 def move_page(power="40", rate="10 %"):
     def t(label, *cells, cls="cen"):
         return f"<table><tr><td>{label}</td></tr><tr>{''.join(f'<td class={chr(34)}{cls}{chr(34)}>{c}</td>' for c in cells)}</tr></table>"
@@ -76,6 +114,8 @@ def test_moves_generation_eight(spark):
     assert (rows[0]["power_points"], rows[0]["base_power"], rows[0]["effect_rate"], rows[0]["further_info"]) == (20, 40, 10, "Yes")
     assert rows[0]["biting move"] == "No4" and rows[0]["snatchable"] == "No5" and rows[0]["speed_priority"] == "0"
     assert rows[3]["effect_rate"] is None and rows[3]["effect_rate_raw"] == "—"
+    (odd,) = moves.moves(pages_of(spark, move_page(rate="30%")), 8)[0].collect()
+    assert (odd.effect_rate, odd.effect_rate_raw) == (None, "30%")
     reasons = {r.page_id: r.errors for r in bad.collect()}
     assert reasons[1] == ["base_power: not a number"] and "move_name: missing" in reasons[2]
 
@@ -172,3 +212,41 @@ def test_broken_dex_page_is_quarantined(spark):
     good, bad = dex.dex(pages_of(spark, whole, cut), 8)
     assert [r.page_id for r in good.collect()] == [0] and [r.page_id for r in bad.collect()] == [1]
     assert "base_hp: missing" in bad.first().errors
+
+
+def reasons_of(spark, gen, page):
+    good, bad = dex.dex(pages_of(spark, page), gen)
+    return good.count(), sorted({e for r in bad.collect() for e in r.errors})
+
+
+def test_nothing_is_invented(spark):
+    two = "<td><b>Plant Form</b></td><td><b>Sandy Form</b></td>"
+    lost = dex_page(8, FIRE, [10, 20], two, evs="<b>Plant Form</b><br>1 HP<br><b>Trash Form</b><br>2 HP<br>")
+    assert reasons_of(spark, 8, lost) == (1, ["evs: no block for the form"])
+    whole = dex_page(8, FIRE, [10])
+    assert reasons_of(spark, 8, (whole[0], whole[1].replace("<a>Plant</a>", "-"))) == (0, ["egg_group_one: missing"])
+    assert reasons_of(spark, 8, (whole[0], whole[1].replace("5,120", "many"))) == (0, ["base_egg_steps: not a number"])
+    assert reasons_of(spark, 8, (whole[0], whole[1].replace("<b>One</b> - <b>Two</b>", ""))) [1] == ["abilities: missing"]
+
+
+def test_first_rate_serves_all_forms_but_one_name(spark):
+    page = dex_page(8, FIRE, [10, 20], "<td><b>Plant Form</b></td><td><b>Sandy Form</b></td>", rate="45<br>(3.9%)")
+    assert [r["cptr_rt"] for r in result(spark, 8, page)] == [45, 45]
+
+
+def test_types_come_from_one_row(spark):
+    page = dex_page(8, nested(("Plant Form", FIRE), ("Sandy Form", ICE), ("Trash Form", FIRE)), [10, 20],
+                    "<td><b>Plant Form</b></td><td><b>Sandy Form</b></td>")
+    assert [(r["type_one"], r["type_two"]) for r in result(spark, 8, page)] == [("Fire", ""), ("Ice", "")]
+
+
+def test_profile_counts_texts_of_earlier_generations(spark):
+    row = dex.profile(pages_of(spark, dex_page(5, FIRE, [10], height="1'00\"<br>2'00\"")), 5).first()
+    assert (row.height_ft, row.stats, row.special_forms) == (2, 1, 0) and "One" in row.abilities[0]
+
+
+def test_pages_are_parsed_once_for_good_and_bad(spark):
+    good, bad = moves.moves(pages_of(spark, move_page()), 8)
+    for part in (good, bad):
+        shape = part._jdf.queryExecution().executedPlan().toString()
+        assert "regexp_extract_all" not in shape and "Generate" not in shape

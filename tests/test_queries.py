@@ -6,7 +6,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from folioweave.plans import dex, edges, learnsets, moves
 from folioweave.queries import catalog
+from folioweave.sources import pages as S
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
@@ -56,12 +58,19 @@ def test_entry_runs(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", ["moves_g8", "dex_g9", "learnsets_g2", "h10_records", "h1_depth"])
-def test_page_plans_use_one_exchange(spark, sf, name):
-    shape = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+@pytest.mark.parametrize("job", [
+    lambda p: moves.extract_moves(p, 8), lambda p: dex.extract(p, 9), lambda p: learnsets.sections(p, 2),
+    lambda p: edges.extract_edges(p, 8)])
+def test_page_plans_use_one_exchange(spark, sf, job):
+    shape = job(S.read_pages(spark, f"{sf}/pages.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert shape.count("Exchange hashpartitioning") == 1
 
 
+def test_label_lookup_moves_no_tokens(spark, sf):
+    shape = QUERIES["h6_label"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in shape and shape.count("FileScan") == 1
+
+
 @pytest.mark.parametrize("name, columns", [
     ("p4_key_between", "p_partkey,p_size"), ("a1_dedup", "o_orderkey,o_custkey,o_orderpriority"), ("s4_hosts", "page_id,url"),
     ("h1_tokens", "page_id,html"),

@@ -17,7 +17,7 @@ C = F.col
 def test_table_and_files_fail_if_they_exist(spark, tmp_path):
     df = spark.range(5).withColumn("gen", C("id") % 2)
     for write in (lambda: K.write_csv(df, str(tmp_path / "c")), lambda: K.write_by_gen(df, str(tmp_path / "g")),
-                  lambda: K.export_single(df, str(tmp_path / "s"), ["id"])):
+                  lambda: K.export_sorted(df, str(tmp_path / "s"), ["id"], [])):
         write()
         with pytest.raises(AnalysisException):
             write()
@@ -26,14 +26,12 @@ def test_table_and_files_fail_if_they_exist(spark, tmp_path):
         K.write_table(df, "fw_test_table", path=str(tmp_path / "t"))
 
 
-def test_single_export_is_one_sorted_file_and_bounded(spark, tmp_path):
+def test_export_is_sorted_over_numbered_files(spark, tmp_path):
     df = spark.range(1000).select((999 - C("id")).alias("id")).repartition(7)
-    K.export_single(df, str(tmp_path / "s"), ["id"])
-    files = list((tmp_path / "s").glob("part-*"))
-    assert len(files) == 1
-    assert [int(x) for x in files[0].read_text().split()[1:]] == list(range(1000))
-    with pytest.raises(ValueError):
-        K.export_single(df, str(tmp_path / "s2"), ["id"], max_rows=999)
+    K.export_sorted(df, str(tmp_path / "s"), ["id"], [], rows_per_file=300)
+    files = sorted((tmp_path / "s").glob("part-*"))
+    assert len(files) >= 4
+    assert [int(x) for f in files for x in f.read_text().split()[1:]] == list(range(1000))
 
 
 def test_one_generation_spreads_over_files(spark, tmp_path):
@@ -60,6 +58,11 @@ def test_stream_equals_batch_after_a_restart(spark, sf, tmp_path):
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
+def test_stream_state_holds_no_pages(spark, sf):
+    fresh = T.stream_dedup_urls(T.read_page_stream(spark, sf, glob="pages.parquet"))
+    assert fresh.columns == ["page_id", "url", "canonical_url"]
+
+
 def test_stream_keeps_each_url_once_across_batches(spark, tmp_path):
     arrivals, sink, ckpt = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "ckpt")
     for n, urls in enumerate([["http://a.org/x#1", "http://a.org/y"], ["http://a.org/x#2", "http://a.org/z?b=1&a=2"], ["http://a.org/z?a=2&b=1"]]):

@@ -131,7 +131,7 @@ def random_frames(spark, seed, hot):
     return frames
 
 
-@pytest.mark.parametrize("seed, heavy", [(1, 1_000_000), (2, 1), (3, 3)])
+@pytest.mark.parametrize("seed, heavy", [(1, []), (2, [(7, "x"), (7, "y")]), (3, [(None, "x"), (99, "x"), (1, "y")])])
 def test_outer_merge_chain_like_pandas(spark, seed, heavy):
     import pandas as pd
 
@@ -145,14 +145,15 @@ def test_outer_merge_chain_like_pandas(spark, seed, heavy):
     def key(rows_):
         return sorted((tuple(-1 if v is None or v != v else v for v in r) for r in rows_), key=str)
 
-    got = joins.outer_merge_all(frames, ["k", "m"], heavy_rows=heavy).select(cols)
+    got = joins.outer_merge_all(frames, ["k", "m"], heavy=heavy, slices=3).select(cols)
     assert key(tuples(got)) == key(want[cols].itertuples(index=False, name=None))
 
 
-def test_outer_merge_is_inner_joins_only(spark):
-    frames = random_frames(spark, 4, hot=8)
-    shape = joins.outer_merge_all(frames, ["k", "m"])._jdf.queryExecution().executedPlan().toString()
-    assert "FullOuter" not in shape and "Nested" not in shape and "Cartesian" not in shape
+def test_outer_merge_reads_every_frame_once(spark, sf):
+    frames = [spark.read.parquet(f"{sf}/{t}.parquet").select(C(k).alias("k"), C(v)) for t, k, v in (
+        ("orders", "o_custkey", "o_orderkey"), ("customer", "c_custkey", "c_name"), ("supplier", "s_suppkey", "s_name"))]
+    shape = joins.outer_merge_all(frames, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert shape.count("FileScan") == 3 and "Nested" not in shape and "Cartesian" not in shape
 
 
 def test_heavy_key_of_copies(spark):
@@ -160,16 +161,30 @@ def test_heavy_key_of_copies(spark):
     hot = C("id") % 3 == 0
     big = spark.range(0, 5000, 1, 20).select(F.when(hot, 7).otherwise(C("id")).alias("k"), F.when(hot, 1).otherwise(C("id")).alias("v"))
     small = spark.range(10).select(C("id").alias("k"), (C("id") * 10).alias("w"))
-    got = joins.outer_merge(big, small, ["k"], heavy_rows=100)
+    got = joins.outer_merge(big, small, ["k"], heavy=[(7,)])
     want = big.join(small, "k", "full_outer")
     assert got.select("k", "v", "w").exceptAll(want.select("k", "v", "w")).isEmpty() and got.count() == want.count()
 
 
-def test_even_keys_agree(spark):
-    frames = [f.filter("k IS NOT NULL") for f in random_frames(spark, 9, hot=1)]
-    a = joins.outer_merge_all(frames, ["k", "m"]).select("k", "m", "v0", "v1", "v2", "v3")
-    b = joins.outer_merge_all(frames, ["k", "m"], even_keys=True).select("k", "m", "v0", "v1", "v2", "v3")
-    assert sorted(tuples(a), key=str) == sorted(tuples(b), key=str)
+def test_rule_with_a_column_value_reads_earlier_writes(spark):
+    df = spark.createDataFrame([("x", "old", "z")], "t STRING, a STRING, b STRING")
+    todo = [curate.rule({"t": "x"}, {"a": "new"}), curate.rule({"t": "x"}, {"b": C("a")})]
+    assert tuples(curate.apply_rules(df, todo)) == [("x", "new", "new")]
+    assert len(curate.layers(todo)) == 2
+    assert len(curate.layers([todo[0], curate.rule({"t": "x"}, {"b": C("t")}, ["t"])])) == 1
+
+
+def test_positions_follow_the_sort(spark):
+    df = spark.range(0, 5000, 1, 9).select((C("id") * 7919 % 5000).alias("k"))
+    got = order.with_position(order.sort_by(df, ["k"], []))
+    assert got.filter("k <> position").isEmpty() and got.count() == 5000
+    assert order.with_position(order.sort_by(df.filter("k < 0"), ["k"], [])).count() == 0
+
+
+def test_written_split_runs_the_plan_once(spark):
+    df = spark.createDataFrame([(1, "x"), (2, None)], "i INT, s STRING")
+    good, bad = quality.write_split(quality.validate(df, {"no s": C("s").isNull()}), "test")
+    assert tuples(good) == [(1, "x")] and [(r.i, r.errors) for r in bad.collect()] == [(2, ["no s"])]
 
 
 def test_value_below(spark):
