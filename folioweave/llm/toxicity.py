@@ -1,6 +1,6 @@
 """Toxicity: a linear classifier whose score must not change when identity terms are swapped.
 
-Features are the presence of words and of word beginnings (4 and 5 letters). Which ones count is chosen by chi-square over a
+Features are the presence of words and of word beginnings (4 to 8 letters). Which ones count is chosen by chi-square over a
 bounded sample of labelled texts, counted in Spark. Training minimises log loss, a ridge term, and the squared difference
 between each sampled text's score and its score with identity terms exchanged for others of their group, so that a neutral
 mention of a group does not carry a score. The whole corpus is scored in one pass over whole texts, without a shuffle.
@@ -27,6 +27,8 @@ from folioweave.llm.common import settle, ship
 
 WORD = re.compile(r"[^\W\d_]+")
 
+#: Lengths of the word beginnings that count, so that inflected and compound words share what they are made of.
+STEMS = (4, 5, 6, 7, 8)
 NEUTRAL = "people"
 #: Terms of one line may stand for each other.
 IDENTITY_GROUPS = (
@@ -42,7 +44,7 @@ IDENTITY_GROUPS = (
 
 def marks(word: str) -> list[str]:
     """Features of a word: itself, and its beginnings, marked by a star."""
-    return [word, *[f"{word[:n]}*" for n in (4, 5) if len(word) > n]]
+    return [word, *[f"{word[:n]}*" for n in STEMS if len(word) > n]]
 
 
 def features(text: str | None, wanted: dict[str, int] | None = None) -> set:
@@ -87,13 +89,14 @@ def train(x: np.ndarray, y: np.ndarray, gaps: np.ndarray, *, ridge: float = 1.0,
           steps: int = 12) -> tuple[np.ndarray, float]:
     """Newton steps on log loss + ridge * |w|^2 / 2 + fair * sum (w . gap)^2 / 2 over the swapped texts' feature gaps."""
     n, k = x.shape
+    y = np.asarray(y, float)
     w, b = np.zeros(k), float(np.log((y.sum() + 1) / (n - y.sum() + 1)))
     held = ridge * np.eye(k) + (fair * gaps.T @ gaps if len(gaps) else 0)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w + b, -30, 30)))
         g = np.append(x.T @ (p - y) + held @ w, (p - y).sum())
         s = np.maximum(p * (1 - p), 1e-6)
-        xs = x * s[:, None]
+        xs = x * s[:, None].astype(x.dtype)
         h = np.empty((k + 1, k + 1))
         h[:k, :k], h[:k, k], h[k, :k], h[k, k] = xs.T @ x + held, xs.sum(0), xs.sum(0), s.sum() + 1e-6
         step = np.linalg.solve(h, g)
@@ -109,7 +112,7 @@ def held_out(id: Column, folds: int = 5) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic", *,
-        max_rows: int = 8_000, min_docs: int = 8, n_features: int = 384) -> Model:
+        max_rows: int = 16_000, min_docs: int = 5, n_features: int = 768) -> Model:
     """Learn from about ``max_rows`` labelled rows at most, chosen by a hash of the id, none of them held out.
 
     The driver receives ``n_features`` counted features and, per sampled row, the numbers of the features it has.
@@ -148,8 +151,7 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     chi = F.pow(F.col("bad") - want, 2) / (want * (1 - toxic / all_)) * all_ / (all_ - F.col("n") + 1)
     chosen = (counts.where((F.col("mark") != "") & (F.col("n") >= min(min_docs, max(2, all_ // 50))))
               .orderBy(chi.desc(), "mark").limit(n_features).collect())
-    identity = [m for g in IDENTITY_GROUPS for t in g for m in marks(t)]
-    wanted = {m: i for i, m in enumerate(dict.fromkeys([r["mark"] for r in chosen] + identity))}
+    wanted = {r["mark"]: i for i, r in enumerate(chosen)}
 
     def sparse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -160,16 +162,18 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
             yield pd.DataFrame(out, columns=["y", "has", "swapped"])
 
     got = rows.mapInPandas(sparse, "y int, has array<int>, swapped boolean").collect()
-    x, y, gaps, own = [], [], [], np.zeros(len(wanted))
-    for r in got:
-        v = np.zeros(len(wanted))
-        v[r["has"]] = 1
+    plain = [r for r in got if not r["swapped"]]
+    x = np.zeros((len(plain), len(wanted)), np.float32)
+    gaps = np.zeros((len(got) - len(plain), len(wanted)), np.float32)
+    at = -1
+    for i, r in enumerate(got):
         if r["swapped"]:
-            gaps.append(v - own)
+            gaps[i - at - 1] -= x[at]
+            gaps[i - at - 1, r["has"]] += 1
         else:
-            own = v
-            x.append(v), y.append(r["y"])
-    w, b = train(np.array(x), np.array(y, float), np.array(gaps))
+            at += 1
+            x[at, r["has"]] = 1
+    w, b = train(x, np.array([r["y"] for r in plain], np.float32), gaps)
     return Model(wanted, w, b)
 
 

@@ -36,7 +36,7 @@ def test_neutral_mentions_do_not_raise_the_score(spark):
     for term in ("muslims", "christians", "jews"):
         assert abs(model.score(f"the {term} in the garden") - model.score("the people in the garden")) < 0.1
     weights = {m: model.weight[i] for m, i in model.wanted.items()}
-    assert abs(weights["muslims"] + weights["musl*"] + weights["musli*"]) < 0.5 < weights["scum"]
+    assert abs(sum(weights[m] for m in toxicity.marks("muslims"))) < 0.5 < weights["scum"]
 
 
 def test_penalty_pulls_swapped_scores_together():
