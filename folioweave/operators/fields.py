@@ -32,13 +32,13 @@ def documents(pages: DataFrame, keep: Sequence[str] = (), partitions: int | None
     tok, tag, pos = F.col("tok"), F.col("tag"), F.col("pos")
     direct = tag.startswith("/") | tag.isin("td", "th", "br", "img", "hr", "input")
     cell = F.struct("pos", "stop", *PLACE, F.nullif("cell_cls", F.lit("")).alias("cls"),
-                    html.attr(tok, "align").alias("align"), html.attr(tok, "colspan").alias("colspan"))
+                    html.raw_attr(tok, "align").alias("align"), html.raw_attr(tok, "colspan").alias("colspan"))
     text = F.struct((pos + 1).alias("pos"), *PLACE, F.col("cell_cls").alias("cls"), tag.alias("prev"),
                     direct.alias("direct"), html.unescape(F.col("text")).alias("text"))
     # attributes only of the tags that are asked for them
-    val = F.when(tag == "img", html.attr(tok, "src")).when(tag == "a", html.attr(tok, "href"))
+    val = html.decoded(tok, F.when(tag == "img", html.raw_attr(tok, "src")).when(tag == "a", html.raw_attr(tok, "href")))
     title = F.when(tag.isin("img", "a"), html.attr(tok, "title"))
-    box_cls = F.when(tag == "table", html.attr(tok, "class"))
+    box_cls = F.when(tag == "table", html.raw_attr(tok, "class"))
     node = F.struct("pos", "stop", *PLACE, "tag", F.col("cell_cls").alias("in_cls"),
                     box_cls.alias("cls"), val.alias("val"), title.alias("title"))
 

@@ -14,7 +14,7 @@ A page is one source row before and after, so what is regrouped is bounded by th
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from html.entities import html5
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,9 +39,9 @@ COMMON = ["amp", "lt", "gt", "quot", "apos", "nbsp", "eacute", "rsquo", "ndash",
 
 
 def _names() -> dict[str, str]:
-    """Character references by name, from the language's own table of the HTML standard."""
-    first = {f"{n};": html5[f"{n};"] for n in COMMON}
-    return first | {n: c for n, c in html5.items() if n.endswith(";") and n not in first}
+    """Character references by name: those of HTML 4, which page parsers know, from the language's own table."""
+    table = {"apos": "'"} | {n: chr(c) for n, c in name2codepoint.items()}
+    return {f"{n};": table[n] for n in dict.fromkeys([*COMMON, *table])}
 
 
 def _old_codes() -> dict[str, str]:
@@ -57,12 +57,21 @@ def clean_html(html: Column) -> Column:
     return F.regexp_replace(html, NOISE, "")
 
 
-def attr(tok: Column, name: str) -> Column:
-    """Value of an attribute of an opening tag, NULL when absent or empty."""
+def raw_attr(tok: Column, name: str) -> Column:
+    """Value of an attribute as it is written, NULL when absent or empty; enough for class names and numbers."""
     raw = F.regexp_extract(tok, rf"""(?i)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1)
     quoted = raw.startswith('"') | raw.startswith("'")
     bare = F.when(quoted, F.substr(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw)
-    value = F.nullif(bare, F.lit(""))
+    return F.nullif(bare, F.lit(""))
+
+
+def attr(tok: Column, name: str) -> Column:
+    """Value of an attribute of an opening tag, NULL when absent or empty."""
+    return decoded(tok, raw_attr(tok, name))
+
+
+def decoded(tok: Column, value: Column) -> Column:
+    """A value of a tag with its character references decoded; most tags have none."""
     return F.when(tok.contains("&"), let(value, unescape)).otherwise(value)
 
 
@@ -366,7 +375,7 @@ def structure(pages: DataFrame, keep: Sequence[str] = (), partitions: int | None
         since(is_tbl).alias("tbl"),
         since(is_row, ["/tr"]).alias("row"),
         since(is_cell, ["/td", "/th", "/tr"]).alias("cell"),
-        F.last(F.when(is_cell, F.coalesce(attr(F.col("tok"), "class"), F.lit(""))), ignorenulls=True)
+        F.last(F.when(is_cell, F.coalesce(raw_attr(F.col("tok"), "class"), F.lit(""))), ignorenulls=True)
         .over(level).alias("_cls"),
         seen(is_row).alias("_rows"),
         seen(is_cell).alias("_cells"),
