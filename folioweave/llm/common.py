@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Callable
 
@@ -47,6 +48,11 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_frame(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
+    """A small frame from driver values, of a size that Spark knows."""
+    return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")))
+
+
 def text_key(text: Column) -> Column:
     """96 bits that stand for a text (null reads as empty)."""
     whole = F.coalesce(text, F.lit(""))

@@ -14,13 +14,12 @@ empty table gives an empty result; other columns pass through and those named li
 
 from __future__ import annotations
 
-import json
 import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioweave.llm.common import fresh, settle
+from folioweave.llm.common import fresh, settle, small_frame
 
 BUCKET_ROWS = 4_096
 #: Rates are rounded to this many parts of a copy, so that their sums are exact whole numbers.
@@ -45,11 +44,6 @@ def fill_targets(sizes: dict, weights: dict, share: float, most: float) -> dict:
     return target
 
 
-def _rows(spark, rows: list[dict], schema: str) -> DataFrame:
-    """A small frame from driver values."""
-    return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")))
-
-
 def solve_tilts(histogram: DataFrame, targets: dict, scale: dict, most: float, tolerance: float = 1e-7,
                 steps: int = 60) -> dict:
     """Lambda per source number ``s`` so that the sum of n * size * min(most, exp(lambda * size / scale)) is its target.
@@ -64,7 +58,7 @@ def solve_tilts(histogram: DataFrame, targets: dict, scale: dict, most: float, t
     for _ in range(steps):
         if not open_:
             break
-        now = _rows(spark, [{"s": s, "lambda": tilt[s], "scale": scale[s][0]} for s in open_],
+        now = small_frame(spark, [{"s": s, "lambda": tilt[s], "scale": scale[s][0]} for s in open_],
                     "s: int, lambda: double, scale: double")
         bend = F.col("size") / F.col("scale")
         raw = F.exp(F.least(F.col("lambda") * bend, F.lit(50.0)))
@@ -113,7 +107,7 @@ def mix(docs: DataFrame, size: str, source: str = "source", id: str = "doc_id",
     words = {i: r["words"] or 0 for i, r in enumerate(facts)}
     weights = {i: cycle[i % len(cycle)] for i in words}
     target = fill_targets(words, weights, share, most)
-    numbers = _rows(spark, [
+    numbers = small_frame(spark, [
         {"source": r["source"], "s": i, "source_size": words[i], "target": target[i], "docs": r["n"],
          "full": target[i] >= most * words[i]} for i, r in enumerate(facts)],
         "source: string, s: int, source_size: long, target: double, docs: long, full: boolean")
@@ -122,7 +116,7 @@ def mix(docs: DataFrame, size: str, source: str = "source", id: str = "doc_id",
     histogram = bins.alias("b").join(numbers.alias("k"), F.col("b.source").eqNullSafe(F.col("k.source"))).select(
         "s", "size", "n")
     tilt = solve_tilts(histogram, open_, scale, most)
-    solved = _rows(spark, [{"s": s, "lambda": t, "scale": scale[s][0]} for s, t in tilt.items()],
+    solved = small_frame(spark, [{"s": s, "lambda": t, "scale": scale[s][0]} for s, t in tilt.items()],
                    "s: int, lambda: double, scale: double")
     plan = numbers.join(solved, "s", "left")
     k_src, n_s, n_docs, full, lam, scl, bucket, run, base, unit, total, offset = fresh(
@@ -149,7 +143,7 @@ def mix(docs: DataFrame, size: str, source: str = "source", id: str = "doc_id",
     steps = [UNIT * m // OFFSETS for m in range(OFFSETS)]
     tried = joined.groupBy(n_s).agg(*[F.sum(F.col(size) * cut(f"{o}L")).alias(f"t{o}") for o in steps]).collect()
     best = {r[0]: min(steps, key=lambda o: (abs((r[f"t{o}"] or 0) - target[r[0]]), o)) for r in tried}  # noqa: B023
-    nearest = _rows(spark, [{"s": s, "o": o} for s, o in best.items()], "s: int, o: long").select(
+    nearest = small_frame(spark, [{"s": s, "o": o} for s, o in best.items()], "s: int, o: long").select(
         F.col("s").alias(f"{n_s}_o"), F.col("o").alias(offset))
     return joined.join(nearest, F.col(n_s) == F.col(f"{n_s}_o")).select(
         *rows.columns, "source_size", "target", "rate", cut(offset).alias("copies"))

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioweave.llm.common import settle, ship
+from folioweave.llm.common import settle, ship, small_frame
 from folioweave.llm.sharding import M64
 from folioweave.session import scratch_path
 
@@ -120,19 +120,22 @@ def materialise(docs: DataFrame, path: str, out: str, id: str = "doc_id", text:
     from folioweave.llm.packing import id_bytes
 
     width = id_bytes(path)
-    placed = settle(stream(docs, path, id, text, end_id), "token-stream")
-    sums = {r["task"]: r["n"] for r in placed.groupBy("task").agg(F.sum("n").alias("n")).collect()}
-    base, total = {}, 0
+    stored = settle(stream(docs, path, id, text, end_id), "token-stream")
+    sums = {r["task"]: r["n"] for r in stored.groupBy("task").agg(F.sum("n").alias("n")).collect()}
+    bases, total = [], 0
     for t in sorted(sums):
-        base[t], total = total, total + sums[t]
+        bases.append({"task": t, "base": total})
+        total += sums[t]
+    placed = stored.join(small_frame(docs.sparkSession, bases, "task: int, base: long"), "task").select(
+        "id", "n", "ids", (F.col("base") + F.col("start")).alias("first"))
     layout = Layout(out, math.ceil(total / tokens), total, tokens, width, shard_records)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Pieces of the documents by sequence."""
         for batch in batches:
             rows = []
-            for task, start, ids in zip(batch["task"], batch["start"], batch["ids"], strict=True):
-                at, n = base[task] + start, len(ids) // width
+            for at, ids in zip(batch["first"].tolist(), batch["ids"], strict=True):
+                n = len(ids) // width
                 for seq in range(at // tokens, (at + n - 1) // tokens + 1):
                     a, b = max(at, seq * tokens), min(at + n, (seq + 1) * tokens)
                     rows.append((seq, a - seq * tokens, ids[(a - at) * width:(b - at) * width]))
@@ -159,20 +162,13 @@ def materialise(docs: DataFrame, path: str, out: str, id: str = "doc_id", text:
         if held:
             yield pd.DataFrame([done()], columns=["shard", "value"])
 
-    pieces = placed.select("task", "start", "ids").mapInPandas(cut, "slot long, at int, ids binary")
+    pieces = placed.select("first", "ids").mapInPandas(cut, "slot long, at int, ids binary")
     dealt = (pieces.withColumn("shard", F.expr(f"slot div {shard_records}")).repartition("shard")
              .sortWithinPartitions("shard", "slot", "at"))
     (dealt.select("slot", "ids").mapInPandas(records, "shard long, value binary")
      .select("shard", F.expr("CAST(value AS STRING)").alias("value"))
      .write.partitionBy("shard").option("compression", "none").text(out))
-    first = F.lit(0).cast("long")
-    if base:
-        bases = docs.sparkSession.range(1).select(F.explode(F.create_map(
-            *[F.lit(x) for t, b in base.items() for x in (int(t), int(b))])).alias("task", "base"))
-        places = placed.drop("ids").join(bases, "task").select("id", (F.col("start") + F.col("base")).alias("first"), "n")
-    else:
-        places = placed.select("id", first.alias("first"), "n")
-    return layout, places
+    return layout, placed.select("id", "first", "n")
 
 
 def read_records(spark: SparkSession, layout: Layout) -> DataFrame:
