@@ -41,10 +41,10 @@ def fresh(taken: DataFrame | list[str], *names: str) -> list[str]:
     return out
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
+def settle(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: its plan is not run again, also not for a lost executor."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

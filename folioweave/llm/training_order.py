@@ -120,7 +120,7 @@ def materialise(docs: DataFrame, path: str, out: str, id: str = "doc_id", text:
     from folioweave.llm.packing import id_bytes
 
     width = id_bytes(path)
-    stored = settle(stream(docs, path, id, text, end_id), "token-stream")
+    stored = settle(stream(docs, path, id, text, end_id), "token-stream", compression="zstd")
     sums = {r["task"]: r["n"] for r in stored.groupBy("task").agg(F.sum("n").alias("n")).collect()}
     bases, total = [], 0
     for t in sorted(sums):
@@ -131,20 +131,26 @@ def materialise(docs: DataFrame, path: str, out: str, id: str = "doc_id", text:
     layout = Layout(out, math.ceil(total / tokens), total, tokens, width, shard_records)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Pieces of the documents by sequence."""
+        """Pieces of the documents by sequence, their ids compressed for the shuffle."""
+        import zstandard
+
+        small = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
             rows = []
             for at, ids in zip(batch["first"].tolist(), batch["ids"], strict=True):
                 n = len(ids) // width
                 for seq in range(at // tokens, (at + n - 1) // tokens + 1):
                     a, b = max(at, seq * tokens), min(at + n, (seq + 1) * tokens)
-                    rows.append((seq, a - seq * tokens, ids[(a - at) * width:(b - at) * width]))
+                    rows.append((seq, a - seq * tokens, small(ids[(a - at) * width:(b - at) * width])))
             got = pd.DataFrame(rows, columns=["seq", "at", "ids"])
             got["slot"] = permute(got["seq"].to_numpy(np.int64), max(layout.sequences, 1), seed)
             yield got[["slot", "at", "ids"]]
 
     def records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Whole records from pieces in order."""
+        import zstandard
+
+        whole = zstandard.ZstdDecompressor().decompress
         slot, held = -1, []
 
         def done() -> tuple[int, bytes]:
@@ -157,7 +163,7 @@ def materialise(docs: DataFrame, path: str, out: str, id: str = "doc_id", text:
                     if held:
                         rows.append(done())
                     slot, held = s, []
-                held.append(ids)
+                held.append(whole(ids))
             yield pd.DataFrame(rows, columns=["shard", "value"])
         if held:
             yield pd.DataFrame([done()], columns=["shard", "value"])
