@@ -67,8 +67,9 @@ def by_position(pages: DataFrame, gen: int) -> DataFrame:
             "base_egg_steps": F.expr(D.nth(D.own_texts(cell(9)), 0)),
             "exp_rt": F.expr(D.nth(D.texts_after(cell(10), "br"), 0)),
             "ratio": F.expr(D.all_texts(cell(4))),
-            "eggs": F.expr("transform(filter(texts, t -> t.prev = 'a' AND exists(tags, g -> g.tag = 'table' AND "
-                           "g.pos = t.tbl AND array_contains(split(g.cls, ' '), 'dexitem'))), t -> t.text)"),
+            "eggs": F.expr(D.let(
+                "transform(filter(tags, g -> g.tag = 'table' AND array_contains(split(g.cls, ' '), 'dexitem')), g -> g.pos)",
+                "transform(filter(texts, t -> t.prev = 'a' AND array_contains(b, t.tbl)), t -> t.text)", "b")),
         })
     docs = fields.with_labels(fields.documents(pages), ["Height", "Weight"])
     df = plan.pin(docs, {f"raw_{k}": v for k, v in raw.items()}, keep=["page_id"])
@@ -128,7 +129,9 @@ def by_stat_block(pages: DataFrame) -> DataFrame:
         "steps": F.expr(D.value("Egg Steps to Hatch", 1)), "evs": F.expr(D.value("Egg Steps to Hatch", 2)),
         "cptr_rt": F.expr(D.value("Egg Steps to Hatch", 3)),
         "types": F.expr(f"transform(filter(tags, g -> g.tag = 'img' AND startswith(g.val, {sql_value(path)})), g -> {_type_word(path, 'g.val')})"),
-        "abilities": F.expr("get(transform(filter(texts, t -> t.prev = 'b' AND exists(cells, c -> c.pos = t.cell AND c.colspan = '4')), t -> t.text), 0)"),
+        "abilities": F.expr(D.let(
+            "transform(filter(cells, c -> c.colspan = '4'), c -> c.pos)",
+            "get(transform(filter(texts, t -> t.prev = 'b' AND array_contains(b, t.cell)), t -> t.text), 0)", "b")),
         "eggs": F.expr(D.let(egg_table, "slice(transform(filter(texts, t -> t.tbl = b.tbl AND t.direct), t -> t.text), 4, 2)", "b")),
         "blocks": F.expr(f"transform({head}, c -> {block})"),
     }
@@ -191,8 +194,9 @@ def page_fields(pages: DataFrame, gen: int, more: dict[str, str] | None = None)
         "transform(filter(named, t -> contains(t.text, 'Base Stats') AND t.direct AND t.cls = 'fooinfo'), t -> transform("
         "slice(filter(cells, c -> c.tbl = t.tbl AND c.row_no = t.row_no AND c.col_no > t.col_no), 1, 6), "
         "c -> try_cast(trim(get(transform(filter(texts, x -> x.cell = c.pos AND x.direct), x -> x.text), 0)) AS INT)))")
-    special = ("filter(texts, t -> t.cls = 'fooevo' AND t.prev IN " + ("('b')" if gen <= 7 else "('h2')")
-               + " AND exists(cells, c -> c.pos = t.cell AND c.colspan = '6'))")
+    special = D.let(
+        "transform(filter(cells, c -> c.colspan = '6'), c -> c.pos)",
+        f"filter(texts, t -> t.cls = 'fooevo' AND t.prev = '{'b' if gen <= 7 else 'h2'}' AND array_contains(wide, t.cell))", "wide")
     # what stands between a special form's heading and the next one
     span = "t.pos > s.pos AND (n.pos IS NULL OR t.pos < n.pos)"
     def after(label: str, cell: int) -> str:
@@ -220,9 +224,9 @@ def page_fields(pages: DataFrame, gen: int, more: dict[str, str] | None = None)
         ev_cell,
         "CASE WHEN b.pos IS NULL THEN NULL ELSE array_join(transform(filter(texts, t -> t.cell = b.pos AND trim(t.text) <> ''), "
         "t -> CASE WHEN t.prev = 'b' THEN concat('<b>', trim(t.text), '</b>') ELSE trim(t.text) END), '<br>') END", "b")
-    ability_text = (
-        "array_join(transform(filter(texts, x -> exists(filter(named, t -> t.text = 'Abilities' AND t.prev = 'b'), t -> t.cell = x.cell)), "
-        "x -> x.text), '')")
+    ability_text = D.let(
+        "transform(filter(named, t -> t.text = 'Abilities' AND t.prev = 'b'), t -> t.cell)",
+        "array_join(transform(filter(texts, x -> array_contains(b, x.cell)), x -> x.text), '')", "b")
     raw = {
         "dex_no": D.nth(D.own_texts(D.beside_cell("National", "bold")), 0),
         "name": D.value("Type", 1),

@@ -30,7 +30,7 @@ SECTIONS = {
         ("egg_moves", "Egg Moves", False, None, "Egg"),
         ("crystal_move_tutor", "Crystal Move Tutor Attacks", False, None, "4000 Coins"),
         ("g1_tm_hm", "Gen I Only Moves", False,
-         "exists(cells, c -> c.pos = t.cell AND c.colspan = '2')", None),
+         "array_contains(wide, t.cell)", None),
     ],
 }
 # Where the page's key stands.
@@ -45,7 +45,8 @@ def _section(caption: str, exact: bool, test: str | None) -> str:
     moves = "transform(filter(texts, t -> array_contains(s, t.tbl) AND t.row_no > 2 AND t.prev = 'a'), t -> t.text)"
     values = (f"transform(filter(texts, t -> array_contains(s, t.tbl) AND t.row_no > 2 AND t.cls = 'fooinfo' AND t.direct AND {test} "
               "AND trim(t.text) <> ''), t -> t.text)" if test else "CAST(array() AS array<string>)")
-    return D.let(tables, f"named_struct('moves', {moves}, 'vals', {values})", "s")
+    both = D.let(tables, f"named_struct('moves', {moves}, 'vals', {values})", "s")
+    return D.let("transform(filter(cells, c -> c.colspan = '2'), c -> c.pos)", both, "wide") if "wide" in values else both
 
 
 def sections(pages: DataFrame, gen: int) -> DataFrame:
