@@ -31,6 +31,8 @@ from folioweave.llm.sharding import M64
 from folioweave.session import scratch_path
 
 ROUNDS = 6
+#: Rows that a task hands on at once, so that it holds few texts or records besides those it is given.
+CHUNK_ROWS = 1024
 
 
 def _round(x: np.ndarray, key: int) -> np.ndarray:
@@ -99,11 +101,13 @@ def stream(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", e
         end = np.array([end_id], own.kind).tobytes()
         wide = len(end)
         for batch in batches:
-            ids = [own.encode(t or "") + end for t in batch["text"]]
-            n = np.array([len(b) // wide for b in ids], np.int64)
-            yield pd.DataFrame({"task": task, "start": at + np.cumsum(n) - n, "n": n, "has_id": batch["has_id"],
-                                "id": batch["id"], "ids": ids})
-            at += int(n.sum())
+            for k in range(0, len(batch), CHUNK_ROWS):
+                part = batch.iloc[k:k + CHUNK_ROWS]
+                ids = [own.encode(t or "") + end for t in part["text"]]
+                n = np.array([len(b) // wide for b in ids], np.int64)
+                yield pd.DataFrame({"task": task, "start": at + np.cumsum(n) - n, "n": n, "has_id": part["has_id"].to_numpy(),
+                                    "id": part["id"].to_numpy(), "ids": ids})
+                at += int(n.sum())
 
     got = docs.select(F.coalesce(F.col(id), F.lit(0).cast(kind)).alias("id"), F.col(id).isNotNull().alias("has_id"),
                       F.col(text).alias("text")).mapInPandas(
@@ -135,16 +139,22 @@ def materialise(docs: DataFrame, path: str, out: str, id: str = "doc_id", text:
         import zstandard
 
         small = zstandard.ZstdCompressor(level=3).compress
+        def done(rows: list) -> pd.DataFrame:
+            got = pd.DataFrame(rows, columns=["seq", "at", "ids"])
+            got["slot"] = permute(got["seq"].to_numpy(np.int64), max(layout.sequences, 1), seed)
+            return got[["slot", "at", "ids"]]
+
         for batch in batches:
             rows = []
             for at, ids in zip(batch["first"].tolist(), batch["ids"], strict=True):
+                if len(rows) >= CHUNK_ROWS:
+                    yield done(rows)
+                    rows = []
                 n = len(ids) // width
                 for seq in range(at // tokens, (at + n - 1) // tokens + 1):
                     a, b = max(at, seq * tokens), min(at + n, (seq + 1) * tokens)
                     rows.append((seq, a - seq * tokens, small(ids[(a - at) * width:(b - at) * width])))
-            got = pd.DataFrame(rows, columns=["seq", "at", "ids"])
-            got["slot"] = permute(got["seq"].to_numpy(np.int64), max(layout.sequences, 1), seed)
-            yield got[["slot", "at", "ids"]]
+            yield done(rows)
 
     def records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Whole records from pieces in order."""
@@ -162,6 +172,9 @@ def materialise(docs: DataFrame, path: str, out: str, id: str = "doc_id", text:
                 if s != slot:
                     if held:
                         rows.append(done())
+                    if len(rows) >= CHUNK_ROWS:
+                        yield pd.DataFrame(rows, columns=["shard", "value"])
+                        rows = []
                     slot, held = s, []
                 held.append(whole(ids))
             yield pd.DataFrame(rows, columns=["shard", "value"])

@@ -18,7 +18,8 @@ PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 LETTERS = "a-zªµºß-öø-ÿœ"
 PLAIN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9²³¹¼½¾]|[^\\s{LETTERS}0-9²³¹¼½¾]+")
 OTHER = re.compile("[^\t\n\r -~¡-ÿŒœ]")
-KEPT_WORDS = 500_000
+#: Words of each of two generations that are kept; a word that is met again moves to the younger one.
+KEPT_WORDS = 120_000
 
 
 def _byte_letters() -> dict[int, str]:
@@ -43,7 +44,9 @@ class WordIds:
             and [p["type"] for p in parts] == ["Split", "ByteLevel"] and not parts[1].get("use_regex"))
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
         self.kind = "<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
-        self.model, self.letters, self.kept = self.tokenizer.model, _byte_letters(), {}
+        self.model, self.letters = self.tokenizer.model, _byte_letters()
+        self.kept: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
@@ -63,12 +66,12 @@ class WordIds:
             if len(lines) == 1:
                 return self._whole(text)
             return b"".join([self.encode(x) for x in lines])
-        word, kept = PLAIN.findall(text.lower()), self.kept
-        if len(kept) > KEPT_WORDS:
-            kept.clear()
+        if len(self.kept) > KEPT_WORDS:
+            self.older, self.kept = self.kept, {}
+        word, kept, older = PLAIN.findall(text.lower()), self.kept, self.older
         for w in word:
             if w not in kept:
-                kept[w] = self._word(w)
+                kept[w] = older[w] if w in older else self._word(w)
         return b"".join([kept[w] for w in word])
 
 
