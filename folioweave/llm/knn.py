@@ -8,8 +8,9 @@ query of the group needs the cell, and there only the queries that need it. Each
 merges them.
 
 Defined cases: vectors that are null, or hold null or non-finite components, take no part, nor do rows without an id;
-shorter vectors read as padded with zeros; equal ids are one row's copies and never answer each other; equal scores go to
-the smaller id; with fewer than k candidates all are returned. Scores are exact while ``|q| |x|`` stays below 2**53, and
+shorter vectors read as padded with zeros; rows of equal id and vector are copies and count once, before anything is chosen,
+while different vectors under one id are rows of their own; equal ids never answer each other; equal scores go to the
+smaller id; with fewer than k candidates all are returned. Scores are exact while ``|q| |x|`` stays below 2**53, and
 beyond that while the components fit a long and the products do.
 """
 
@@ -70,21 +71,26 @@ def best(queries: np.ndarray, query_id: np.ndarray, data: np.ndarray, data_id: n
 class Bounds:
     """Which cells a query can have answers in, from the cells' summaries."""
 
-    def __init__(self, pivots: np.ndarray, radius: np.ndarray, near: list[list[float]], k: int) -> None:
+    def __init__(self, pivots: np.ndarray, radius: np.ndarray, near: list[list[float]], k: int,
+                 near_id: list[list[int]] | None = None) -> None:
         self.pivots, self.radius, self.k = pivots.astype(float), radius, k
+        self.id = None if near_id is None else np.array([i for d in near_id for i in d], np.int64)
         self.cell = np.array([j for j, d in enumerate(near) for _ in d], np.int64)
         self.dist = np.array([x for d in near for x in d], float)
 
-    def needed(self, queries: np.ndarray) -> np.ndarray:
-        """Boolean matrix, query by cell. The own row may be in a summary, so the (k + 1)-th lower end counts."""
+    def needed(self, queries: np.ndarray, query_id: np.ndarray | None = None) -> np.ndarray:
+        """Boolean matrix, query by cell. The (k + 1)-th lower end counts, as the own row may be in a summary; rows of the
+        query's id that are known as such do not count at all."""
         q = queries.astype(float)
         length, dot = np.sqrt((q * q).sum(axis=1)), q @ self.pivots.T
         upper = dot + length[:, None] * self.radius[None, :]
         if len(self.dist) <= self.k:
             return np.broadcast_to(self.radius >= 0, upper.shape)
         lower = dot[:, self.cell] - length[:, None] * self.dist[None, :]
+        if self.id is not None and query_id is not None:
+            lower[self.id[None, :] == query_id[:, None]] = -np.inf
         least = np.partition(lower, lower.shape[1] - self.k - 1, axis=1)[:, lower.shape[1] - self.k - 1]
-        slack = 1e-9 * (np.abs(upper) + np.abs(least)[:, None]) + 1e-6
+        slack = 1e-9 * (np.abs(upper) + np.abs(np.where(np.isfinite(least), least, 0))[:, None]) + 1e-6
         return (upper + slack >= least[:, None]) & (self.radius >= 0)
 
 
@@ -97,7 +103,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id: str = "vec_id",
     """
     ship()
     kept = settle(vectors.where(F.col(id).isNotNull() & F.col(vector).isNotNull()).select(
-        F.col(id).cast("long").alias("id"), F.col(vector).alias("v"), is_query.alias("query")), "vectors")
+        F.col(id).cast("long").alias("id"), F.col(vector).alias("v"), is_query.alias("query"))
+        .groupBy("id", "v").agg(F.max("query").alias("query")), "vectors")
     width = kept.agg(F.max(F.size("v"))).first()[0] or 0
     chosen = kept.select("id", "v").orderBy(F.xxhash64("id"), "id").limit(pivots).collect()
     if not chosen:
@@ -117,15 +124,16 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id: str = "vec_id",
             yield batch.assign(cell=cell.astype(np.int32), far=far)
 
     cells = settle(kept.mapInPandas(assign, "id long, v array<long>, query boolean, cell int, far double"), "cells")
-    radius, near = np.full(len(centre), -1.0), [[] for _ in centre]
+    radius, near, near_id = np.full(len(centre), -1.0), [[] for _ in centre], [[] for _ in centre]
     counts, asked = [0] * len(centre), [0] * len(centre)
     for r in cells.groupBy("cell").agg(F.max("far").alias("far"), F.count("*").alias("n"),
                                        F.count(F.when(F.col("query"), 1)).alias("q")).collect():
         radius[r["cell"]], counts[r["cell"]], asked[r["cell"]] = r["far"], r["n"], r["q"]
     first = Window.partitionBy("cell").orderBy("far", "id")
-    for r in cells.withColumn("r", F.row_number().over(first)).where(F.col("r") <= k + 1).select("cell", "far").collect():
+    for r in cells.withColumn("r", F.row_number().over(first)).where(F.col("r") <= k + 1).select("cell", "far", "id").collect():
         near[r["cell"]].append(r["far"])
-    bounds = Bounds(centre, radius, near, k)
+        near_id[r["cell"]].append(r["id"])
+    bounds = Bounds(centre, radius, near, k, near_id)
     blocks = [math.ceil(n / block_rows) for n in counts]
     groups = max(1, math.ceil(sum(asked) / block_rows))
 
@@ -134,7 +142,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id: str = "vec_id",
         for batch in batches:
             if not len(batch):
                 continue
-            need = bounds.needed(_matrix(batch["v"], width))
+            need = bounds.needed(_matrix(batch["v"], width), batch["id"].to_numpy())
             for j in range(need.shape[1]):
                 rows = batch[need[:, j]]
                 for b in range(blocks[j] if len(rows) else 0):
@@ -160,5 +168,5 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id: str = "vec_id",
     keys = ["cell", "block", "grp"]
     local = sent.groupBy(*keys).cogroup(data.groupBy(*keys)).applyInPandas(solve, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return local.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
+    return local.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

@@ -49,3 +49,23 @@ def test_repeated_rows_and_empty_tables(spark):
     assert [tuple(r) for r in knn.top_k(frame, F.col("vec_id") == 1).collect()] == [(1, 1, 2, 11)]
     assert knn.top_k(frame.where("false"), F.col("vec_id") == 1).count() == 0
     assert knn.top_k(frame, F.col("vec_id") == 99).count() == 0
+
+
+@pytest.mark.parametrize("pivots, block_rows", [(1, 10_000), (4, 2), (32, 16)])
+def test_copies_do_not_take_the_place_of_answers(spark, pivots, block_rows):
+    vectors = {0: [10, 1], 99: [100, 7], **{i: [i, -i] for i in range(1, 11)}}
+    rows = list(vectors.items()) + [(99, [100, 7])] * 6 + [(0, [10, 1])] * 6
+    frame = spark.createDataFrame(rows, "vec_id long, ints array<long>").repartition(3)
+    got = knn.top_k(frame, F.col("vec_id") == 0, 5, pivots=pivots, block_rows=block_rows).collect()
+    assert sorted(map(tuple, got)) == brute(vectors, [0], 5)
+
+
+@pytest.mark.parametrize("pivots", [1, 3, 8])
+def test_vectors_under_one_id_are_rows(spark, pivots):
+    rnd = np.random.default_rng(7)
+    rows = [(0, [1000 + i, i]) for i in range(8)] + [(int(i), v.tolist()) for i, v in enumerate(rnd.integers(-50, 50, (40, 2)), 1)]
+    rows += [(7, [900, 900]), (7, [900, 901]), (8, [900, 900])]
+    frame = spark.createDataFrame(rows + rows[::2], "vec_id long, ints array<long>").repartition(3)
+    got = knn.top_k(frame, F.col("vec_id") == 0, 5, pivots=pivots, block_rows=16).collect()
+    scores = sorted((-sum(a * b for a, b in zip(q, v)), i) for j, q in rows if j == 0 for i, v in rows if i)
+    assert sorted(map(tuple, got)) == [(0, r + 1, i, -s) for r, (s, i) in enumerate(scores[:5])]
