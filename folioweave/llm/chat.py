@@ -6,7 +6,8 @@ Turns are then written with a template that marks them and escapes control strin
 
 Everything is DataFrame expressions. A conversation is one output row, and so meets in one task like any other row. Defined
 cases: a null text or role is empty; a null conversation id is a conversation of its own; turns are ordered by number (null
-first), role and text, repeated rows included; records with an unknown fingerprint go to the second result; an empty table
+first), role and text, repeated rows included; a record's id may be any text, and a record without an id is a conversation
+of its own; records with an unknown fingerprint go to the second result; an empty table
 gives an empty result; columns that no mapping names are not carried.
 """
 
@@ -121,17 +122,25 @@ def row_turns(rows: DataFrame) -> DataFrame:
 
 
 def record_turns(rows: DataFrame, json: str = "json", layouts: tuple[Layout, ...] = LAYOUTS) -> tuple[DataFrame, DataFrame]:
-    """Canonical turns of JSON records, each by its own fingerprint; and the records no layout takes, with their shape."""
+    """Canonical turns of JSON records, each by its own fingerprint; and the records no layout takes, with their shape.
+
+    ``conv_id`` holds ids that are whole numbers. For all others it is null, and ``record_id`` tells the records apart: the id
+    as text, or a new key for each record without one.
+    """
     shaped = rows.select(F.col(json).alias("json"), F.try_parse_json(F.col(json)).alias("record")).withColumn(
         "print", F.xxhash64(record_shape(F.col("record")))).withColumn("shape", record_shape(F.col("record")))
     turns = F.lit(None).cast(f"array<{TURN}>")
     for layout in layouts:
         turns = F.when(F.col("print") == F.xxhash64(F.lit(_shape(layout.paths))), F.expr(layout.turns)).otherwise(turns)
     mapped = shaped.withColumn("turns", turns)
+    name = F.expr(_get("id"))
+    number = name.try_cast("bigint")
+    whole = F.when(number.cast("string") == name, number)
     good = mapped.where(F.col("turns").isNotNull()).select(
-        F.expr("try_variant_get(record, '$.id', 'bigint')").alias("conv_id"), F.posexplode("turns").alias("turn", "t"))
+        whole.alias("conv_id"), F.when(whole.isNull(), F.coalesce(name, F.expr("uuid()"))).alias("record_id"), "turns")
     bad = mapped.where(F.col("turns").isNull()).select("json", "shape")
-    return good.select("conv_id", F.col("turn").cast("long").alias("turn"), "t.role", "t.text"), bad
+    return good.select("conv_id", "record_id", F.posexplode("turns").alias("turn", "t")).select(
+        "conv_id", F.col("turn").cast("long").alias("turn"), "t.role", "t.text", "record_id"), bad
 
 
 def escape(text: Column) -> Column:
@@ -155,20 +164,21 @@ def _unrole(role: Column) -> Column:
 
 
 def format_turns(turns: DataFrame, learn: tuple[str, ...] = ("assistant",)) -> DataFrame:
-    """One row per conversation: ``conv_id, formatted, segments``.
+    """One row per conversation: ``conv_id, formatted, segments``, and ``record_id`` after ``conv_id`` if ``turns`` has it.
 
     ``segments`` cuts ``formatted`` into (text, loss) in order; the loss mask is the segments with ``loss``, the escaped
     texts of the ``learn`` roles.
     """
     one = F.struct(
         F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(one)).alias("turns"))
+    keys = ["conv_id"] + ["record_id"] * ("record_id" in turns.columns)
+    rows = turns.groupBy(*keys).agg(F.sort_array(F.collect_list(one)).alias("turns"))
     parts = F.flatten(F.transform("turns", lambda t: F.array(
         F.struct(F.concat(F.lit(BEGIN), _role(t["role"]), F.lit("\n")).alias("text"), F.lit(False).alias("loss")),
         F.struct(escape(t["text"]).alias("text"), t["role"].isin(*learn).alias("loss")),
         F.struct(F.lit(END + "\n").alias("text"), F.lit(False).alias("loss")))))
-    cut = rows.select("conv_id", parts.alias("segments"))
-    return cut.select("conv_id", F.array_join("segments.text", "").alias("formatted"), "segments")
+    cut = rows.select(*keys, parts.alias("segments"))
+    return cut.select(*keys, F.array_join("segments.text", "").alias("formatted"), "segments")
 
 
 def read_turns(formatted: Column) -> Column:

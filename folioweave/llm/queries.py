@@ -46,7 +46,7 @@ def chat_query(spark, sf_dir):
 
     extra = json.dumps({"id": -1, "messages": [{"role": r, "content": CONTROL} for r in ("user", "assistant")]})
     more, _ = chat.record_turns(spark.range(1).select(F.lit(extra).alias("json")))
-    turns = chat.row_turns(table(spark, sf_dir, "conversations")).unionByName(more)
+    turns = chat.row_turns(table(spark, sf_dir, "conversations")).unionByName(more, allowMissingColumns=True)
     got = chat.format_turns(turns).select(
         "conv_id", "formatted", chat.read_turns(F.col("formatted")).alias("turns"),
         chat.read_loss(F.col("segments")).alias("loss"))

@@ -75,3 +75,23 @@ def test_empty_table_and_plan(spark, sf):
     assert chat.format_turns(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
     shape = chat_query(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in shape and "Arrow" not in shape
+
+
+def test_records_of_any_id_stay_apart(spark):
+    def record(id, text):
+        return json.dumps({"id": id, "conversations": [{"from": "human", "value": text}, {"from": "gpt", "value": f"re {text}"}]})
+
+    ids = ["abc-17", "abc-18", None, None, 1.5, 1, "007", 7, "8", 10**30, True]
+    rows = [record(i, f"text {n}") for n, i in enumerate(ids)] + [record(None, "same")] * 2
+    good, bad = chat.record_turns(spark.createDataFrame([(r,) for r in rows], "json string").repartition(3))
+    table = spark.createDataFrame([(7000, 0, "user", "x"), (None, 0, "user", "y"), (None, 1, "user", "z")],
+                                  "conv_id long, turn long, role string, text string")
+    got = chat.format_turns(good.unionByName(table, allowMissingColumns=True)).select(
+        "conv_id", "record_id", chat.read_turns(F.col("formatted")).alias("turns")).collect()
+    said = sorted([t.text for t in r.turns] for r in got)
+    assert said == sorted([[f"text {n}", f"re text {n}"] for n in range(len(ids))] + [["same", "re same"]] * 2 + [["x"], ["y", "z"]])
+    assert bad.count() == 0
+    named = {r.turns[0].text: (r.conv_id, r.record_id) for r in got}
+    assert named["text 0"] == (None, "abc-17") and named["text 6"] == (None, "007")
+    assert named["text 5"] == (1, None) and named["text 7"] == (7, None) and named["text 8"] == (8, None)
+    assert chat.format_turns(good).columns == ["conv_id", "record_id", "formatted", "segments"]
