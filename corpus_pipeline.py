@@ -11,13 +11,16 @@ from folioweave.llm.queries import WORD_BPE
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
+#: A line in more distinct documents of a source than this goes, also where it is a small share of a very large source.
+MAX_LINE_DOCS = 10_000
+
 #: No stage but the mix can be said in SQL as a whole: toxicity is learned.
 ORACLE_SQL = None
 
 
 def clean_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules, without the lines that too many documents of their source share."""
-    got = quality.apply_report(docs.select(*COLUMNS), quality.line_report(docs))
+    got = quality.apply_report(docs.select(*COLUMNS), quality.line_report(docs, max_docs=MAX_LINE_DOCS))
     text = F.col("quality.clean_text")
     return got.where("quality.kept").withColumn("text", text).withColumn(
         "n_chars", F.when(F.col("quality.bad_lines").isNull(), F.col("n_chars")).otherwise(F.length(text).cast("long"))

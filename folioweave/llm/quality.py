@@ -91,24 +91,30 @@ def text_facts(text: Column, min_words: int, max_repeat_pct: int) -> Column:
 
 def line_report(docs: DataFrame, text: str = "text", host: str = "source", *, min_words: int = 10,
                 max_repeat_pct: int = 20, min_docs: int = 10, host_share: float = 0.02, min_left: int = 5,
-                max_removed: float = 0.8) -> DataFrame:
+                max_removed: float = 0.8, max_docs: int | None = None) -> DataFrame:
     """One row per host and text: ``host, key``, the counts, ``removed`` words, ``bad_lines``, ``kept``.
 
     A line goes when more than ``max(min_docs, host_share * documents of the host)`` distinct documents of its host hold
-    it. A document is depleted, and so rejected, when fewer than ``min_left`` words stay or more than ``max_removed`` of
-    its words go. Texts are read once; after that only hashes move.
+    it; with ``max_docs``, which is not below ``min_docs``, also when more than that many do, however large the host. A
+    document is depleted, and so rejected, when fewer than ``min_left`` words stay or more than ``max_removed`` of its words
+    go. Texts are read once; after that only hashes move.
     """
     facts = settle(
         docs.select(F.col(host).alias("host"), text_key(F.col(text)).alias("key"),
                     text_facts(F.col(text), min_words, max_repeat_pct).alias("facts"))
         .groupBy("host", "key").agg(F.first("facts").alias("facts")), "line-facts")
+    if max_docs is not None and max_docs < min_docs:
+        raise ValueError("max_docs is below min_docs")
+    shared = F.col("n") > host_share * F.col("docs")
+    if max_docs is not None:
+        shared = shared | (F.col("n") > max_docs)
     held = (facts.select("host", "key", F.inline("facts.lines"))
             .groupBy("host", "key", "line").agg(F.sum("words").alias("words")))
     hosts = facts.groupBy("host").agg(F.count("*").alias("docs"))
     often = (held.groupBy("host", "line").agg(F.count("*").alias("n"))
              .where(F.col("n") > min_docs).alias("f")
              .join(hosts.alias("h"), F.col("f.host").eqNullSafe(F.col("h.host")))
-             .where(F.col("n") > host_share * F.col("docs")).select("f.host", "f.line"))
+             .where(shared).select("f.host", "f.line"))
     lost = (held.alias("x").join(often.alias("o"), F.col("x.host").eqNullSafe(F.col("o.host"))
                                  & (F.col("x.line") == F.col("o.line")))
             .groupBy("x.host", "x.key")

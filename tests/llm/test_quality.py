@@ -68,6 +68,17 @@ def test_limit_grows_with_the_host(spark):
     assert all(r["quality"]["removed"] == 4 for r in check(spark, rows, min_docs=3, host_share=0.5))
 
 
+def test_limit_has_an_upper_end(spark):
+    lines = {"stands in thirty": 30, "stands in twenty": 20, "stands in twelve": 12}
+    docs = spark.range(3000).selectExpr(
+        "id AS doc_id", "'a' AS source", "concat_ws('\n', " + ", ".join(
+            f"CASE WHEN id < {n} THEN '{line}' END" for line, n in lines.items())
+        + ", concat('own words of the document with the number ', id, ' and some more of them here')) AS text")
+    for max_docs, gone in [(None, 0), (20, 30), (12, 50), (10, 62)]:
+        got = quality.apply_report(docs, quality.line_report(docs, max_docs=max_docs)).where("quality.removed > 0")
+        assert sum(r["quality"]["removed"] for r in got.collect()) == 3 * gone
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], COLUMNS)
     assert quality.apply_report(docs, quality.line_report(docs)).count() == 0
