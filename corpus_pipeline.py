@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioweave.llm import mixing, packing, quality, simhash, toxicity
-from folioweave.llm.common import fresh, settle, table, words
+from folioweave.llm.common import fresh, settle, table, text_key, words
 from folioweave.llm.queries import WORD_BPE
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -34,12 +34,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id. Rows without an id stay."""
-    groups = simhash.near_duplicates(docs.select("doc_id", "text"))
-    first = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.where(F.col("doc_id").isNotNull()).select(*COLUMNS)
-    return (named.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-            .unionByName(docs.where(F.col("doc_id").isNull()).select(*COLUMNS)))
+    """Of each group of near duplicates the row with the smallest id, and of equal ids the one with the smallest text hash.
+
+    Rows without an id come last in their group. A row is known by its id and text; copies of it count once.
+    """
+    rows = docs.select(F.struct("doc_id", text_key(F.col("text")).alias("text")).alias("row"), F.struct(*COLUMNS).alias("body"))
+    groups = simhash.near_duplicates(rows.select("row", "row.doc_id", "body.text"), key="group")
+    first = groups.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "row")).alias("first")).select("first.row")
+    return rows.groupBy("row").agg(F.min("body").alias("body")).join(first, "row", "left_semi").select("body.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -215,9 +215,12 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", *, shingle: int = 3, radius: int = 3,
-                    tile_rows: int = 4096) -> DataFrame:
-    """``docs`` without the text, with ``fp`` (long) and ``component_id``, the smallest id that links reach."""
-    rest = docs.drop("fp", "component_id")
+                    tile_rows: int = 4096, key: str | None = None) -> DataFrame:
+    """``docs`` without the text, with ``fp`` (long) and ``component_id``, the smallest id that links reach.
+
+    ``key`` names one more column, a long that tells the groups apart also where ids are null or repeated.
+    """
+    rest = docs.drop("fp", "component_id", *[key] * (key is not None))
     keep = [c for c in rest.columns if c != text]
     rows = settle(rest.select(*keep, fingerprint(F.col(text), shingle).alias("fp")), "fingerprints")
     low, root, comp, node = fresh(rows, "low", "root", "component", "node")
@@ -227,6 +230,6 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", *,
     rooted = prints.join(linked, F.col("fp") == F.col(node), "left").select(
         F.col("fp").alias(node), F.coalesce(root, "fp").alias(root), low)
     named = rooted.groupBy(root).agg(F.min(low).alias(comp))
-    by_print = rooted.select(node, root).join(named, root).select(node, comp)
+    by_print = rooted.select(node, root).join(named, root).select(node, root, comp)
     return (rows.join(by_print, F.col("fp") == F.col(node))
-            .select(*keep, "fp", F.col(comp).alias("component_id")))
+            .select(*keep, "fp", F.col(comp).alias("component_id"), *[F.col(root).alias(key)] * (key is not None)))

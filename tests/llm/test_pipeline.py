@@ -48,6 +48,22 @@ def test_stages_take_empty_and_odd_rows(spark, sf, tmp_path):
         assert (docs.count() > 0) == bool(data)
 
 
+def test_one_row_of_each_group_stays(spark, sf):
+    def text(seed):
+        return " ".join(f"w{seed}x{i * i % 97}" for i in range(60))
+
+    rows = [(1, text("a"), "en"), (5, text("a"), "en"), (5, text("b"), "en"), (5, text("c"), "en"), (5, text("c"), "de"),
+            (7, text("b"), "en"), (None, text("c"), "en"), (None, text("d"), "en"), (None, text("d"), "en"),
+            (None, text("e"), "en"), (None, None, "en"), (None, "", "en")]
+    docs = spark.createDataFrame([(i, t, lang, "s", 1) for i, t, lang in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    got = pipeline.one_of_each(spark, docs, sf)
+    assert got.columns == pipeline.COLUMNS
+    want = [(1, text("a"), "en"), (5, text("b"), "en"), (5, text("c"), "de"), (None, text("d"), "en"), (None, text("e"), "en"),
+            (None, None, "en")]
+    assert sorted((tuple(r)[:3] for r in got.collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_modules_stay_inside_their_package():
     top = os.path.dirname(os.path.abspath(pipeline.__file__))
     for folder, _, names in os.walk(os.path.join(top, "folioweave")):
