@@ -6,7 +6,8 @@ between each sampled text's score and its score with identity terms exchanged fo
 mention of a group does not carry a score. The whole corpus is scored in one pass over whole texts, without a shuffle.
 
 Defined cases: a null or empty text has the score of a text without features; labels that are null, or of ids that no
-document has, teach nothing; with several labels for one id the largest holds; without both classes the score is the share
+document has, teach nothing; with several labels for one id the largest holds, and of several texts for one id the one with
+the smallest hash is learned from; without both classes the score is the share
 of toxic rows (0 without any); repeated rows are scored alike; other columns of the input pass through.
 """
 
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from folioweave.llm.common import settle, ship
+from folioweave.llm.common import settle, ship, text_key
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -125,7 +126,8 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     share = min(parts, int(parts * max_rows / max(total, 1)))
     few = known.where(F.pmod(F.xxhash64("id"), F.lit(parts)) < share)
     rows = (docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
-            .join(F.broadcast(few), "id").select("text", "y"))
+            .join(F.broadcast(few), "id").groupBy("id", "y")
+            .agg(F.min(F.struct(text_key(F.col("text")).alias("key"), "text")).alias("first")).select("first.text", "y"))
 
     def tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         n, bad = Counter(), Counter()

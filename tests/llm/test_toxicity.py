@@ -74,3 +74,21 @@ def test_query_on_given_tables(spark, sf):
     assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in got.items())
     hit = sum(a and b for a, b in held)
     assert hit / sum(a for a, _ in held) > 0.85 and hit / sum(b for _, b in held) > 0.95
+
+
+def test_repeated_ids_do_not_widen_the_sample(spark, monkeypatch):
+    rows = sentences(300)
+    hot = next(i for i, r in enumerate(rows) if zlib.crc32(str(r[0]).encode()) % 5)
+    docs = [(i, t) for i, t, _ in rows] + [(hot, f"the women and {n} more words") for n in range(400)]
+    seen = []
+
+    def train(x, y, gaps, own=toxicity.train):
+        seen.append((len(x), len(gaps)))
+        return own(x, y, gaps)
+
+    monkeypatch.setattr(toxicity, "train", train)
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    a, b = toxicity.fit(frame, labels), toxicity.fit(frame.repartition(5), labels)
+    assert seen[0] == seen[1] and seen[0][0] == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i, _, _ in rows)
+    assert a.wanted == b.wanted and np.allclose(a.weight, b.weight, atol=1e-4)
