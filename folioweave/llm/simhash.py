@@ -220,7 +220,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", *,
 
     ``key`` names one more column, a long that tells the groups apart also where ids are null or repeated.
     """
-    rest = docs.drop("fp", "component_id", *[key] * (key is not None))
+    rest = docs.drop("fp", "component_id", *([key] if key else []))
     keep = [c for c in rest.columns if c != text]
     rows = settle(rest.select(*keep, fingerprint(F.col(text), shingle).alias("fp")), "fingerprints")
     low, root, comp, node = fresh(rows, "low", "root", "component", "node")
@@ -232,4 +232,4 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", *,
     named = rooted.groupBy(root).agg(F.min(low).alias(comp))
     by_print = rooted.select(node, root).join(named, root).select(node, root, comp)
     return (rows.join(by_print, F.col("fp") == F.col(node))
-            .select(*keep, "fp", F.col(comp).alias("component_id"), *[F.col(root).alias(key)] * (key is not None)))
+            .select(*keep, "fp", F.col(comp).alias("component_id"), *([F.col(root).alias(key)] if key else [])))
