@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from folioweave.llm import chat, knn, mixing, packing, quality, sharding, simhash, toxicity, training_order, viterbi
+from folioweave.llm import chat, knn, mixing, packing, phrases, quality, sharding, simhash, toxicity, training_order, viterbi
 from folioweave.llm.common import settle, table, words
 from folioweave.llm.registry import query
 
@@ -161,3 +161,34 @@ def packing_query(spark, sf_dir):
     """All documents packed into sequences of 2048 tokens."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.digest(packing.pack_documents(docs, WORD_BPE), packing.id_bytes(WORD_BPE), "doc_id")
+
+
+PHRASE_SQL = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang,
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+i AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+g AS (SELECT lang, w, i, unnest([1, 2, 3]) AS k FROM i),
+f AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS n FROM g WHERE i + k - 1 <= len(w)
+  GROUP BY ALL),
+t AS (SELECT lang, sum(n) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2 AND n >= 10),
+u AS (SELECT lang, k, phrase, a, w, unnest(range(1, k)) AS cut FROM c),
+s AS (SELECT u.lang, u.phrase, u.a, u.cut, x.n AS l, y.n AS r,
+  CAST(CAST(1000000 AS HUGEINT) * u.a * u.a // (CAST(x.n AS HUGEINT) * y.n) AS BIGINT) AS score
+  FROM u JOIN f x ON x.lang = u.lang AND x.k = u.cut AND x.phrase = array_to_string(u.w[1:u.cut], ' ')
+  JOIN f y ON y.lang = u.lang AND y.k = u.k - u.cut AND y.phrase = array_to_string(u.w[u.cut + 1:u.k], ' ')),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS o FROM s) WHERE o = 1),
+z AS (SELECT lang, phrase, max(a) AS a FROM (SELECT lang, a, array_to_string(w[1:2], ' ') AS phrase FROM c WHERE k = 3
+  UNION ALL SELECT lang, a, array_to_string(w[2:3], ' ') FROM c WHERE k = 3) GROUP BY ALL),
+k AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, b.a DESC, b.phrase) AS rank
+  FROM b LEFT JOIN z ON z.lang = b.lang AND z.phrase = b.phrase WHERE z.a IS NULL OR 100 * z.a < 50 * b.a)
+SELECT k.lang, rank, phrase, a, l, r, CAST(t.n AS BIGINT) AS n, score FROM k JOIN t ON t.lang = k.lang WHERE rank <= 2000
+"""
+
+
+@query("op11_phrase_collocations", PHRASE_SQL)
+def phrase_query(spark, sf_dir):
+    """The first 2000 phrases of two and three words of each language."""
+    return phrases.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
