@@ -5,12 +5,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from folioweave.llm import chat, knn, mixing, packing, phrases, quality, sharding, simhash, toxicity, training_order, viterbi
+from folioweave.llm import alignment, chat, knn, mixing, packing, phrases, quality, sharding, simhash, toxicity, training_order, viterbi
 from folioweave.llm.common import settle, table, words
 from folioweave.llm.registry import query
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
 @query("op1_training_order")
@@ -192,3 +193,10 @@ SELECT k.lang, rank, phrase, a, l, r, CAST(t.n AS BIGINT) AS n, score FROM k JOI
 def phrase_query(spark, sf_dir):
     """The first 2000 phrases of two and three words of each language."""
     return phrases.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+@query("op13_token_alignment")
+def alignment_query(spark, sf_dir):
+    """All documents with their tokens by two public tokenizers side by side."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment.align(docs, BYTE_BPE, PIECES)
