@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from folioweave.llm import alignment, chat, knn, mixing, packing, phrases, quality, sharding, simhash, toxicity, training_order, viterbi
+from folioweave.llm import alignment, chat, knn, langid, mixing, packing, phrases, quality, sharding, simhash, toxicity, training_order, viterbi
 from folioweave.llm.common import settle, table, words
 from folioweave.llm.registry import query
 
@@ -200,3 +200,13 @@ def alignment_query(spark, sf_dir):
     """All documents with their tokens by two public tokenizers side by side."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return alignment.align(docs, BYTE_BPE, PIECES)
+
+
+@query("op12_language_id")
+def language_query(spark, sf_dir):
+    """All documents with the language that their words tell."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs.where(~langid.held_out(F.col("doc_id"))), PIECES)
+    got = docs.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"),
+                      langid.predict(spark, F.col("text"), model).alias("p"))
+    return got.select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score"))
