@@ -13,6 +13,7 @@ A page is one source row before and after, so what is regrouped is bounded by th
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from html.entities import name2codepoint
 
@@ -53,8 +54,14 @@ def _old_codes() -> dict[str, str]:
 
 
 def clean_html(html: Column) -> Column:
-    """Page source without scripts, styles and comments."""
-    return F.regexp_replace(html, NOISE, "")
+    """Page source without scripts, styles, comments and a tag that is cut off at the end.
+
+    Most pages have none of these, which plain searches tell; only the others go through the pattern.
+    """
+    low, last = F.lower(html), F.substring_index(html, "<", -1)
+    cut_off = html.contains("<") & ~last.contains(">") & last.rlike(r"\A[/!?A-Za-z]")
+    return F.when(low.contains("<script") | low.contains("<style") | html.contains("<!--") | cut_off,
+                  F.regexp_replace(html, NOISE, "")).otherwise(html)
 
 
 def raw_attr(tok: Column, name: str) -> Column:
@@ -140,6 +147,72 @@ def flat_nodes(html: Column) -> Column:
     )
 
 
+def some_tags(html: Column, *names: str) -> Column:
+    """Array of the tags of these names (lower case, '/' first for closing tags) as written, in document order.
+
+    The page is read by the same grammar as in :func:`flat_nodes`, but only the tags asked for leave the matcher.
+    """
+    one_of = "|".join(re.escape(n) for n in dict.fromkeys(names))
+    wanted = MARKUP.partition("|<[/!?]")[0].replace("</?[A-Za-z]", f"<(?i:{one_of})(?![A-Za-z0-9])", 1)
+    toks = F.regexp_extract_all(clean_html(html), F.lit(rf"({wanted})|{TOKEN}"), F.lit(1))
+    return F.array_remove(toks, "")
+
+
+# The three below are SQL text, as the selectors in ``fields`` are: they nest, and one parse costs less than many calls.
+
+
+def _let(value: str, var: str, body: str) -> str:
+    return f"get(transform(array({value}), {var} -> {body}), 0)"
+
+
+def levels(marks: str) -> str:
+    """How deep each opening and closing tag lies, as ``array<struct<level, at, x>>``; no list grows on the way.
+
+    ``marks`` are longs, ``4 * at + 2 * own + open``, in order of ``at``, the place of a tag. A tag's place among all and
+    among those of its kind gives the tags of the other kind before it, and so the running depth: before an opening tag,
+    after a closing one. A closing tag without an opening one is left out: it is the first to reach its depth below zero.
+    """
+    def measured(m: str) -> str:
+        numbered = f"transform({m}, (x, k) -> struct(x, k))"
+        both = [f"transform(filter(n, e -> e.x % 2 = {bit}), (e, j) -> struct({level} AS level, shiftright(e.x, 2) AS at, e.x AS x))"
+                for bit, level in ((1, "2 * j - e.k"), (0, "e.k - 2 * j - 1"))]
+        return _let(numbered, "n", f"concat({both[0]}, {both[1]})")
+
+    lost = _let("sort_array(filter(f, e -> e.level < 0))", "s",
+                "filter(transform(s, (e, i) -> CASE WHEN i = 0 OR get(s, i - 1).level <> e.level THEN e.x END), x -> x IS NOT NULL)")
+    matched = f"CASE WHEN exists(f, e -> e.level < 0) THEN {measured(f'array_except(m, {lost})')} ELSE f END"
+    return _let(marks, "m", _let(measured("m"), "f", matched))
+
+
+def outermost(marks: str, every: bool) -> str:
+    """Places where the outermost elements begin and end in turn, of ``marks`` as in :func:`levels`.
+
+    With ``every`` all elements count, otherwise those marked ``own``, wherever they lie. What nothing ends has no end.
+    """
+    def ends(found: str) -> str:
+        return f"sort_array(transform(filter({found}, e -> e.level = 0), e -> e.at))"
+
+    if every:
+        return ends(levels(marks))
+    # ordered by level and place, an element's end stands right behind its beginning
+    after = "CASE WHEN get(p, i + 1).level = e.level THEN 4 * get(p, i + 1).at END"
+    pairs = f"transform(p, (e, i) -> CASE WHEN e.x & 3 = 3 THEN array_compact(array(4 * e.at + 1, {after})) END)"
+    own = _let(f"sort_array({levels(marks)})", "p", f"sort_array(flatten(array_compact({pairs})))")
+    return ends(levels(own))
+
+
+def inside(places: str, borders: str) -> str:
+    """``array<struct<no, at>>``: those of the sorted ``places`` between a beginning and its end in ``borders``, with its number.
+
+    Places and borders are sorted together; how many borders stand before a place tells whether it is inside. A place that
+    is a border itself counts as before it.
+    """
+    both = f"sort_array(concat(transform({places}, e -> 2 * e), transform({borders}, e -> 2 * e + 1)))"
+    only = f"filter(transform({both}, (x, k) -> struct(x, k)), e -> e.x % 2 = 0)"
+    before = f"transform({only}, (e, j) -> struct(e.k - j AS n, shiftright(e.x, 1) AS at))"
+    return f"transform(filter({before}, e -> e.n % 2 = 1), e -> struct(CAST(shiftright(e.n + 1, 1) AS INT) AS no, e.at AS at))"
+
+
 def is_markup(tok: Column) -> Column:
     """True for a tag or declaration, false for text, which may begin with a lone '<'."""
     return tok.rlike(r"\A<[A-Za-z/!?]")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioweave.functions import urls as U
+from folioweave.functions.literals import sql_value
 from folioweave.operators import curate, html, plan
 
 PAGE_SCHEMA = "page_id BIGINT, url STRING, html STRING"
@@ -36,44 +37,29 @@ def discover_links(pages: DataFrame, container: str, item: str, attr: str,
 
     A container ends where its own closing tag stands, or at the end of the page; containers inside one belong to it, and
     only outermost ones are numbered. Result ``page_id, url, container_no, pos, href`` with 1-based numbers; ``pos`` counts
-    within the page before anything is dropped. Runs in the scan's stage, without a shuffle.
+    within the page before anything is dropped. Runs in the scan's stage, without a shuffle; the time for a page grows with
+    its tags as a sort does, however many links or containers it has.
     """
-    tags = F.filter(html.flat_nodes(F.col("html")), lambda n: n["tag"].isin(container, f"/{container}", item))
-
-    def counts(t: Column) -> Column:
-        """True for a tag that opens a container of the kind asked for."""
-        if container_attr is None:
-            return t["tag"] == container
+    # a generator for every step: what Spark infers or pushes down for the next one then reads a column
+    cols = {"_toks": html.some_tags(F.col("html"), container, f"/{container}", item)}
+    step = plan.pin(pages, cols, keep=["page_id", "url"])
+    own = "0"
+    if container_attr:
         name, value = container_attr
-        return (t["tag"] == container) & F.coalesce(html.attr(t["tok"], name) == value, F.lit(False))
-
-    # one pass over the few tags of a page: how deep we are, where the outermost container began, and the items in it
-    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("since"), F.lit(0).alias("no"),
-                     F.array().cast("array<struct<container_no: int, tok: string>>").alias("found"))
-
-    def step(acc: Column, t: Column) -> Column:
-        opens, closes = t["tag"] == container, t["tag"] == f"/{container}"
-        begins = counts(t) & (acc["since"] == 0)
-        depth = (F.when(opens, acc["depth"] + 1).when(closes, F.greatest(acc["depth"] - 1, F.lit(0)))
-                 .otherwise(acc["depth"]))
-        since = (F.when(begins, acc["depth"] + 1).when(closes & (acc["depth"] <= acc["since"]), F.lit(0))
-                 .otherwise(acc["since"]))
-        no = F.when(begins, acc["no"] + 1).otherwise(acc["no"])
-        inside = (t["tag"] == item) & (acc["since"] > 0)
-        if first_n is not None:
-            inside = inside & (acc["no"] <= first_n)
-        hit = F.struct(acc["no"].alias("container_no"), t["tok"].alias("tok"))
-        return F.struct(depth.alias("depth"), since.alias("since"), no.alias("no"),
-                        F.when(inside, F.concat(acc["found"], F.array(hit))).otherwise(acc["found"]).alias("found"))
-
-    found = F.aggregate(tags, start, step, lambda acc: acc["found"])
-    items = F.transform(found, lambda f: F.struct(
-        f["container_no"].alias("container_no"), html.attr(f["tok"], attr).alias("href")))
-    long = pages.select("page_id", "url", F.posexplode(items).alias("_p", "_l"))
-    out = long.select(
-        "page_id", "url", F.col("_l")["container_no"].alias("container_no"),
-        (F.col("_p") + 1).alias("pos"), F.col("_l")["href"].alias("href"),
-    ).filter(F.col("href").isNotNull())
+        test = F.transform("_toks", lambda t: F.coalesce(html.attr(t, name) == value, F.lit(False)))
+        step = plan.pin(step, {"_own": test}, keep=["page_id", "url", "_toks"])
+        own = "CASE WHEN get(_own, CAST(e.at AS INT)) THEN 2 ELSE 0 END"
+    box, link = sql_value(container), sql_value(item)
+    named = f"transform(_toks, (t, i) -> struct(lower(regexp_extract(t, {sql_value(html.TAG)}, 1)) AS tag, bigint(i) AS at))"
+    boxes = (f"transform(filter(d, e -> e.tag IN ({box}, concat('/', {box}))), "
+             f"e -> 4 * e.at + CASE WHEN e.tag = {box} THEN 1 + {own} ELSE 0 END)")
+    held = html.inside(f"transform(filter(d, e -> e.tag = {link}), e -> e.at)", html.outermost(boxes, container_attr is None))
+    few = f"filter({held}, e -> e.no <= {int(first_n)})" if first_n is not None else held
+    found = f"transform({few}, e -> struct(e.no AS container_no, get(_toks, CAST(e.at AS INT)) AS tok))"
+    step = plan.pin(step, {"_found": F.expr(f"get(transform(array({named}), d -> {found}), 0)")}, keep=["page_id", "url"])
+    long = step.select("page_id", "url", F.posexplode("_found").alias("_p", "_l"))
+    out = plan.pin(long, {"container_no": F.col("_l.container_no"), "pos": F.col("_p") + 1,
+                          "href": html.attr(F.col("_l.tok"), attr)}, keep=["page_id", "url"]).filter(F.col("href").isNotNull())
     return curate.drop_where(out, F.col("href").isin(*drop)) if drop else out
 
 

@@ -150,3 +150,64 @@ def test_page_formats(spark, tmp_path):
     (folder / "a.html").write_text("<i>\nx")
     got = S.read_pages(spark, str(folder), "text").collect()
     assert len(got) == 1 and got[0].html == "<i>\nx" and got[0].url.endswith("a.html")
+
+
+def plain_links(tokens, first_n=None, own_only=False):
+    """What a reader with a stack finds: ``(container_no, href)`` of links inside outermost boxes."""
+    depth = since = no = 0
+    out = []
+    for tok in tokens:
+        if tok in ("<div>", "<div class=q>"):
+            if not since and (not own_only or "class=q" in tok):
+                since, no = depth + 1, no + 1
+            depth += 1
+        elif tok == "</DIV >":
+            if depth <= since:
+                since = 0
+            depth = max(depth - 1, 0)
+        elif tok.startswith("<a ") and since and (first_n is None or no <= first_n):
+            out.append((no, tok[len("<a href=/"):-1]))
+    return out
+
+
+@pytest.mark.parametrize("kw", [{}, {"first_n": 2}, {"container_attr": ("class", "q")}])
+def test_links_of_random_boxes_match_a_stack(spark, kw):
+    import random
+
+    rnd = random.Random(7)
+    kinds = ["<div>", "<div class=q>", "</DIV >", "</DIV >", "<a>", "text <", "<divider>", "<!-- <div> -->", "<p title='</div>'>"]
+    pages = []
+    for _ in range(300):
+        toks = [rnd.choice(kinds) for _ in range(rnd.randint(0, 40))]
+        pages.append([f"<a href=/{i}>" if t == "<a>" else t for i, t in enumerate(toks)])
+    df = spark.createDataFrame([(i, "http://x/", " ".join(p)) for i, p in enumerate(pages)], S.PAGE_SCHEMA)
+    got = S.discover_links(df, "div", "a", "href", **kw).orderBy("page_id", "pos").collect()
+    want = [(i, k + 1, no, f"/{h}") for i, p in enumerate(pages)
+            for k, (no, h) in enumerate(plain_links(p, kw.get("first_n"), "container_attr" in kw))]
+    assert [(r.page_id, r.pos, r.container_no, r.href) for r in got] == want
+
+
+def test_a_container_may_be_the_item(spark):
+    page = "<li value=1><li value=2></li></li><li value=3><li value=4>"
+    df = spark.createDataFrame([(1, "http://x/", page), (2, "http://x/", None), (3, "http://x/", "")], S.PAGE_SCHEMA)
+    got = S.discover_links(df, "li", "li", "value").orderBy("pos").collect()
+    assert [(r.page_id, r.container_no, r.href) for r in got] == [(1, 1, "2"), (1, 2, "4")]
+
+
+def test_pages_with_very_many_links_and_boxes(spark):
+    n = 20_000
+    one = "<div>" + "".join(f"<a href=/{i}>x</a>" for i in range(n)) + "</div>"
+    many = "".join(f"<div><a href=/{i}>x</a></div></div>" for i in range(n))
+    df = spark.createDataFrame([(1, "http://x/", one), (2, "http://x/", many)], S.PAGE_SCHEMA)
+    got = S.discover_links(df, "div", "a", "href").groupBy("page_id").agg(
+        F.count("*").alias("n"), F.max("container_no").alias("boxes"), F.max("pos").alias("pos")).orderBy("page_id").collect()
+    assert [tuple(r) for r in got] == [(1, n, 1, n), (2, n, n, n)]
+
+
+def test_noise_is_cut_only_where_there_is_some(spark):
+    pages = ["a <b>c</b>", "a<SCRIPT x>1 < 2</script >b", "x<style>y", "p <!-- q --> r <!-- s", "t <b cut", "t < 3", "t </", "<", "u <!x", "", None]
+    got = [r[0] for r in spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "i int, h string").orderBy("i")
+           .select(html.clean_html(F.col("h"))).collect()]
+    whole = [r[0] for r in spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "i int, h string").orderBy("i")
+             .select(F.regexp_replace("h", html.NOISE, "")).collect()]
+    assert got == whole
