@@ -468,8 +468,7 @@ def _key_rules(df: DataFrame, gen: int) -> DataFrame:
              for f, s in V.of_gen(V.FORM_SUFFIXES, gen)]
     if gen >= 8:
         todo += [curate.rule({"form": f}, {"male_female_rate": r}) for f, r in V.FORM_RATIOS.items()]
-    df = curate.apply_rules(df, todo)
-    return curate.exclude(df, "dex_no", V.DROPPED_KEYS[gen]) if gen in V.DROPPED_KEYS else df
+    return curate.apply_rules(df, todo)
 
 
 # ---------------------------------------------------------------- tables
@@ -482,8 +481,13 @@ def extract(pages: DataFrame, gen: int) -> DataFrame:
 
 
 def dex(pages: DataFrame, gen: int, ordered: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(dex table, quarantined rows with reasons)."""
+    """(dex table, quarantined rows with reasons).
+
+    Rows are split before any is dropped: keys that the table leaves out still show up among the bad rows.
+    """
     good, bad = quality.write_split(extract(pages, gen), f"dex-g{gen}")
+    if gen in V.DROPPED_KEYS:
+        good = curate.exclude(good, "dex_no", V.DROPPED_KEYS[gen])
     if ordered:
         if gen >= 4:
             good = order.sort_by_base_key(good, "base_key", "form_index", ["page_id"])

@@ -250,3 +250,14 @@ def test_pages_are_parsed_once_for_good_and_bad(spark):
     for part in (good, bad):
         shape = part._jdf.queryExecution().executedPlan().toString()
         assert "regexp_extract_all" not in shape and "Generate" not in shape
+
+
+def test_bad_rows_of_left_out_keys_are_quarantined(spark):
+    whole, other = dex_page(8, FIRE, [10], key="0503"), dex_page(8, FIRE, [10], key="0504")
+    broken = (whole[0], whole[1].replace("5,120", "many"))
+    pages = pages_of(spark, whole, broken, other)
+    good, bad = dex.dex(pages, 8)
+    assert [r.page_id for r in good.collect()] == [2]
+    assert [(r.page_id, r.errors) for r in bad.collect()] == [(1, ["base_egg_steps: not a number"])]
+    # nothing is lost: good rows, bad rows and the good row of the key that the table leaves out
+    assert dex.extract(pages, 8).count() == 3
