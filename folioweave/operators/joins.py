@@ -13,19 +13,55 @@ def _same(on: Sequence[str], left: str, right: str) -> Column:
     return reduce(lambda x, y: x & y, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in on])
 
 
-def outer_merge_all(frames: Sequence[DataFrame], on: Sequence[str], heavy: Sequence[tuple] = (),
-                    slices: int = 64) -> DataFrame:
+#: A key is heavy above so many rows of a frame, and above this share of the frame.
+HEAVY_ROWS, HEAVY_SHARE = 100_000, 0.01
+#: Keys that a frame's sketch follows; its counts are at most 3.5 / TRACKED of the frame's rows too low.
+TRACKED = 1 << 14
+
+
+def heavy_keys(frames: Sequence[DataFrame], on: Sequence[str], rows: int = HEAVY_ROWS, share: float = HEAVY_SHARE) -> list[tuple]:
+    """Keys that hold at least ``rows`` rows and ``share`` of all rows in one of the frames.
+
+    One job sketches the frequent key hashes of all frames; where there are any, a second job counts the keys behind them
+    exactly. The driver gets at most ``1 / share`` keys for each frame. Keys with fractions are not looked for.
+    """
+    kinds = dict(frames[0].select(*on).dtypes)
+    if any(kind in ("float", "double") for kind in kinds.values()):
+        return []
+    most = min(100, int(1 / share))
+
+    def numbered(pick) -> DataFrame:
+        return reduce(DataFrame.unionByName, [pick(f).withColumn("_frame", F.lit(i)) for i, f in enumerate(frames)])
+
+    hashes = numbered(lambda f: f.select(F.xxhash64(*on).alias("_key")))
+    found = hashes.groupBy("_frame").agg(
+        F.count("*").alias("n"), F.expr(f"approx_top_k(_key, {most}, {TRACKED})").alias("top")).collect()
+    # the sketch may count too little, by its error at most
+    least = {r["_frame"]: max(rows, share * r["n"]) for r in found}
+    maybe = {t["item"] for r in found for t in r["top"] if t["count"] + 3.5 / TRACKED * r["n"] >= least[r["_frame"]]}
+    if not maybe:
+        return []
+    few = numbered(lambda f: f.select(*on).filter(F.xxhash64(*on).isin(*maybe)))
+    counted = few.groupBy("_frame", *on).agg(F.count("*").alias("_n")).collect()
+    return list(dict.fromkeys(tuple(r[k] for k in on) for r in counted if r["_n"] >= least[r["_frame"]]))
+
+
+def outer_merge_all(frames: Sequence[DataFrame], on: Sequence[str], heavy: Sequence[tuple] | None = None,
+                    slices: int = 64, rows: int = HEAVY_ROWS) -> DataFrame:
     """Full outer merge of several frames on shared keys; repeated keys multiply and NULL keys match each other.
 
     Every frame is read once by a chain of full outer joins. A full outer join puts all rows of a key into one task, so
-    keys known to be very frequent can be named in ``heavy`` (tuples in the order of ``on``): their rows are merged apart,
-    the frame with most of them dealt to ``slices`` tasks and the others' rows repeated for each.
+    very frequent keys are merged apart: the frame with most rows of a key deals them to ``slices`` tasks and the others'
+    rows are repeated for each. Which keys are that frequent is looked up before (:func:`heavy_keys`, which reads the key
+    columns alone) unless the caller names them in ``heavy``, as tuples in the order of ``on``; ``()`` stands for none.
     """
     on = list(on)
+    if heavy is None:
+        heavy = heavy_keys(frames, on, rows)
     if heavy:
         named = [reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.lit(v)) for k, v in zip(on, key, strict=True)]) for key in heavy]
         is_heavy = reduce(lambda x, y: x | y, named)
-        plain = outer_merge_all([f.filter(~is_heavy) for f in frames], on)
+        plain = outer_merge_all([f.filter(~is_heavy) for f in frames], on, ())
         return plain.unionByName(_merge_heavy([f.filter(is_heavy) for f in frames], on, slices))
 
     def merge(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -65,7 +101,7 @@ def _merge_heavy(frames: Sequence[DataFrame], on: list[str], slices: int) -> Dat
     return reduce(merge, [whole(i) for i in range(len(frames))]).drop("_slice")
 
 
-def outer_merge(a: DataFrame, b: DataFrame, on: Sequence[str], heavy: Sequence[tuple] = ()) -> DataFrame:
+def outer_merge(a: DataFrame, b: DataFrame, on: Sequence[str], heavy: Sequence[tuple] | None = None) -> DataFrame:
     return outer_merge_all([a, b], on, heavy)
 
 

@@ -334,6 +334,20 @@ def j2_even(spark, sf):
     return joins.outer_merge_all(chain_frames(spark, sf), ["k", "p"], heavy=[(7, "1"), (10, "2")], slices=4)
 
 
+@query("j2_skewed", """
+    WITH l AS (SELECT CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_orderkey END AS k, l_orderkey, l_linenumber FROM lineitem),
+    s AS (SELECT s_suppkey - 1 AS k, s_acctbal AS balance FROM supplier), c AS (SELECT c_custkey AS k, c_mktsegment AS segment FROM customer)
+    SELECT k, l_orderkey, l_linenumber, balance, segment FROM l FULL JOIN s USING (k) FULL JOIN c USING (k)""")
+def j2_skewed(spark, sf):
+    # a third of the rows have one key, which nobody names
+    key = F.when(C("l_orderkey") % 3 == 0, 0).otherwise(C("l_orderkey"))
+    return joins.outer_merge_all([
+        table(spark, sf, "lineitem").select(key.cast("long").alias("k"), "l_orderkey", "l_linenumber"),
+        table(spark, sf, "supplier").select((C("s_suppkey") - 1).cast("long").alias("k"), C("s_acctbal").alias("balance")),
+        table(spark, sf, "customer").select(C("c_custkey").cast("long").alias("k"), C("c_mktsegment").alias("segment")),
+    ], ["k"], rows=1000)
+
+
 @query("j3_lookup", """
     SELECT p_partkey, CASE p_type WHEN 'PROMO' THEN 'promo!' WHEN 'ECONOMY' THEN p_name END AS found FROM part""")
 def j3(spark, sf):

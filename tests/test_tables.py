@@ -166,6 +166,47 @@ def test_heavy_key_of_copies(spark):
     assert got.select("k", "v", "w").exceptAll(want.select("k", "v", "w")).isEmpty() and got.count() == want.count()
 
 
+def hot_frames(spark):
+    hot = C("id") % 3 == 0
+    big = spark.range(0, 9000, 1, 6).select(
+        F.when(hot, F.lit("h")).when(C("id") % 5 == 0, F.lit(None)).otherwise(C("id").cast("string")).alias("k"),
+        F.lit(1).alias("m"), C("id").alias("v"))
+    small = spark.range(40).select(F.when(C("id") < 2, F.lit("h")).otherwise(C("id").cast("string")).alias("k"),
+                                   F.lit(1).alias("m"), C("id").alias("w"))
+    return big, small
+
+
+def test_heavy_keys_are_found(spark):
+    big, small = hot_frames(spark)
+    assert set(joins.heavy_keys([big, small], ["k", "m"], rows=500)) == {("h", 1), (None, 1)}
+    assert joins.heavy_keys([big, small], ["k", "m"], rows=5000) == []
+    assert joins.heavy_keys([big.withColumn("k", C("v") / 2)], ["k"], rows=1) == []
+    assert joins.heavy_keys([big.limit(0), small.limit(0)], ["k", "m"], rows=1) == []
+
+
+def test_found_keys_are_spread_and_change_nothing(spark):
+    big, small = hot_frames(spark)
+    found = joins.outer_merge_all([big, small], ["k", "m"], rows=500, slices=8)
+    plain = joins.outer_merge_all([big, small], ["k", "m"], heavy=())
+    assert tuples(found.select("k", "v", "w").orderBy("k", "v", "w")) == tuples(plain.select("k", "v", "w").orderBy("k", "v", "w"))
+    # as with large frames: no broadcast, and no partitions put together
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    was = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+
+        def most(df):
+            return df.filter("k = 'h'").groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+
+        whole, spread = (most(joins.outer_merge_all([big, small], ["k", "m"], **kw).cache())
+                         for kw in ({"heavy": ()}, {"rows": 500, "slices": 8}))
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert whole == 6000 and spread <= 3000
+
+
 def test_rule_with_a_column_value_reads_earlier_writes(spark):
     df = spark.createDataFrame([("x", "old", "z")], "t STRING, a STRING, b STRING")
     todo = [curate.rule({"t": "x"}, {"a": "new"}), curate.rule({"t": "x"}, {"b": C("a")})]
