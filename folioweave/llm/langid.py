@@ -43,8 +43,10 @@ MAX_STRINGS = 300_000
 MAX_STRING_BYTES = 48 << 20
 SCORE_BYTES = 24 << 20
 PASS_CHARS = 100_000
-#: Rows of texts that are scored together.
-PART = 256
+#: Words of up to so many characters are summed as products, others as logarithms.
+PLAIN_LETTERS, LIFT = 40, 4.0
+#: Texts and characters of texts that are scored together.
+PART, PART_CHARS = 256, 2 << 20
 
 
 @lru_cache(maxsize=1)
@@ -121,22 +123,29 @@ class Spans:
 
     def backward(self, weight: np.ndarray) -> np.ndarray:
         """Log of the summed products from every place on."""
-        left = self.last[self.word] - self.start
-        return self._sweep(weight, self.last, self.end, self.start, left)
+        return self._sweep(weight, self.last, self.end, self.start, self.last[self.word] - self.start)
 
     def _sweep(self, weight: np.ndarray, origin: np.ndarray, near: np.ndarray, far: np.ndarray, depth: np.ndarray) -> np.ndarray:
+        order = np.argsort(depth * (int(self.last[-1]) + 1) + far)
+        near, far, depth, weight = near[order], far[order], depth[order], weight[order]
+        groups = np.flatnonzero(np.diff(far, prepend=-1))
+        turns = np.searchsorted(depth, np.arange(1, int(depth[-1]) + 2))
+        cut = np.searchsorted(groups, turns)
+        steps = [(a, b, groups[x:y]) for a, b, x, y in zip(turns[:-1], turns[1:], cut[:-1], cut[1:]) if a < b]
+        if len(turns) <= PLAIN_LETTERS:
+            # products themselves, lifted by a constant for each character so that they stay in range
+            out = np.zeros((int(self.last[-1]) + 1, weight.shape[1]))
+            out[origin] = 1.0
+            lift = np.exp(weight + LIFT * np.abs(far - near)[:, None])
+            for a, b, at in steps:
+                out[far[at]] = np.add.reduceat(out[near[a:b]] * lift[a:b], at - a, axis=0)
+            if out.min() > 0 and np.isfinite(out).all():
+                place = np.arange(len(out))
+                return np.log(out) - LIFT * np.abs(place - np.repeat(origin, self.last - self.first + 1))[:, None]
         out = np.full((int(self.last[-1]) + 1, weight.shape[1]), -np.inf)
         out[origin] = 0.0
-        order = np.lexsort((far, depth))
-        near, far, weight = near[order], far[order], weight[order]
-        groups = np.flatnonzero(np.diff(far, prepend=-1) != 0)
-        turns = np.searchsorted(depth[order], np.arange(1, int(depth.max()) + 2)) if len(depth) else [0]
-        cut = np.searchsorted(groups, turns)
-        for t in range(len(turns) - 1):
-            a, b = turns[t], turns[t + 1]
-            if a < b:
-                at = groups[cut[t]:cut[t + 1]]
-                out[far[at]] = np.logaddexp.reduceat(out[near[a:b]] + weight[a:b], at - a, axis=0)
+        for a, b, at in steps:
+            out[far[at]] = np.logaddexp.reduceat(out[near[a:b]] + weight[a:b], at - a, axis=0)
         return out
 
 
@@ -207,13 +216,13 @@ def expected(counts: DataFrame, path: str, langs: list[str], table: np.ndarray |
         for batch in batches:
             words, n = batch.column("word").to_pylist(), batch.column("n").to_numpy()
             of = np.array([place[x] for x in batch.column("lang").to_pylist()], np.int64)
-            for a, b in passes(words):
-                spans = own.spans(words[a:b])
-                mine = of[a:b][spans.word]
+            for some in passes(words):
+                spans = own.spans([words[i] for i in some.tolist()])
+                mine = of[some][spans.word]
                 w = spans.weights(weight)[np.arange(len(mine)), mine][:, None]
                 fore, back = spans.forward(w), spans.backward(w)
                 share = np.exp(fore[spans.start] + w + back[spans.end] - fore[spans.last][spans.word])[:, 0]
-                units = np.rint(share * UNIT).astype(np.int64) * n[a:b][spans.word]
+                units = np.rint(share * UNIT).astype(np.int64) * n[some][spans.word]
                 plain = spans.piece < own.size
                 np.add.at(uses, (mine[plain], spans.piece[plain]), units[plain])
                 for i in np.flatnonzero(~plain).tolist():
@@ -229,16 +238,12 @@ def expected(counts: DataFrame, path: str, langs: list[str], table: np.ndarray |
     return out
 
 
-def passes(words: list[str]) -> Iterator[tuple[int, int]]:
-    """Ranges of words whose characters together are bounded (a longer word has a range of its own)."""
-    a = size = 0
-    for i, w in enumerate(words):
-        if size and size + len(w) > PASS_CHARS:
-            yield a, i
-            a, size = i, 0
-        size += len(w) + 2
-    if a < len(words):
-        yield a, len(words)
+def passes(words: list[str]) -> Iterator[np.ndarray]:
+    """Words, by their places, whose characters together are bounded; long words are kept apart from short ones."""
+    size = np.array([len(w) + 2 for w in words], np.int64)
+    for part in (np.flatnonzero(size <= PLAIN_LETTERS), np.flatnonzero(size > PLAIN_LETTERS)):
+        if len(part):
+            yield from np.split(part, np.flatnonzero(np.diff(np.cumsum(size[part]) // PASS_CHARS)) + 1)
 
 
 def fit(docs: DataFrame, path: str, lang: str = "lang", text: str = "text", *, rounds: int = 2, prior: float = 100.0,
@@ -262,52 +267,67 @@ def fit(docs: DataFrame, path: str, lang: str = "lang", text: str = "text", *, r
     return Model(path, langs, table, np.log(docs_of / docs_of.sum()))
 
 
+class Rows(dict):
+    """Row numbers of strings; those not met before are listed."""
+
+    def __init__(self) -> None:
+        self.new: list[str] = []
+
+    def __missing__(self, string: str) -> int:
+        self[string] = at = len(self)
+        self.new.append(string)
+        return at
+
+    def of(self, strings: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, strings), np.int64, len(strings))
+
+
 class Scorer:
-    """Log probabilities of texts, with what is known about blank-separated strings."""
+    """Log probabilities of texts, with what is known about words and blank-separated strings."""
 
     def __init__(self, model: Model) -> None:
         self.model, self.lattice = model, lattice(model.path)
         self.most = max(1000, SCORE_BYTES // (8 * len(model.langs)))
-        self.kept: dict[str, int] = {}
-        self.sums = np.zeros((0, len(model.langs)))
-        self.lettered = np.zeros(0, bool)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words, self.strings = Rows(), Rows()
+        self.word_value = np.zeros((0, len(self.model.langs)))
+        self.value, self.lettered = self.word_value, np.zeros(0, bool)
 
-    def words(self, words: list[str]) -> np.ndarray:
+    def word_values(self, words: list[str]) -> np.ndarray:
         """Log probability of every word in every language."""
-        out = [np.zeros((0, len(self.model.langs)))]
-        for a, b in passes(words):
-            spans = self.lattice.spans(words[a:b])
-            out.append(spans.forward(spans.weights(self.model.table))[spans.last])
-        return np.concatenate(out)
+        out = np.zeros((len(words), len(self.model.langs)))
+        for some in passes(words):
+            spans = self.lattice.spans([words[i] for i in some.tolist()])
+            out[some] = spans.forward(spans.weights(self.model.table))[spans.last]
+        return out
 
     def learn(self, strings: list[str]) -> None:
+        """Sums over the words of strings that were not met before."""
         letters = _letters()
         parts = [letters(s.lower()) for s in strings]
-        flat = sorted({w for p in parts for w in p})
-        at = {w: i for i, w in enumerate(flat)}
-        value = self.words(flat)
-        base = len(self.sums)
+        size = np.array([len(p) for p in parts], np.int64)
+        at = self.words.of([w for p in parts for w in p])
+        if self.words.new:
+            self.word_value = np.concatenate([self.word_value, self.word_values(self.words.new)])
+            self.words.new = []
         new = np.zeros((len(strings), len(self.model.langs)))
-        of = np.repeat(np.arange(len(strings)), [len(p) for p in parts])
-        np.add.at(new, of, value[np.array([at[w] for p in parts for w in p], np.int64)])
-        self.kept.update(zip(strings, range(base, base + len(strings))))
-        self.sums = np.concatenate([self.sums, new])
-        self.lettered = np.concatenate([self.lettered, np.array([len(p) > 0 for p in parts], bool)])
+        np.add.at(new, np.repeat(np.arange(len(strings)), size), self.word_value[at])
+        self.value, self.lettered = np.concatenate([self.value, new]), np.concatenate([self.lettered, size > 0])
 
     def texts(self, texts: list[str | None]) -> Iterator[tuple[str, float]]:
-        split = [(t or "").split() for t in texts]
-        if len(self.kept) > self.most:
-            self.kept, self.sums, self.lettered = {}, self.sums[:0], self.lettered[:0]
-        kept = self.kept
-        new = {s for p in split for s in p if s not in kept}
-        if new:
-            self.learn(sorted(new))
-        for p in split:
-            at = np.fromiter(map(kept.__getitem__, p), np.int64, len(p))
+        if max(len(self.strings), len(self.words)) > self.most:
+            self._forget()
+        rows = [self.strings.of((t or "").split()) for t in texts]
+        if self.strings.new:
+            self.learn(self.strings.new)
+            self.strings.new = []
+        for at in rows:
             if not self.lettered[at].any():
                 yield UNKNOWN, 0.0
                 continue
-            z = self.model.prior + self.sums[at].sum(axis=0)
+            z = self.model.prior + self.value[at].sum(axis=0)
             best = int(np.argmax(z))
             yield self.model.langs[best], float(1 / np.exp(z - z[best]).sum())
 
@@ -323,11 +343,13 @@ def predict(spark: SparkSession, text: Column, model: Model) -> Column:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = Scorer(given.value)
         for texts in batches:
-            rows = texts.tolist()
-            got = [r for at in range(0, len(rows), PART) for r in own.texts(rows[at:at + PART])]
-            yield pd.DataFrame(got, columns=["lang", "score"])
+            got, part, chars = [], [], 0
+            for t in texts.tolist():
+                part.append(t)
+                chars += len(t or "")
+                if len(part) >= PART or chars >= PART_CHARS:
+                    got += own.texts(part)
+                    part, chars = [], 0
+            yield pd.DataFrame([*got, *own.texts(part)], columns=["lang", "score"])
 
     return run(text)
-
-
-__all__ = ["Lattice", "Model", "Scorer", "fit", "held_out", "lattice", "predict", "word_counts"]
