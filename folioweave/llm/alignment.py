@@ -37,8 +37,11 @@ from folioweave.llm.wordids import _byte_letters
 MAX_PAIRS = 4_000_000
 #: A pair is one number: A's id times this, plus B's id.
 SIDE = 1 << 32
-KEPT_PIECES = 150_000
+KEPT_PIECES = 180_000
 LONGEST_KEPT = 200
+#: Characters of pieces that are aligned at once; texts and characters of texts whose pieces are looked up together.
+PASS_CHARS = 50_000
+TEXTS, TEXT_CHARS = 256, 2 << 20
 #: Rows and bytes of one batch that a task hands on.
 ROWS, ROW_BYTES = 2048, 16 << 20
 BORDER = re.compile(r"(?<=\S) (?=\S)")
@@ -75,8 +78,9 @@ class ByteTokens:
             ranks = {self.bytes[i]: i for i in range(256 + len(merges))}
             self.fast = tiktoken.Encoding("a", pat_str=WORD_PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
-    def ids(self, text: str) -> list[int]:
-        if self.fast is not None and len(text) <= LONGEST_KEPT:
+    def ids(self, text: str, short: bool = False) -> list[int]:
+        """``short``: no blank-separated part is long."""
+        if self.fast is not None and (short or len(text) <= LONGEST_KEPT):
             return self.fast(text)
         return self.whole.encode(text, add_special_tokens=False).ids
 
@@ -101,28 +105,12 @@ class PieceTokens:
         return self.model.encode(text)
 
 
-def groups_of(a: list[int], b: list[int], a_bytes: list[bytes], b_bytes: list[bytes]) -> Iterator[tuple[list, list, list]]:
-    """Groups of A ids and B ids over the same bytes, each with its links in order."""
-    i = j = 0
-    while i < len(a):
-        own_a, own_b, links = [a[i]], [b[j]], [(a[i], b[j])]
-        end_a, end_b = len(a_bytes[a[i]]), len(b_bytes[b[j]])
-        while end_a != end_b:
-            if end_a < end_b:
-                i += 1
-                own_a.append(a[i])
-                end_a += len(a_bytes[a[i]])
-            else:
-                j += 1
-                own_b.append(b[j])
-                end_b += len(b_bytes[b[j]])
-            links.append((a[i], b[j]))
-        i, j = i + 1, j + 1
-        yield own_a, own_b, links
+#: What a piece is known by: ``n_a, n_b, groups, links, spelled groups, regular A ids, other links``.
+Piece = tuple[int, int, int, int, str, bytes, bytes]
 
 
 class Aligner:
-    """What two tokenizers make of a text, piece by piece."""
+    """What two tokenizers make of texts, piece by piece."""
 
     def __init__(self, a_path: str, b_path: str) -> None:
         self.a, self.b = ByteTokens(a_path), PieceTokens(b_path)
@@ -130,50 +118,94 @@ class Aligner:
         same |= {v: i for i, v in enumerate(self.b.bytes) if v not in same and self.b.model.is_byte(i)}
         #: For every A id the B id of the same bytes, or -1.
         self.identity = np.array([same.get(v, -1) if v else -1 for v in self.a.bytes], np.int64)
-        self.same = self.identity.tolist()
+        self.size_a, self.size_b = (np.array([len(v) for v in t.bytes], np.int64) for t in (self.a, self.b))
+        self.spell = {(t, end): np.array([f"{i}{end}" for i in range(size)], object)
+                      for t, size in (("a", self.a.size), ("b", self.b.size)) for end in ",|;"}
         self.by_word = self.a.by_word and self.b.by_word
-        self.kept: dict[str, tuple | None] = {}
-        self.older: dict[str, tuple | None] = {}
-
-    def piece(self, body: str) -> tuple | None:
-        """``n_a, n_b, groups, links, spelled groups, regular A ids, other links`` of a blank and ``body``; None if lost."""
-        whole = b" " + body.encode()
-        a = self.a.ids(" " + body)
-        b = self.b.ids(body)
-        a_bytes, b_bytes = self.a.bytes, self.b.bytes
-        if b"".join([a_bytes[i] for i in a]) != whole or b"".join([b_bytes[i] for i in b]) != whole:
-            return None
-        regular, other, spelled, n = [], [], [], 0
-        for own_a, own_b, links in groups_of(a, b, a_bytes, b_bytes):
-            n += len(links)
-            if len(links) == 1 and self.same[own_a[0]] == own_b[0]:
-                regular.append(own_a[0])
-            else:
-                other += [x * SIDE + y for x, y in links]
-            spelled.append(f"{','.join(map(str, own_a))}|{','.join(map(str, own_b))}")
-        return (len(a), len(b), len(spelled), n, ";".join(spelled).encode(), np.array(regular, "<i4").tobytes(),
-                np.array(other, "<i8").tobytes())
-
-    def text(self, text: str | None) -> tuple | None:
-        """As ``piece``, for a whole text."""
-        if not text:
-            return None
-        if not self.by_word or "▁" in text:
-            return self.piece(text)
+        self.kept: dict[str, Piece | None] = {}
+        self.older: dict[str, Piece | None] = {}
+
+    def pieces(self, bodies: list[str]) -> list[Piece | None]:
+        """Each body with a blank before it, aligned in one go; None where a tokenizer does not give it back.
+
+        Several bodies must neither begin nor end with white space, nor be empty.
+        """
+        text = " ".join(bodies)
+        whole = b" " + text.encode()
+        a, b = self.a.ids(" " + text, len(bodies) > 1), self.b.ids(text)
+        if b"".join(map(self.a.bytes.__getitem__, a)) != whole or b"".join(map(self.b.bytes.__getitem__, b)) != whole:
+            half = len(bodies) // 2
+            return [*self.pieces(bodies[:half]), *self.pieces(bodies[half:])] if half else [None]
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        end_a, end_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        border = np.cumsum([len(x.encode()) + 1 for x in bodies])
+        cut = np.intersect1d(end_a, end_b, assume_unique=True)
+        link = np.union1d(end_a, end_b)  # a link ends wherever a token of either ends
+        link_a, link_b = a[np.searchsorted(end_a, link)], b[np.searchsorted(end_b, link)]
+        group = np.searchsorted(cut, link)
+        regular = (np.bincount(group) == 1)[group] & (self.identity[link_a] == link_b)
+        other = (link_a * SIDE + link_b)[~regular].astype("<i8").tobytes()
+        plain = link_a[regular].astype("<i4").tobytes()
+        group_a, group_b = np.searchsorted(cut, end_a), np.searchsorted(cut, end_b)
+        said = np.empty(len(a) + len(b), object)
+        said[np.arange(len(a)) + np.searchsorted(group_b, group_a)] = np.where(
+            end_a == cut[group_a], self.spell["a", "|"][a], self.spell["a", ","][a])
+        said[np.arange(len(b)) + np.searchsorted(group_a, group_b, "right")] = np.where(
+            end_b == cut[group_b], self.spell["b", ";"][b], self.spell["b", ","][b])
+        said = said.tolist()
+        upto = [np.searchsorted(x, border, "right") for x in (end_a, end_b, cut, link)]
+        plain_upto = np.concatenate([[0], np.cumsum(regular)])[upto[3]]
+        rows = np.stack([*upto, plain_upto], axis=1)
+        sizes = np.diff(rows, axis=0, prepend=0).tolist()
+        out, na, nr, no = [], 0, 0, 0
+        for x, y, g, n, r in sizes:
+            o = n - r
+            out.append((x, y, g, n, "".join(said[na:na + x + y])[:-1], plain[4 * nr:4 * (nr + r)], other[8 * no:8 * (no + o)]))
+            na, nr, no = na + x + y, nr + r, no + o
+        return out
+
+    def learn(self, strings: set[str]) -> None:
+        """Find out about pieces that were not met before, many at once."""
+        part, size = [], 0
+        for s in sorted(strings):
+            if not s or len(s) > LONGEST_KEPT or s[0].isspace() or s[-1].isspace():
+                self.kept[s] = self.pieces([s])[0]
+                continue
+            part.append(s)
+            size += len(s)
+            if size > PASS_CHARS:
+                self.kept.update(zip(part, self.pieces(part), strict=True))
+                part, size = [], 0
+        if part:
+            self.kept.update(zip(part, self.pieces(part), strict=True))
+
+    def texts(self, texts: list[str | None]) -> list[Piece | None]:
+        """Whole texts; None for those without tokens."""
+        split = [self._split(t) for t in texts]
         if len(self.kept) > KEPT_PIECES:
             self.older, self.kept = self.kept, {}
-        kept, older, got = self.kept, self.older, []
-        for p in BORDER.split(text) if ODD_BLANKS.search(text) else text.split(" "):
-            hit = kept.get(p)
-            if hit is None:
-                hit = older[p] if p in older else self.piece(p)
-                if hit is None:
-                    return None
-                if len(p) <= LONGEST_KEPT:
-                    kept[p] = hit
-            got.append(hit)
-        a, b, groups, links, spelled, regular, other = zip(*got)
-        return sum(a), sum(b), sum(groups), sum(links), b";".join(spelled), b"".join(regular), b"".join(other)
+        kept, older = self.kept, self.older
+        new = {s for p in split for s in p if s not in kept}
+        kept.update({s: older[s] for s in new if s in older})
+        self.learn({s for s in new if s not in older})
+        out: list[Piece | None] = []
+        for p in split:
+            got = list(map(kept.__getitem__, p))
+            if not got or None in got:
+                out.append(None)
+                continue
+            a, b, groups, links, spelled, regular, other = zip(*got)
+            out.append((sum(a), sum(b), sum(groups), sum(links), ";".join(spelled), b"".join(regular), b"".join(other)))
+        for s in [s for s in new if len(s) > LONGEST_KEPT]:
+            del kept[s]
+        return out
+
+    def _split(self, text: str | None) -> list[str]:
+        if not text:
+            return []
+        if not self.by_word or "▁" in text:
+            return [text]
+        return BORDER.split(text) if ODD_BLANKS.search(text) else text.split(" ")
 
 
 @lru_cache(maxsize=2)
@@ -198,6 +230,16 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, id: str = "doc_id", text:
             key, texts = batch.column("id"), batch.column("text")
             rows, size, begin = [], 0, 0
 
+            def found() -> Iterator[Piece | None]:
+                part, chars = [], 0
+                for t in texts:
+                    part.append(t.as_py())
+                    chars += len(part[-1] or "")
+                    if len(part) >= TEXTS or chars >= TEXT_CHARS:
+                        yield from own.texts(part)
+                        part, chars = [], 0
+                yield from own.texts(part)
+
             def done(end: int) -> pa.RecordBatch:
                 cols = list(zip(*rows))
                 return pa.RecordBatch.from_arrays(
@@ -205,12 +247,11 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, id: str = "doc_id", text:
                      *[pa.array(c, pa.binary()) for c in cols[5:]]],
                     ["id", *COUNTS, "groups_sha256", "regular", "other"])
 
-            for at in range(batch.num_rows):
-                got = own.text(texts[at].as_py())
+            for at, got in enumerate(found()):
                 if got is None:
                     rows.append((0, 0, 0, 0, "", b"", b""))
                 else:
-                    rows.append((*got[:4], sha256(got[4]).hexdigest(), *got[5:]))
+                    rows.append((*got[:4], sha256(got[4].encode()).hexdigest(), *got[5:]))
                     size += len(got[5]) + len(got[6])
                 if len(rows) >= ROWS or size >= ROW_BYTES:
                     yield done(at + 1)

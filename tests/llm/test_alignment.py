@@ -78,12 +78,14 @@ def test_empty_table(spark):
 
 def test_identity_has_the_same_bytes():
     own = alignment.aligner(A, B)
-    at = [i for i, j in enumerate(own.same) if j >= 0]
-    assert len(at) > 5000 and all(own.a.bytes[i] == own.b.bytes[own.same[i]] for i in at)
+    at = [i for i, j in enumerate(own.identity) if j >= 0]
+    assert len(at) > 5000 and all(own.a.bytes[i] == own.b.bytes[own.identity[i]] for i in at)
 
 
-def test_small_cache_changes_nothing(monkeypatch):
+def test_pieces_and_small_caches_change_nothing(monkeypatch):
     own = alignment.Aligner(A, B)
-    want = [own.piece(t) if t else None for t in TEXTS]
+    want = [own.pieces([t])[0] if t else None for t in TEXTS]
+    assert own.by_word and own.texts(TEXTS) == want
     monkeypatch.setattr(alignment, "KEPT_PIECES", 2)
-    assert [own.text(t) for t in TEXTS] == want and own.by_word
+    monkeypatch.setattr(alignment, "PASS_CHARS", 10)
+    assert [x for t in TEXTS for x in own.texts([t])] == want
