@@ -169,9 +169,14 @@ def pack(pieces: DataFrame, rows: int, limits: Limits, id_width: int, *, cut: bo
 
 def pack_documents(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text",
                    limits: Limits = Limits(), end_id: int = 1, group_rows: int = 2048) -> DataFrame:
-    """Documents to packed pieces; see ``pack``."""
+    """Documents to packed pieces; see ``pack``.
+
+    A document counts as one example and one more for every ``2 * limits.tokens`` bytes of its text, so that a group's size
+    is bounded where documents are long, too.
+    """
     pieces = tokenize(docs, path, id, text, end_id, limits.tokens)
-    return pack(pieces, docs.count(), limits, id_bytes(path), group_rows=group_rows)
+    rows, size = docs.agg(F.count("*"), F.sum(F.octet_length(text).cast("long"))).first()
+    return pack(pieces, rows + (size or 0) // (2 * limits.tokens), limits, id_bytes(path), group_rows=group_rows)
 
 
 def digest(packed: DataFrame, id_width: int, id: str = "doc_id") -> DataFrame:

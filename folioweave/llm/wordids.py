@@ -1,14 +1,16 @@
 """Token ids of whole texts by a `tokenizers` file, with the ids of each word kept.
 
-A word-level tokenizer drops white space and never joins across it, so a text's ids are its words' ids in a row. For such
-a file (lower case, BPE with word ends) texts of plain Latin letters are cut up here by the file's own pattern, and its
-model is asked once per word. Lines with other characters, and files of another kind, go through ``encode`` whole.
+A word-level tokenizer drops white space and never joins across it, so a text's ids are those of its blank-separated strings
+in a row. For such a file (lower case, BPE with word ends) each string is looked at once: plain Latin ones are cut up by the
+file's own pattern and its model is asked for each word, others go through ``encode``. So do files of another kind, whole.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from array import array
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -17,9 +19,11 @@ NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "co
 PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 LETTERS = "a-zªµºß-öø-ÿœ"
 PLAIN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9²³¹¼½¾]|[^\\s{LETTERS}0-9²³¹¼½¾]+")
-OTHER = re.compile("[^\t\n\r -~¡-ÿŒœ]")
-#: Words of each of two generations that are kept; a word that is met again moves to the younger one.
-KEPT_WORDS = 120_000
+OTHER = "[^\t\n\r -~¡-ÿŒœ]"
+#: Words that are kept, strings of each of two generations, and the longest of them.
+KEPT_WORDS = 150_000
+KEPT_STRINGS = 120_000
+LONGEST_KEPT = 200
 
 
 def _byte_letters() -> dict[int, str]:
@@ -29,6 +33,27 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+class Strings(dict):
+    """What is known about strings, in two generations: one that is met again moves to the younger."""
+
+    def __init__(self, find: Callable[[bytes], bytes]) -> None:
+        self.find, self.older = find, {}
+
+    def turn(self) -> None:
+        if len(self) > KEPT_STRINGS:
+            self.older = dict(self)
+            self.clear()
+
+    def __missing__(self, string: bytes) -> bytes:
+        got = self.older.get(string)
+        if got is None:
+            got = self.find(string)
+            if len(string) > LONGEST_KEPT:
+                return got
+        self[string] = got
+        return got
+
+
 class WordIds:
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -42,37 +67,41 @@ class WordIds:
             (spec.get("normalizer") or {}).get("normalizers") == NORMAL
             and parts[0].get("pattern") == {"Regex": PATTERN} and parts[0].get("behavior") == "Removed"
             and [p["type"] for p in parts] == ["Split", "ByteLevel"] and not parts[1].get("use_regex"))
-        self.special = [t["content"] for t in spec.get("added_tokens", [])]
+        special = [re.escape(t["content"]) for t in spec.get("added_tokens", [])]
+        self.whole_only = re.compile("|".join([OTHER, *special]))
         self.kind = "<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
         self.model, self.letters = self.tokenizer.model, _byte_letters()
-        self.kept: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.code = "H" if self.kind == "<u2" else "I"
+        self.words: dict[str, bytes] = {}
+        self.strings = Strings(self._string)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
     def _word(self, word: str) -> bytes:
-        shown = word if word.isascii() else "".join([self.letters[b] for b in word.encode()])
-        return np.array([t.id for t in self.model.tokenize(shown)], self.kind).tobytes()
+        got = self.words.get(word)
+        if got is None:
+            shown = word if word.isascii() else "".join([self.letters[b] for b in word.encode()])
+            if len(self.words) > KEPT_WORDS:
+                self.words.clear()
+            got = self.words[word] = array(self.code, [t.id for t in self.model.tokenize(shown)]).tobytes()
+        return got
+
+    def _string(self, string: bytes) -> bytes:
+        """Ids of a string without ASCII white space."""
+        if string.isalpha():
+            return self._word(string.lower().decode())
+        text = string.decode()
+        if self.whole_only.search(text):
+            return self._whole(text)
+        return b"".join(map(self._word, PLAIN.findall(text.lower())))
 
     def encode(self, text: str) -> bytes:
         """All ids of ``text``, little-endian, ``kind`` wide."""
-        if not text:
-            return b""
-        if not self.by_word or any(s in text for s in self.special):
-            return self._whole(text)
-        if OTHER.search(text):
-            lines = text.split("\n")
-            if len(lines) == 1:
-                return self._whole(text)
-            return b"".join([self.encode(x) for x in lines])
-        if len(self.kept) > KEPT_WORDS:
-            self.older, self.kept = self.kept, {}
-        word, kept, older = PLAIN.findall(text.lower()), self.kept, self.older
-        for w in word:
-            if w not in kept:
-                kept[w] = older[w] if w in older else self._word(w)
-        return b"".join([kept[w] for w in word])
+        if not self.by_word:
+            return self._whole(text) if text else b""
+        self.strings.turn()
+        return b"".join(map(self.strings.__getitem__, text.encode().split()))
 
 
 @lru_cache(maxsize=4)
