@@ -1,12 +1,12 @@
 """Phrase collocations: a trie of hash containers counts in every task, sorted runs are merged by prefix.
 
-Every word occurrence is one entry: the word and up to two words after it in its piece. A task numbers the words it meets and
-keeps the entries in a trie: first word, then a hash container of the rest, which bursts into one container for each second
+Every word with another after it in its piece is one entry: the two and, if there is one, the third. A task numbers the words
+it meets, counts them in an array, and keeps the entries in a trie: first word, then a hash container of the rest, which bursts into one container for each second
 word when it grows. When the trie is full, its largest subtrees are handed on whole, as runs sorted by their words, so that
 memory is bounded and what is met often is added up early. Spark deals the runs by language and the first two words and sorts
 each part, which merges the runs; one pass over a part adds up equal entries. The count of two words is the sum of the entries
-that begin with them, and the count of one word the sum of its subtree, so neither is counted apart. A third of all entries
-under one first word are dealt by their second words.
+that begin with them, so they are not counted apart. A third of all entries under one first word are dealt by their second
+words.
 
 Only counts from ``min_count`` on go further: no part of a candidate can be rarer than the candidate, so nothing is lost.
 
@@ -113,33 +113,33 @@ class PhraseTrie:
 
     def take(self, leave: int) -> tuple[np.ndarray, np.ndarray]:
         """Remove the largest subtrees until ``leave`` entries are left; their keys and counts."""
-        keys, counts = [], []
+        rest, counts, bases, sizes = [], [], [], []
         for word in sorted(self.size, key=self.size.__getitem__, reverse=True):
             if self.entries <= leave:
                 break
             box = self.tops.pop(word)
             top = word << (2 * BITS)
-            parts = [(top + (k << BITS), below) for k, below in box.items()] if word in self.open else [(top, box)]
-            for base, own in parts:
-                keys.append(np.fromiter(own.keys(), np.int64, len(own)) + base)
-                counts.append(np.fromiter(own.values(), np.int64, len(own)))
+            for base, own in [(top + (k << BITS), below) for k, below in box.items()] if word in self.open else [(top, box)]:
+                rest += own
+                counts += own.values()
+                bases.append(base)
+                sizes.append(len(own))
             self.open.discard(word)
             self.entries -= self.size.pop(word)
-        if not keys:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        return np.concatenate(keys), np.concatenate(counts)
+        return (np.repeat(np.array(bases, np.int64), np.array(sizes, np.int64)) + np.array(rest, np.int64),
+                np.array(counts, np.int64))
 
 
 def entries(ids: np.ndarray) -> np.ndarray:
-    """One key for each word: the word and what follows it before the next break (number 0), two words at most."""
+    """One key for each word that another follows before the next break (number 0): the two, and the word after them."""
     padded = np.concatenate([ids, [0, 0]])
     one, two, three = padded[:-2], padded[1:-1], padded[2:]
     third = np.where(two == 0, 0, three)
-    return ((one << (2 * BITS)) + (two << BITS) + third)[one > 0]
+    return ((one << (2 * BITS)) + (two << BITS) + third)[(one > 0) & (two > 0)]
 
 
 def run_rows(lang: str, keys: np.ndarray, counts: np.ndarray, words: list[bytes]) -> Iterator[pa.RecordBatch]:
-    """A sorted run as rows: the count of each first word, and the entries of two and three words."""
+    """A sorted run of entries as rows."""
     ids, place = np.unique(np.concatenate([[0], keys >> (2 * BITS), (keys >> BITS) & MASK, keys & MASK]), return_inverse=True)
     own = [words[i] for i in ids.tolist()]
     order = sorted(range(len(own)), key=own.__getitem__)
@@ -154,22 +154,27 @@ def run_rows(lang: str, keys: np.ndarray, counts: np.ndarray, words: list[bytes]
     def spell(r: np.ndarray) -> pa.Array:
         return text.take(pa.array(r, mask=r == 0))
 
-    def cuts(size: np.ndarray) -> Iterator[slice]:
-        edge = np.flatnonzero(np.diff(np.cumsum(size + 64) // ROW_BYTES)) + 1
-        for a, b in zip([0, *edge.tolist()], [*edge.tolist(), len(size)]):
-            yield slice(a, b)
-
-    tops = np.flatnonzero(np.diff(one, prepend=-1))
-    sums = np.add.reduceat(counts, tops)
-    for c in cuts(length[one[tops]]):
-        yield _batch(lang, spell(one[tops[c]]), pa.nulls(len(tops[c]), pa.string()), sums[c])
-    more = np.flatnonzero(two > 0)
-    one, two, three, counts = one[more], two[more], three[more], counts[more]
     for c in cuts(length[one] + length[two] + length[three]):
         prefix = pc.binary_join_element_wise(spell(one[c]), spell(two[c]), " ")
         yield _batch(lang, prefix, spell(three[c]), counts[c])
 
 
+def cuts(size: np.ndarray) -> Iterator[slice]:
+    """Ranges of rows of so many bytes, to be handed on together."""
+    edge = np.flatnonzero(np.diff(np.cumsum(size + 64) // ROW_BYTES)) + 1
+    for a, b in zip([0, *edge.tolist()], [*edge.tolist(), len(size)]):
+        yield slice(a, b)
+
+
+def word_rows(lang: str, counts: np.ndarray, words: list[bytes]) -> Iterator[pa.RecordBatch]:
+    """The counts of single words as rows, sorted."""
+    at = sorted(np.flatnonzero(counts).tolist(), key=words.__getitem__)
+    own = [words[i] for i in at]
+    for c in cuts(np.array([len(w) for w in own], np.int64)):
+        text = pa.array(own[c], pa.binary()).cast(pa.string())
+        yield _batch(lang, text, pa.nulls(len(text), pa.string()), counts[at[c]])
+
+
 def _batch(lang: str, prefix: pa.Array, last: pa.Array, n) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array([lang] * len(prefix), pa.string()), prefix, last, pa.array(n, pa.int64())], ["lang", "prefix", "last", "n"])
@@ -188,33 +193,45 @@ def _count(max_entries: int, burst: int):
         yield from ((k, BREAK.join(v)) for k, v in by_lang.items())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, tries, total = Words(), {}, {}
+        seen: dict[str, tuple[Words, PhraseTrie]] = {}
+        single: dict[str, np.ndarray] = {}
+
+        def held() -> int:
+            return sum(t.entries for _, t in seen.values())
 
         def spill(leave: int) -> Iterator[pa.RecordBatch]:
-            for lang, trie in tries.items():
-                keys, counts = trie.take(leave * trie.entries // max(1, held()))
+            whole = max(1, held())
+            for lang, (words, trie) in seen.items():
+                keys, counts = trie.take(leave * trie.entries // whole)
                 if len(keys):
                     yield from run_rows(lang, keys, counts, words.seen)
 
-        def held() -> int:
-            return sum(t.entries for t in tries.values())
+        def finish() -> Iterator[pa.RecordBatch]:
+            yield from spill(0)
+            for lang, counts in single.items():
+                yield from word_rows(lang, counts, seen[lang][0].seen)
+                yield _batch(lang, pa.array([""], pa.string()), pa.nulls(1, pa.string()), [int(counts.sum())])
+            seen.clear()
+            single.clear()
 
         for batch in batches:
             for lang, body in chunks(batch):
+                words, trie = seen.setdefault(lang, (Words(), PhraseTrie(burst)))
                 tokens = body.translate(PLAIN).replace(BREAK, b" " + BREAK + b" ").split()
                 ids = np.fromiter(map(words.__getitem__, tokens), np.int64, len(tokens))
+                uses = np.bincount(ids, minlength=len(words.seen))
+                uses[0] = 0
+                if lang in single:
+                    uses[:len(single[lang])] += single[lang]
+                single[lang] = uses
                 keys, n = np.unique(entries(ids), return_counts=True)
                 if len(keys):
-                    total[lang] = total.get(lang, 0) + int(n.sum())
-                    tries.setdefault(lang, PhraseTrie(burst)).add(keys, n)
+                    trie.add(keys, n)
                 if held() > max_entries:
                     yield from spill(max_entries // 2)
-                if len(words.seen) > MAX_WORDS or words.bytes > MAX_WORD_BYTES:
-                    yield from spill(0)
-                    words = Words()
-        yield from spill(0)
-        for lang, n in total.items():
-            yield _batch(lang, pa.array([""], pa.string()), pa.nulls(1, pa.string()), [n])
+                if sum(len(w) for w, _ in seen.values()) > MAX_WORDS or sum(w.bytes for w, _ in seen.values()) > MAX_WORD_BYTES:
+                    yield from finish()
+        yield from finish()
 
     return run
 
