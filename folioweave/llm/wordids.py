@@ -21,8 +21,8 @@ LETTERS = "a-zªµºß-öø-ÿœ"
 PLAIN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9²³¹¼½¾]|[^\\s{LETTERS}0-9²³¹¼½¾]+")
 OTHER = "[^\t\n\r -~¡-ÿŒœ]"
 #: Words that are kept, strings of each of two generations, and the longest of them.
-KEPT_WORDS = 150_000
-KEPT_STRINGS = 120_000
+KEPT_WORDS = 120_000
+KEPT_STRINGS = 60_000
 LONGEST_KEPT = 200
 
 
