@@ -20,9 +20,11 @@ PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 LETTERS = "a-zªµºß-öø-ÿœ"
 PLAIN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9²³¹¼½¾]|[^\\s{LETTERS}0-9²³¹¼½¾]+")
 OTHER = "[^\t\n\r -~¡-ÿŒœ]"
+#: A word, or a word and a mark after it: most strings, told by one look.
+SIMPLE = re.compile("([A-Za-zªµºÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@[-`{-~]?)")
 #: Words that are kept, strings of each of two generations, and the longest of them.
-KEPT_WORDS = 120_000
-KEPT_STRINGS = 60_000
+KEPT_WORDS = 300_000
+KEPT_STRINGS = 80_000
 LONGEST_KEPT = 200
 
 
@@ -92,6 +94,10 @@ class WordIds:
         if string.isalpha():
             return self._word(string.lower().decode())
         text = string.decode()
+        simple = SIMPLE.fullmatch(text)
+        if simple:
+            word, mark = simple.groups()
+            return self._word(word.lower()) + self._word(mark) if mark else self._word(word.lower())
         if self.whole_only.search(text):
             return self._whole(text)
         return b"".join(map(self._word, PLAIN.findall(text.lower())))
