@@ -28,6 +28,25 @@ def test_loads_are_bounded_and_slots_gapless(spark):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
+def test_a_third_of_all_rows_under_one_key_and_a_third_without_key(spark):
+    rnd = random.Random(5)
+    data = [({0: 5, 1: None}.get(i % 3, i), 8 + rnd.randrange(900), i) for i in range(9000)]
+    docs = spark.createDataFrame(data, "doc_id long, size long, text_crc32 long")
+    runs = [sharding.shard(docs.repartition(k), "doc_id", "size", 24, ties=("text_crc32",)).collect() for k in (1, 5)]
+    assert sorted(map(repr, runs[0])) == sorted(map(repr, runs[1]))
+    load, slots, held = defaultdict(int), defaultdict(list), defaultdict(set)
+    for r in runs[0]:
+        load[r.shard] += r.size
+        slots[r.shard].append(r.slot)
+        held[r.doc_id].add(r.shard)
+    mean = sum(load.values()) / 24
+    assert sorted((r.doc_id or -1, r.size, r.text_crc32) for r in runs[0]) == sorted((a or -1, b, c) for a, b, c in data)
+    # No shard is above 1.001 times the mean, so the one that gets least lacks at most what 23 others have above it.
+    assert len(load) == 24 and max(load.values()) <= 1.001 * mean and min(load.values()) >= (1 - 23 * 0.001) * mean
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert len(held[5]) == 24 and len(held[None]) == 24
+
+
 def test_assignment_does_not_depend_on_partitions(spark):
     docs = spark.createDataFrame([r[:2] for r in rows(800)], "doc_id long, size long")
     a = sharding.shard(docs.repartition(1), "doc_id", "size", 6).collect()
