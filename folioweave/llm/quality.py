@@ -18,6 +18,8 @@ from folioweave.llm.common import fresh, let, settle, text_key, words
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
 WINDOW = 5
+#: A line in more distinct documents of a host than this goes, also where it is a small share of a very large host.
+MAX_LINE_DOCS = 10_000
 
 
 def line_key(line_words: Column) -> Column:
@@ -91,11 +93,11 @@ def text_facts(text: Column, min_words: int, max_repeat_pct: int) -> Column:
 
 def line_report(docs: DataFrame, text: str = "text", host: str = "source", *, min_words: int = 10,
                 max_repeat_pct: int = 20, min_docs: int = 10, host_share: float = 0.02, min_left: int = 5,
-                max_removed: float = 0.8, max_docs: int | None = None) -> DataFrame:
+                max_removed: float = 0.8, max_docs: int | None = MAX_LINE_DOCS) -> DataFrame:
     """One row per host and text: ``host, key``, the counts, ``removed`` words, ``bad_lines``, ``kept``.
 
     A line goes when more than ``max(min_docs, host_share * documents of the host)`` distinct documents of its host hold
-    it; with ``max_docs``, which is not below ``min_docs``, also when more than that many do, however large the host. A
+    it, or more than ``max_docs`` (not below ``min_docs``; None for no such limit), however large the host. A
     document is depleted, and so rejected, when fewer than ``min_left`` words stay or more than ``max_removed`` of its words
     go. Texts are read once; after that only hashes move.
     """

@@ -112,7 +112,8 @@ l AS (SELECT rid, source, text,
 k AS (SELECT rid, source, text, lower(array_to_string(v, ' ')) AS line, len(v) AS n FROM l),
 f AS (SELECT source, line, count(DISTINCT text) AS c FROM k GROUP BY source, line),
 h AS (SELECT source, count(DISTINCT text) AS c FROM d GROUP BY source),
-o AS (SELECT f.source, f.line FROM f JOIN h ON f.source IS NOT DISTINCT FROM h.source WHERE f.c > 10 AND f.c > 0.02 * h.c),
+o AS (SELECT f.source, f.line FROM f JOIN h ON f.source IS NOT DISTINCT FROM h.source 
+  WHERE f.c > 10 AND (f.c > 0.02 * h.c OR f.c > 10000)),
 x AS (SELECT k.rid, sum(k.n) AS n FROM k JOIN o ON k.line = o.line AND k.source IS NOT DISTINCT FROM o.source GROUP BY k.rid)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
