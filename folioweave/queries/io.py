@@ -6,13 +6,15 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from folioweave.operators import order
-from folioweave.queries import crawl
-from folioweave.queries.registry import query, table
+from folioweave.operators import curate, order
+from folioweave.queries import crawl, curation
+from folioweave.queries.registry import SQL, query, table
 from folioweave.session import scratch_path
 from folioweave.sinks import tables as K
 from folioweave.sources import pages as S
 from folioweave.streaming import pages as T
+from folioweave.streaming.seen import SeenUrls, stream_unseen
+from folioweave.streaming.winners import Winners
 
 C = F.col
 
@@ -68,3 +70,38 @@ def t2(spark, sf):
     fresh = T.stream_dedup_urls(T.read_page_stream(spark, sf, glob="pages.parquet"))
     T.stream_to_folder(fresh, sink, ckpt, lambda b: b.select("canonical_url")).awaitTermination()
     return T.read_sink(spark, sink)
+
+
+@query("t2_seen_store", f"""
+    SELECT DISTINCT {crawl.CANON.format(u='url')} AS canonical_url, 1::BIGINT AS n_rows FROM pages""")
+def t2_store(spark, sf):
+    """All pages arrive twice, in four files; a url must come out of one batch only."""
+    arrivals, ckpt = scratch_path(spark, "seen-in"), scratch_path(spark, "seen-ckpt")
+    pages = S.read_pages(spark, f"{sf}/pages.parquet").withColumn("html", F.lit(""))
+    for files in (3, 1):
+        pages.repartition(files).write.mode("append").parquet(arrivals)
+    store = SeenUrls(spark, scratch_path(spark, "seen"), buckets=16)
+    stream_unseen(T.read_page_stream(spark, arrivals, max_files=2), store, ckpt, order=["page_id"]).awaitTermination()
+    return store.admitted().groupBy("canonical_url").agg(F.count("*").alias("n_rows"))
+
+
+@query("s7_incremental", f"""
+    WITH {crawl.LINKS}, {crawl.TARGETS}
+    SELECT DISTINCT target AS canonical_url FROM targets
+    WHERE target NOT IN (SELECT {crawl.CANON.format(u='url')} FROM pages)""")
+def s7_store(spark, sf):
+    """The frontier against a store of known pages, which is read in place."""
+    store = SeenUrls(spark, scratch_path(spark, "known"), buckets=16)
+    store.admit(S.read_pages(spark, f"{sf}/pages.parquet"), 0)
+    return store.unseen(S.resolve_links(crawl.links(spark, sf)), "target")
+
+
+@query("a1_arrivals", SQL["a1_dedup"])
+def a1_arrivals(spark, sf):
+    """The dedup of all orders, built in three arrivals of which the second comes twice."""
+    orders = table(spark, sf, "orders").select(
+        "o_custkey", "o_orderkey", "o_orderpriority", curate.rank_of(C("o_orderpriority"), curation.PRIORITIES).alias("rank"))
+    store = Winners(spark, scratch_path(spark, "winners"), orders.schema.toDDL(), ["o_custkey"], ["rank", "o_orderkey"], buckets=16)
+    for batch in (0, 1, 1, 2):
+        store.merge(orders.filter(C("o_orderkey") % 3 == batch), batch)
+    return store.read().drop("rank")
