@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -243,6 +243,28 @@ def prune_null_columns(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c in keep or counts[c]])
 
 
+def write_pruned(df: DataFrame, path: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Write a frame and read it back without the columns that hold no value at all.
+
+    The run that writes sees which columns hold one, so there is neither a second run nor a read for it. A task that runs
+    twice sees the same values, so lost executors do no harm to the result.
+    """
+    void = [f.name for f in df.schema if isinstance(f.dataType, T.NullType)]
+    df = df.drop(*[c for c in void if c not in keep]).withColumns({c: F.col(f"`{c}`").cast("string") for c in void if c in keep})
+    open_cols = [c for c in df.columns if c not in keep]
+    if not open_cols:
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+    seen = Observation()
+    # by place, as names of metrics need not fit names of columns
+    flags = [F.max(F.col(f"`{c}`").isNotNull()).alias(f"c{i}") for i, c in enumerate(open_cols)]
+    df.observe(seen, *flags).write.parquet(path)
+    found = seen.get
+    held = {c for i, c in enumerate(open_cols) if found.get(f"c{i}")}
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    return stored.select(*[F.col(f"`{c}`") for c in df.columns if c in keep or c in held])
+
+
 # ---------------------------------------------------------------- ranks and dedup
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioweave.session import cut_lineage
+from folioweave.session import scratch_path
 
 
 def sort_by(df: DataFrame, keys: Sequence[str], tie: Sequence[str]) -> DataFrame:
@@ -30,9 +30,13 @@ def with_position(ordered: DataFrame, name: str = "position") -> DataFrame:
     """A sorted frame with each row's place, from 0.
 
     Rows are numbered inside their range partition and moved on by the rows of the partitions before, of which the driver
-    gets one count each; no row meets rows of another partition. The sorted frame is checkpointed, so both readings agree.
+    gets one count each; no row meets rows of another partition. The sorted frame is written to the shared folder, so both
+    readings agree, and the counts read one column. Rows come back in any order; their places say where they belong.
     """
-    kept = cut_lineage(ordered.withColumn("_at", F.monotonically_increasing_id()))
+    path = scratch_path(ordered.sparkSession, "sorted")
+    marked = ordered.withColumn("_at", F.monotonically_increasing_id())
+    marked.write.parquet(path)
+    kept = ordered.sparkSession.read.schema(marked.schema).parquet(path)
     part = F.shiftrightunsigned("_at", 33)
     counts = kept.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()
     before, pairs = 0, []

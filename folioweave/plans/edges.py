@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from folioweave.functions import text as X
 from folioweave.operators import curate, html, order, quality, rows
 from folioweave.plans import edge_values as V
-from folioweave.session import cut_lineage
+from folioweave.session import scratch_path
 
 C = F.col
 KEY_PREFIX = "View Pokedex for #"  # fixed value: start of a key link's title
@@ -191,7 +191,7 @@ def evolutions(pages: DataFrame, gen: int, prune: bool = True, ordered: bool = T
     reasons = ["page_id", "row", "errors"]
     bad = bad.select(*reasons).unionByName(late.select(*reasons))
     if prune and gen >= 2:
-        # the columns to keep are known only after a run: keep that run's rows
-        df = curate.prune_null_columns(cut_lineage(df), keep=RANKS)
+        # the columns to keep are known only after a run: the run that writes the rows tells
+        df = curate.write_pruned(df, scratch_path(pages.sparkSession, f"edges-g{gen}-table"), keep=RANKS)
     table = order.sort_by_rank(df, ["evolves_from", "evolves_to"], RANKS, []) if ordered else df.drop(*RANKS)
     return table, bad

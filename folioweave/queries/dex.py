@@ -181,7 +181,7 @@ def dex_pages(spark, sf, gen):
 def register(gen: int) -> None:
     @query(f"dex_g{gen}", dex_sql(gen))
     def run(spark, sf):
-        good = finished(dex.dex(dex_pages(spark, sf, gen), gen)[0], f"dex-g{gen}")
+        good = finished(dex.dex(dex_pages(spark, sf, gen), gen)[0])
         return good if gen == 4 else good.withColumn("abilities", F.array_join("abilities", "|"))
 
 
@@ -238,7 +238,7 @@ BY_KEY = f"row_number() OVER (ORDER BY {WHOLE_KEY}, p_partkey) - 1 AS position"
       p_size * 3 AS cptr_rt, CASE WHEN p_size % 2 = 0 THEN 'Slow' ELSE 'Fast' END AS exp_rt,
       {stats_sql(['hp', 'atk', 'def', 'special', 'speed'])}, 1::INTEGER AS gen FROM part""")
 def dex_g1(spark, sf):
-    return finished(dex.dex(small_pages(spark, sf, page_g1()), 1)[0], "dex-g1")
+    return finished(dex.dex(small_pages(spark, sf, page_g1()), 1)[0])
 
 
 def page_g2() -> str:
@@ -266,7 +266,7 @@ def page_g2() -> str:
       CASE WHEN p_size % 3 = 0 THEN '{V.NO_EGGS}' ELSE 'Monster' END AS egg_group_one, CASE WHEN p_size % 3 = 2 THEN 'Grass' ELSE '' END AS egg_group_two,
       2::INTEGER AS gen FROM part""")
 def dex_g2(spark, sf):
-    return finished(dex.dex(small_pages(spark, sf, page_g2()), 2)[0], "dex-g2")
+    return finished(dex.dex(small_pages(spark, sf, page_g2()), 2)[0])
 
 
 def page_g3() -> str:
@@ -305,7 +305,7 @@ def page_g3() -> str:
       CASE WHEN p_size % 3 = 2 THEN 'Grass' ELSE '' END AS egg_group_two, 1::INTEGER AS hp_evs, 0::INTEGER AS atk_evs, 0::INTEGER AS def_evs,
       2::INTEGER AS sp_atk_evs, 0::INTEGER AS sp_def_evs, 3::INTEGER AS speed_evs, 3::INTEGER AS gen FROM f""")
 def dex_g3(spark, sf):
-    return finished(dex.dex(small_pages(spark, sf, page_g3()), 3)[0], "dex-g3")
+    return finished(dex.dex(small_pages(spark, sf, page_g3()), 3)[0])
 
 
 def profile_sql(gen: int) -> str:

@@ -221,7 +221,7 @@ def edge_sql(gen: int) -> str:
 def register(gen: int) -> None:
     @query(f"evo_g{gen}", edge_sql(gen))
     def run(spark, sf):
-        kept = finished(edges.evolutions(method_pages(spark, sf), gen)[0], f"evo-g{gen}")
+        kept = finished(edges.evolutions(method_pages(spark, sf), gen)[0])
         gone = [F.lit(None).cast("string").alias(c) for c in V.COLUMNS[gen] if c not in kept.columns]
         n = len([c for c in V.COLUMNS[gen] if c in kept.columns])
         return kept.select("*", *gone, F.lit(n).cast("bigint").alias("columns_kept"))

@@ -82,7 +82,7 @@ def pages(spark, sf, gen):
 def register(gen: int) -> None:
     @query(f"learnsets_g{gen}", learn_sql(gen))
     def run(spark, sf):
-        return finished(learnsets.learnsets(pages(spark, sf, gen), gen)[0], f"learnsets-g{gen}")
+        return finished(learnsets.learnsets(pages(spark, sf, gen), gen)[0])
 
 
 register(1)

@@ -197,7 +197,7 @@ def move_pages(spark, sf, gen):
 def register(gen: int) -> None:
     @query(f"moves_g{gen}", move_sql(gen))
     def run(spark, sf):
-        return finished(moves.moves(move_pages(spark, sf, gen), gen)[0], f"moves-g{gen}")
+        return finished(moves.moves(move_pages(spark, sf, gen), gen)[0])
 
 
 for _gen in range(1, 10):

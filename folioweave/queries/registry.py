@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from folioweave.operators import order
-from folioweave.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,11 +26,9 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-def finished(ordered: DataFrame, name: str) -> DataFrame:
+def finished(ordered: DataFrame) -> DataFrame:
     """A sorted table written to the shared folder and read back, with every row's place."""
-    path = scratch_path(ordered.sparkSession, name)
-    order.with_position(ordered).write.parquet(path)
-    return ordered.sparkSession.read.parquet(path)
+    return order.with_position(ordered)
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:

@@ -114,6 +114,21 @@ def test_prune_null_columns(spark):
     assert curate.prune_null_columns(df, keep=["c"]).columns == ["a", "c", "d"]
 
 
+def test_write_pruned_tells_empty_columns_in_the_run_that_writes(spark, tmp_path):
+    df = spark.createDataFrame([(1, None, None, "x", None), (None, None, None, "", None)], "a INT, b STRING, c DOUBLE, `d.e` STRING, f STRING")
+    df = df.withColumn("void", F.lit(None))
+    sc = spark.sparkContext
+    sc.setJobGroup("pruned", "write_pruned")
+    got = curate.write_pruned(df, str(tmp_path / "one"), keep=["c"])
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert got.columns == ["a", "c", "d.e"]
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == [(1, None, "x"), (None, None, "")]
+    assert len(sc.statusTracker().getJobIdsForGroup("pruned")) == 1
+    none = curate.write_pruned(df.filter("a > 5"), str(tmp_path / "two"), keep=["a"])
+    assert none.columns == ["a"] and none.count() == 0
+    assert curate.write_pruned(df.select("a"), str(tmp_path / "three"), keep=["a"]).count() == 2
+
+
 def test_rank_of(spark):
     df = spark.createDataFrame([("b",), ("zz",), (None,), ("a",)], "v STRING")
     assert [r[0] for r in df.select(curate.rank_of(C("v"), ["a", "b"])).collect()] == [1, None, None, 0]
