@@ -60,14 +60,14 @@ def t1(spark, sf):
     def links(batch):
         return S.discover_links(batch, "nav", "a", "href").select("page_id", "pos", "href")
 
-    T.stream_pages(spark, sf, sink, ckpt, links, glob="pages.parquet").awaitTermination()
+    T.stream_pages(spark, T.table_pattern(f"{sf}/pages.parquet"), sink, ckpt, links).awaitTermination()
     return T.read_sink(spark, sink)
 
 
 @query("t2_stream_urls", f"SELECT DISTINCT {crawl.CANON.format(u='url')} AS canonical_url FROM pages")
 def t2(spark, sf):
     sink, ckpt = scratch_path(spark, "t2"), scratch_path(spark, "t2-ckpt")
-    fresh = T.stream_dedup_urls(T.read_page_stream(spark, sf, glob="pages.parquet"))
+    fresh = T.stream_dedup_urls(T.read_page_stream(spark, T.table_pattern(f"{sf}/pages.parquet")))
     T.stream_to_folder(fresh, sink, ckpt, lambda b: b.select("canonical_url")).awaitTermination()
     return T.read_sink(spark, sink)
 

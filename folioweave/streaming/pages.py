@@ -20,6 +20,12 @@ def read_page_stream(spark: SparkSession, path: str, max_files: int = 1000, glob
     return reader.parquet(path)
 
 
+def table_pattern(path: str) -> str:
+    """A pattern that fits ``path`` alone, so that a stream may read a table that is one file as well as one that is a folder."""
+    folder, _, name = path.rstrip("/").rpartition("/")
+    return f"{folder}/[{name[0]}]{name[1:]}"
+
+
 def stream_to_folder(pages: DataFrame, sink: str, checkpoint: str,
                      extract: Callable[[DataFrame], DataFrame]) -> StreamingQuery:
     """Extract from streamed pages and append to a parquet folder, one folder per batch.

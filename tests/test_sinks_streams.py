@@ -6,6 +6,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from folioweave.queries import catalog
 from folioweave.session import cut_lineage
 from folioweave.sinks import tables as K
 from folioweave.sources import pages as S
@@ -58,6 +59,17 @@ def test_stream_equals_batch_after_a_restart(spark, sf, tmp_path):
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
+@pytest.mark.parametrize("name", ["t1_stream_links", "t2_stream_urls"])
+def test_streamed_table_may_be_a_file_or_a_folder(spark, tmp_path, name):
+    rows = [(i, f"http://a.org/{i}", f"<nav><a href='/x{i}'>x</a></nav>") for i in range(4)]
+    pages, file, folder = spark.createDataFrame(rows, S.PAGE_SCHEMA), tmp_path / "file", tmp_path / "folder"
+    pages.repartition(2).write.parquet(str(folder / "pages.parquet"))
+    pages.coalesce(1).write.parquet(str(tmp_path / "one"))
+    file.mkdir()
+    shutil.copy(next((tmp_path / "one").glob("*.parquet")), file / "pages.parquet")
+    assert [catalog.QUERIES[name](spark, str(at)).count() for at in (file, folder)] == [4, 4]
+
+
 def test_stream_state_holds_no_pages(spark, sf):
     fresh = T.stream_dedup_urls(T.read_page_stream(spark, sf, glob="pages.parquet"))
     assert fresh.columns == ["page_id", "url", "canonical_url"]
