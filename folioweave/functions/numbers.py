@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from folioweave.functions.lists import let
+
 
 def to_int(c: Column) -> Column:
     return c.try_cast("int")
@@ -50,10 +52,10 @@ def unit_number(c: Column, unit: str) -> Column:
 def gcd(a: Column, b: Column) -> Column:
     """Greatest common divisor of two BIGINTs: Euclid's steps over a constant range.
 
-    92 steps cover every pair of 64-bit numbers; finished pairs just carry on unchanged.
+    92 steps cover every pair of 64-bit numbers; finished pairs just carry on unchanged. Most pairs are done after 8, and
+    only the others take the remaining 84.
     """
     start = F.struct(F.abs(a).cast("bigint").alias("x"), F.abs(b).cast("bigint").alias("y"))
-    steps = F.sequence(F.lit(1), F.lit(92))
 
     def step(acc: Column, _: Column) -> Column:
         live = acc["y"] != 0
@@ -62,18 +64,20 @@ def gcd(a: Column, b: Column) -> Column:
             F.when(live, acc["x"] % acc["y"]).otherwise(acc["y"]).alias("y"),
         )
 
-    return F.aggregate(steps, start, step, lambda acc: acc["x"])
+    def steps(pair: Column, n: int) -> Column:
+        return F.aggregate(F.array(*[F.lit(i) for i in range(n)]), pair, step)
+
+    return let(steps(start, 8), lambda s: F.when(s["y"] == 0, s["x"]).otherwise(steps(s, 84)["x"]))
 
 
 def reduce_ratio(a: Column, b: Column) -> Column:
     """``'p:q'`` for 100*a and 100*b, cut to whole numbers and divided by their gcd."""
     p = (a * F.lit(100)).cast("bigint")
     q = (b * F.lit(100)).cast("bigint")
-    g = gcd(p, q)
-    return F.when(
-        g > 0,
-        F.concat(F.call_function("div", p, g).cast("string"), F.lit(":"), F.call_function("div", q, g).cast("string")),
-    )
+    return let(F.struct(p.alias("p"), q.alias("q"), gcd(p, q).alias("g")), lambda r: F.when(
+        r["g"] > 0,
+        F.concat(F.call_function("div", r["p"], r["g"]).cast("string"), F.lit(":"), F.call_function("div", r["q"], r["g"]).cast("string")),
+    ))
 
 
 def gender_rate(unknown: Column, male: Column, female: Column, zero_zero: str = "N/A") -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from folioweave.functions import lists as L
 from folioweave.functions import text as X
 from folioweave.operators import forms, html, joins
-from folioweave.queries.registry import query, table
+from folioweave.queries.registry import query, spread_table, table
 from folioweave.sources.pages import read_pages
 
 C = F.col
@@ -152,7 +152,7 @@ def h8_entities(spark, sf):
     k = (C("p_partkey") % 60).cast("int")
     body = F.concat(F.lit("<p title='x&amp;y"), C("p_size").cast("string"), F.lit("'>"), C("p_name"),
                     F.lit(" &#128512; &#x1F600; &#x000E9; &uuml;&ntilde;&pound; &#"), (k + 128512).cast("string"), F.lit("; &amp; &unknown; </p>"))
-    rows = table(spark, sf, "part").select("p_partkey", "p_size", "p_name", html.flat_nodes(body).alias("n"))
+    rows = spread_table(spark, sf, "part", "p_partkey", "p_size", "p_name").select("p_partkey", html.flat_nodes(body).alias("n"))
     return rows.select("p_partkey", html.unescape(html.full_text(C("n"))).alias("text"),
                        html.attr(html.nth(C("n"), 0)["tok"], "title").alias("title"))
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioweave.operators import order
+from folioweave.operators import order, plan
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,5 +31,10 @@ def finished(ordered: DataFrame) -> DataFrame:
     return order.with_position(ordered)
 
 
+def spread_table(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table whose rows take long each, dealt over all tasks."""
+    return plan.spread(table(spark, sf, name).select(*columns))
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")

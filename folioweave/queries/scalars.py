@@ -8,7 +8,7 @@ from folioweave.functions import lists as L
 from folioweave.functions import numbers as N
 from folioweave.functions import text as X
 from folioweave.operators import curate
-from folioweave.queries.registry import query, table
+from folioweave.queries.registry import query, spread_table, table
 
 C = F.col
 
@@ -127,7 +127,7 @@ def f10(spark, sf):
     SELECT p_partkey, (9007199254740993 + p_partkey * 2)::VARCHAR || ':1' AS ratio FROM part""")
 def f10_large(spark, sf):
     large = (C("p_partkey") * 2 + F.lit(9007199254740993)).cast("decimal(20,0)")
-    return table(spark, sf, "part").select("p_partkey", N.reduce_ratio(large, F.lit(1).cast("decimal(20,0)")).alias("ratio"))
+    return spread_table(spark, sf, "part", "p_partkey").select("p_partkey", N.reduce_ratio(large, F.lit(1).cast("decimal(20,0)")).alias("ratio"))
 
 
 @query("f11_gender_rate", """
