@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from folioweave.functions.literals import sql_value
+from folioweave.operators import plan
 from folioweave.plans import dex
 from folioweave.plans import dex_values as V
-from folioweave.queries.registry import finished, query, table
+from folioweave.queries.registry import finished, query, spread_table, table
 
 C = F.col
 
@@ -173,8 +174,11 @@ def dex_sql(gen: int) -> str:
         SELECT {picked}, row_number() OVER (ORDER BY {KEY.format(str="VARCHAR")}, i, p_partkey) - 1 AS position FROM f {where}"""
 
 
+PART = ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
+
+
 def dex_pages(spark, sf, gen):
-    return table(spark, sf, "part").select(
+    return spread_table(spark, sf, "part", *PART).select(
         C("p_partkey").alias("page_id"), F.lit("https://dex.example.org/dex/").alias("url"), F.expr(page_sql(gen)).alias("html"))
 
 
@@ -226,7 +230,7 @@ WHOLE_KEY = "lpad(p_partkey::VARCHAR, greatest(4, length(p_partkey::VARCHAR))::I
 
 
 def small_pages(spark, sf, sql):
-    return table(spark, sf, "part").select(C("p_partkey").alias("page_id"), F.lit("https://dex.example.org/").alias("url"), F.expr(sql).alias("html"))
+    return spread_table(spark, sf, "part", *PART).select(C("p_partkey").alias("page_id"), F.lit("https://dex.example.org/").alias("url"), F.expr(sql).alias("html"))
 
 
 BY_KEY = f"row_number() OVER (ORDER BY {WHOLE_KEY}, p_partkey) - 1 AS position"
@@ -364,8 +368,11 @@ def register_quarantine(gen: int) -> None:
         bare = F.replace(F.replace(C("html"), F.lit("<a>Monster</a>"), F.lit("-")), F.lit("<a>Grass</a>"), F.lit("-"))
         steps = F.format_number(C("p_size") * 256, 0)
         bad = F.replace(C("html"), F.concat(F.lit("<td>"), steps, F.lit("</td></tr>")), F.lit("<td>many</td></tr>"))
-        pages = dex_pages(spark, sf, gen).join(
-            table(spark, sf, "part").select(C("p_partkey").alias("page_id"), "p_partkey", "p_size"), "page_id")
+        # the rows meet before they grow to pages
+        sizes = table(spark, sf, "part").select("p_partkey", C("p_size").alias("size"))
+        rows = plan.spread(table(spark, sf, "part").select(*PART).join(sizes, "p_partkey"))
+        pages = rows.select(C("p_partkey").alias("page_id"), F.lit("https://dex.example.org/dex/").alias("url"),
+                            F.expr(page_sql(gen)).alias("html"), "p_partkey", C("size").alias("p_size"))
         pages = pages.withColumn("html", F.when(F.expr(LOST_HEADING), lost).when(F.expr(NO_GROUPS), bare)
                                  .when(F.expr(BAD_STEPS), bad).otherwise(C("html"))).drop("p_partkey", "p_size")
         found = dex.dex(pages, gen)[1]
