@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioweave.functions.literals import sql_list, sql_value
-from folioweave.operators import html
+from folioweave.operators import html, plan
 
 PLACE = ["depth", "tbl", "row", "cell", "row_no", "col_no"]
 
@@ -45,7 +45,7 @@ def documents(pages: DataFrame, keep: Sequence[str] = (), partitions: int | None
     def gather(cond: Column, what: Column) -> Column:
         return F.sort_array(F.collect_list(F.when(cond, what)))
 
-    return toks.groupBy("page_id", *keep).agg(
+    return plan.group_in_order(toks).groupBy("page_id", *keep).agg(
         gather(tag.isin("td", "th"), cell).alias("cells"),
         gather(F.col("cell").isNotNull() & (F.col("text") != ""), text).alias("texts"),
         gather(tag.isin("table", "tr", "img", "a"), node).alias("tags"),

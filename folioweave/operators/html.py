@@ -64,12 +64,15 @@ def clean_html(html: Column) -> Column:
                   F.regexp_replace(html, NOISE, "")).otherwise(html)
 
 
+def written_attr(tok: Column, name: str) -> Column:
+    """Value of an attribute as it is written, '' when absent or empty, by one look at the tag."""
+    value = r"""["']?((?<=")[^"]*(?=")|(?<=')[^']*(?=')|(?<!["'])[^\s"'>]+)"""
+    return F.regexp_extract(tok, rf"(?i)\s{name}\s*=\s*{value}", 1)
+
+
 def raw_attr(tok: Column, name: str) -> Column:
     """Value of an attribute as it is written, NULL when absent or empty; enough for class names and numbers."""
-    raw = F.regexp_extract(tok, rf"""(?i)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1)
-    quoted = raw.startswith('"') | raw.startswith("'")
-    bare = F.when(quoted, F.substr(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw)
-    return F.nullif(bare, F.lit(""))
+    return F.nullif(written_attr(tok, name), F.lit(""))
 
 
 def attr(tok: Column, name: str) -> Column:
@@ -97,15 +100,22 @@ def unescape(c: Column) -> Column:
     old = F.expr(f"map({sql_list([x for kv in _old_codes().items() for x in kv])})")
     runs = F.regexp_extract_all(c, F.lit(r"&#[0-9]+;?|&#[xX][0-9A-Fa-f]+;?|&[A-Za-z0-9]+;|[^&]+|&"), F.lit(0))
 
+    # what is read more than once is bound to a variable: an expression is computed anew wherever it stands
     def number(r: Column) -> Column:
-        dec = F.regexp_extract(r, r"^&#0*([0-9]+);?$", 1)
-        digits = F.when(dec != "", F.when(F.length(dec) <= 7, F.conv(dec, 10, 16)).otherwise("FFFFFF")).otherwise(
-            F.upper(F.regexp_extract(r, r"^&#[xX]0*([0-9A-Fa-f]+);?$", 1)))
-        wide = F.lpad(digits, 8, "0")
-        bad = (F.length(digits) > 6) | (wide > "0010FFFF") | wide.between("0000D800", "0000DFFF") | (wide == "00000000")
-        return (F.when(digits == "", F.when(r.rlike("^&#[xX]?0+;?$"), F.lit("\ufffd")).otherwise(r))
-                .when(bad, F.lit("\ufffd"))
-                .otherwise(F.coalesce(F.try_element_at(old, digits), F.decode(F.unhex(wide), "UTF-32"))))
+        def hexed(dec: Column) -> Column:
+            return F.when(dec != "", F.when(F.length(dec) <= 7, F.conv(dec, 10, 16)).otherwise("FFFFFF")).otherwise(
+                F.upper(F.regexp_extract(r, r"^&#[xX]0*([0-9A-Fa-f]+);?$", 1)))
+
+        def char(digits: Column, wide: Column) -> Column:
+            bad = (F.length(digits) > 6) | (wide > "0010FFFF") | wide.between("0000D800", "0000DFFF") | (wide == "00000000")
+            # the old codes are two digits
+            late = F.when(F.length(digits) == 2, F.try_element_at(old, digits))
+            return (F.when(digits == "", F.when(r.rlike("^&#[xX]?0+;?$"), F.lit("\ufffd")).otherwise(r))
+                    .when(bad, F.lit("\ufffd"))
+                    .otherwise(F.coalesce(late, F.decode(F.unhex(wide), "UTF-32"))))
+
+        digits = let(F.regexp_extract(r, r"^&#0*([0-9]+);?$", 1), hexed)
+        return let(digits, lambda d: let(F.lpad(d, 8, "0"), lambda w: char(d, w)))
 
     def one(r: Column) -> Column:
         return (F.when(~r.startswith("&"), r).when(r.startswith("&#"), number(r))
@@ -396,6 +406,8 @@ def table_tokens(pages: DataFrame, keep: Sequence[str] = (), partitions: int | N
     src = pages.select("page_id", *keep, "html")
     # a fixed count: coalescing by size would pack too many compact pages into one task
     src = src.repartition(partitions or plan.page_partitions(pages), "page_id")
+    # compact pages are sorted at little cost; the tags then come out in order, which leaves the sorts below one pass
+    src = src.sortWithinPartitions("page_id")
     toks = F.regexp_extract_all(clean_html(F.col("html")), F.lit(_TAG_AND_TEXT), F.lit(0))
     long = src.select("page_id", *keep, F.posexplode(toks).alias("_i", "tok"))
     markup = is_markup(F.col("tok"))

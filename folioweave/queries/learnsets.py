@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from folioweave.functions.literals import sql_value
 from folioweave.plans import learnsets
-from folioweave.queries.registry import finished, query, table
+from folioweave.queries.registry import finished, query, spread_table
 
 C = F.col
 
@@ -75,7 +75,7 @@ def learn_sql(gen: int) -> str:
 
 
 def pages(spark, sf, gen):
-    return table(spark, sf, "part").select(
+    return spread_table(spark, sf, "part", "p_partkey", "p_name", "p_type", "p_size").select(
         C("p_partkey").alias("page_id"), F.lit("https://dex.example.org/learn/").alias("url"), F.expr(page_sql(gen)).alias("html"))
 
 
@@ -99,7 +99,7 @@ def two_tables(spark, sf):
                   section("Generation II Level Up", move(FIRST, lit("1"))), section("TM & HM Attacks", lit("")),
                   section("Generation II Level Up", move(lit("Growl"), "CAST(p_size AS STRING)")),
                   section("Egg Moves (Details)", move(lit("Bite"))), section("Egg Moves", move(lit("Charm"))), lit("</html>"))
-    rows = table(spark, sf, "part").select(
+    rows = spread_table(spark, sf, "part", "p_partkey", "p_name", "p_size").select(
         C("p_partkey").alias("page_id"), F.lit("https://dex.example.org/learn/").alias("url"), F.expr(page).alias("html"))
     return learnsets.learnsets(rows, 2)[0].select("dex_no", "move", C("level_raw").alias("level"), "egg_moves")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from folioweave.functions.literals import sql_value
 from folioweave.plans import move_values as V
 from folioweave.plans import moves
-from folioweave.queries.registry import finished, query, table
+from folioweave.queries.registry import finished, query, spread_table
 
 C = F.col
 
@@ -190,7 +190,7 @@ def move_sql(gen: int) -> str:
 
 
 def move_pages(spark, sf, gen):
-    return table(spark, sf, "part").select(
+    return spread_table(spark, sf, "part", "p_partkey", "p_name", "p_size").select(
         C("p_partkey").alias("page_id"), F.lit("https://dex.example.org/attack/").alias("url"), F.expr(page_sql(gen)).alias("html"))
 
 
