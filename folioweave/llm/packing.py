@@ -149,6 +149,8 @@ def pack(pieces: DataFrame, rows: int, limits: Limits, id_width: int, *, cut: bo
     carried = ["id", "has_id", "doc_tokens", "copy"]
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
+        # a worker that cut texts before needs its words no more
+        word_ids.cache_clear()
         part = part.sort_values(["has_id", "id", "copy", "start", "ids"], kind="stable").reset_index(drop=True)
         body, begin = part["ids"].tolist(), part["start"].to_numpy()
         end = begin + np.array([len(b) // id_width for b in body], np.int64)
