@@ -22,10 +22,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioweave.llm.common import ship
+from folioweave.llm.common import ship, small_batches
 from folioweave.llm.wordids import word_ids
 
 
+#: Texts that a worker takes at a time.
+BATCH_ROWS = 1000
+
+
 @dataclass(frozen=True)
 class Limits:
     tokens: int = 2048
@@ -105,6 +109,7 @@ def tokenize(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text",
     repeated rows can be told and dealt apart. A null id (a number or a string) travels as zero with ``has_id`` false.
     """
     ship()
+    small_batches(docs.sparkSession, BATCH_ROWS)
     kind = next(t for n, t in docs.dtypes if n == id)
     names = ["id", "has_id", "start", "ids", "doc_tokens", "copy"]
 

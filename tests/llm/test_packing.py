@@ -103,3 +103,17 @@ def test_little_padding(spark, sf):
     rows = packing.digest(packing.pack_documents(docs, WORD_BPE), packing.id_bytes(WORD_BPE)).collect()
     tokens, bins = sum(r.length for r in rows), len({r.sequence_id for r in rows})
     assert bins * 2048 - tokens < 2048 + 0.01 * tokens
+
+
+def test_workers_take_few_texts_at_a_time(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was, docs = spark.conf.get(key), spark.createDataFrame([(i, f"text {i}") for i in range(20)], "doc_id long, text string")
+    try:
+        spark.conf.set(key, "10000")
+        whole = sorted(packing.tokenize(docs, WORD_BPE).drop("copy").collect())
+        assert int(spark.conf.get(key)) == packing.BATCH_ROWS
+        spark.conf.set(key, "3")
+        assert sorted(packing.tokenize(docs, WORD_BPE).drop("copy").collect()) == whole
+        assert spark.conf.get(key) == "3"
+    finally:
+        spark.conf.set(key, was)
