@@ -22,19 +22,23 @@ PLACE = ["depth", "tbl", "row", "cell", "row_no", "col_no"]
 def documents(pages: DataFrame, keep: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
     """One row per page with sorted arrays ``cells``, ``texts`` and ``tags``.
 
-    * ``cells``: place, ``stop``, ``cls``, ``align``, ``colspan``
+    * ``cells``: place, ``stop``, ``cls``, ``align``, ``colspan``, ``first`` (the text right behind the cell's tag, which is
+      the first of its own texts; NULL when there is none)
     * ``texts`` inside cells: place, ``cls`` of the cell, ``prev`` tag, ``direct`` (child of the cell
       itself), ``text`` with entities decoded
     * ``tags``: tables, rows, images and links: place, ``stop``, ``tag``, ``cls`` (tables), ``val`` (src of images,
       href of links), ``title``
     """
-    toks = html.structure(pages, keep, partitions)
+    toks = html.structure(pages, keep, partitions, fold=True)
+    # most texts are read twice, as a text and with their cell
+    toks = toks.withColumn("_decoded", html.unescape(F.when(F.col("cell").isNotNull(), F.nullif("text", F.lit("")))))
     tok, tag, pos = F.col("tok"), F.col("tag"), F.col("pos")
     direct = tag.startswith("/") | tag.isin("td", "th", "br", "img", "hr", "input")
     cell = F.struct("pos", "stop", *PLACE, F.nullif("cell_cls", F.lit("")).alias("cls"),
-                    html.raw_attr(tok, "align").alias("align"), html.raw_attr(tok, "colspan").alias("colspan"))
+                    html.raw_attr(tok, "align").alias("align"), html.raw_attr(tok, "colspan").alias("colspan"),
+                    F.col("_decoded").alias("first"))
     text = F.struct((pos + 1).alias("pos"), *PLACE, F.col("cell_cls").alias("cls"), tag.alias("prev"),
-                    direct.alias("direct"), html.unescape(F.col("text")).alias("text"))
+                    direct.alias("direct"), F.col("_decoded").alias("text"))
     # attributes only of the tags that are asked for them
     val = html.decoded(tok, F.when(tag == "img", html.raw_attr(tok, "src")).when(tag == "a", html.raw_attr(tok, "href")))
     title = F.when(tag.isin("img", "a"), html.attr(tok, "title"))
@@ -42,14 +46,15 @@ def documents(pages: DataFrame, keep: Sequence[str] = (), partitions: int | None
     node = F.struct("pos", "stop", *PLACE, "tag", F.col("cell_cls").alias("in_cls"),
                     box_cls.alias("cls"), val.alias("val"), title.alias("title"))
 
-    def gather(cond: Column, what: Column) -> Column:
-        return F.sort_array(F.collect_list(F.when(cond, what)))
-
-    return plan.group_in_order(toks).groupBy("page_id", *keep).agg(
-        gather(tag.isin("td", "th"), cell).alias("cells"),
-        gather(F.col("cell").isNotNull() & (F.col("text") != ""), text).alias("texts"),
-        gather(tag.isin("table", "tr", "img", "a"), node).alias("tags"),
+    # made before the grouping, which would work the expressions out by itself at a higher price
+    found = toks.select(
+        "page_id", *keep,
+        F.when(tag.isin("td", "th"), cell).alias("cells"),
+        F.when(F.col("_decoded").isNotNull(), text).alias("texts"),
+        F.when(tag.isin("table", "tr", "img", "a"), node).alias("tags"),
     )
+    return plan.group_in_order(found).groupBy("page_id", *keep).agg(
+        *[F.sort_array(F.collect_list(c)).alias(c) for c in ("cells", "texts", "tags")])
 
 
 def with_labels(docs: DataFrame, labels: Sequence[str]) -> DataFrame:
@@ -90,6 +95,11 @@ class Doc:
         """Texts that are direct children of a cell."""
         return self.let(cell, "transform(filter(texts, t -> t.cell = b.pos AND t.direct), t -> t.text)", "b")
 
+    def own_text(self, cell: str) -> str:
+        """The first of :meth:`own_texts`; most cells carry it, which spares the look through the texts."""
+        later = self.nth("transform(filter(texts, t -> t.cell = b.pos AND t.direct), t -> t.text)", 0)
+        return self.let(cell, f"CASE WHEN b.first IS NOT NULL THEN b.first WHEN b.pos IS NOT NULL THEN {later} END", "b")
+
     def all_texts(self, cell: str) -> str:
         """Every text below a cell, nested tables included."""
         inside = "t.pos > b.pos AND (b.stop IS NULL OR t.pos < b.stop)"
@@ -167,7 +177,8 @@ class Doc:
     def value(self, label: str, cell: int = 1, mode: str = "text", offset: int = 1, cls: str | None = None,
               n: int = 0, where: str = "true") -> str:
         """n-th direct text of the value cell."""
-        return self.nth(self.own_texts(self.value_cell(label, cell, mode, offset, cls, where)), n)
+        found = self.value_cell(label, cell, mode, offset, cls, where)
+        return self.own_text(found) if n == 0 else self.nth(self.own_texts(found), n)
 
     # nested tables
 

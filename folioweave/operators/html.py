@@ -67,7 +67,8 @@ def clean_html(html: Column) -> Column:
 def written_attr(tok: Column, name: str) -> Column:
     """Value of an attribute as it is written, '' when absent or empty, by one look at the tag."""
     value = r"""["']?((?<=")[^"]*(?=")|(?<=')[^']*(?=')|(?<!["'])[^\s"'>]+)"""
-    return F.regexp_extract(tok, rf"(?i)\s{name}\s*=\s*{value}", 1)
+    # most tags do not hold the name at all, which a plain search tells
+    return F.when(~F.lower(tok).contains(name.lower()), F.lit("")).otherwise(F.regexp_extract(tok, rf"(?i)\s{name}\s*=\s*{value}", 1))
 
 
 def raw_attr(tok: Column, name: str) -> Column:
@@ -392,36 +393,65 @@ def depth_of(tokens: DataFrame, tag: str) -> DataFrame:
 # one token per tag together with the text that follows it; text after a table stands alone,
 # since it lies one level further out than the closing tag
 _TAG_AND_TEXT = rf"(?i:</table)\b[^>]*+>|(?:{MARKUP}){WORDS}*+|{WORDS}++|<"
+# the closing tags of a cell and of a row, as most pages write them, and the text behind each
+_SHUT = rf"(?i:</t[dh]\s*+>){WORDS}*+", rf"(?i:</tr\s*+>){WORDS}*+"
+# a tag that ends a table takes none of them along, since what follows lies one level further out
+_TAG_AND_SHUT = _TAG_AND_TEXT.replace(
+    f"(?:{MARKUP}){WORDS}*+", f"(?=(?i:</table))(?:{MARKUP}){WORDS}*+|(?:{MARKUP}){WORDS}*+(?:{_SHUT[0]})?+(?:{_SHUT[1]})?+")
 _WITH_ATTRS = ["table", "td", "th", "img", "a"]
 _PLACED = ["table", "tr", "td", "th", "/table", "/tr", "/td", "/th", "img", "a"]
 
 
-def table_tokens(pages: DataFrame, keep: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
+def tag_name(tok: Column) -> Column:
+    """Name of a tag, lower case, with '/' for closing tags; the tags that pages use most are known by their beginning."""
+    known = None
+    for name in ("td", "tr", "table", "th", "br", "/table", "/tr", "/td"):
+        hit = tok.startswith(f"<{name}>") | tok.startswith(f"<{name} ")
+        known = F.when(hit, F.lit(name)) if known is None else known.when(hit, F.lit(name))
+    return known.otherwise(F.lower(F.regexp_extract(tok, TAG, 1)))
+
+
+def table_tokens(pages: DataFrame, keep: Sequence[str] = (), partitions: int | None = None, fold: bool = False) -> DataFrame:
     """Tags with the text after them, and their table ``depth``, clustered by page.
 
-    Columns ``pos`` (even, so that a text may be placed at ``pos + 1``), ``tag`` (with '/' for
+    Columns ``pos`` (a multiple of four, so that a text may be placed at ``pos + 1``), ``tag`` (with '/' for
     closing tags), ``tok`` (tags whose attributes are asked for) and ``text``. Compared with one row per tag and per text this
     halves the rows that are sorted, and the tag before a text needs no look-back.
+
+    With ``fold`` the closing tags of a cell and a row, which stand right behind a tag and its text, are part of that row
+    (``_shut``: 0 none, 1 the cell's, 2 the row's); they count from ``pos + 2`` on. The text behind them, which lies in no
+    cell, is left out. That halves the rows once more.
     """
     src = pages.select("page_id", *keep, "html")
     # a fixed count: coalescing by size would pack too many compact pages into one task
     src = src.repartition(partitions or plan.page_partitions(pages), "page_id")
     # compact pages are sorted at little cost; the tags then come out in order, which leaves the sorts below one pass
     src = src.sortWithinPartitions("page_id")
-    toks = F.regexp_extract_all(clean_html(F.col("html")), F.lit(_TAG_AND_TEXT), F.lit(0))
+    toks = F.regexp_extract_all(clean_html(F.col("html")), F.lit(_TAG_AND_SHUT if fold else _TAG_AND_TEXT), F.lit(0))
     long = src.select("page_id", *keep, F.posexplode(toks).alias("_i", "tok"))
-    markup = is_markup(F.col("tok"))
-    tag = F.when(markup, F.lower(F.regexp_extract("tok", TAG, 1))).otherwise(F.lit("/table"))
-    long = long.select("page_id", *keep, (F.col("_i") * 2).alias("pos"), tag.alias("tag"), "tok", markup.alias("_markup"))
-    # where the tag ends: at the only '>', or else where the grammar says
-    end = (F.when(~F.col("_markup"), F.lit(0)).when(F.expr("locate('>', tok, instr(tok, '>') + 1) = 0"), F.expr("instr(tok, '>')"))
+    # a look at two characters, which for most tags needs no pattern
+    markup = F.col("tok").startswith("<t") | F.col("tok").startswith("</") | is_markup(F.col("tok"))
+    long = long.select("page_id", *keep, (F.col("_i") * 4).alias("pos"), "tok", markup.alias("_markup"))
+    tag = F.when(F.col("_markup"), tag_name(F.col("tok"))).otherwise(F.lit("/table"))
+    long = long.select("page_id", *keep, "pos", tag.alias("tag"), "tok", "_markup", F.expr("instr(tok, '>')").alias("_first"))
+    # where the tag ends: at the first '>' if no value in quotes can hold it, or else where the grammar says
+    plain = F.expr("""NOT (contains(substr(tok, _first + 1), '"') OR contains(substr(tok, _first + 1), "'"))""")
+    end = (F.when(~F.col("_markup"), F.lit(0)).when(plain, F.col("_first"))
            .otherwise(F.length(F.regexp_extract("tok", rf"\A(?:{MARKUP})", 0))))
     long = long.withColumn("_end", end)
+    text = "substr(tok, _end + 1)"
+    if fold:
+        # a text as the pattern takes it holds no '</'
+        tail = F.expr("CASE WHEN _markup AND locate('</', tok, _end + 1) > 0 THEN locate('</', tok, _end + 1) ELSE 0 END")
+        long = long.withColumn("_tail", tail)
+        text = "CASE WHEN _tail = 0 THEN substr(tok, _end + 1) ELSE substr(tok, _end + 1, _tail - _end - 1) END"
     # the sorts below move only what is read later: attributes of a few tags, and the text
     long = long.select(
         "page_id", *keep, "pos", "tag", "_markup",
         F.expr(f"CASE WHEN tag IN ({sql_list(_WITH_ATTRS)}) THEN substr(tok, 1, _end) ELSE '' END").alias("tok"),
-        F.expr("substr(tok, _end + 1)").alias("text"),
+        F.expr(text).alias("text"),
+        *([F.expr("CASE WHEN _tail = 0 THEN 0 WHEN lower(substr(tok, _tail)) LIKE '%</tr%' THEN 2 ELSE 1 END").alias("_shut")]
+          if fold else []),
     )
     page = Window.partitionBy("page_id").orderBy("pos")
     closing = F.col("_markup") & (F.col("tag") == "/table")
@@ -429,28 +459,37 @@ def table_tokens(pages: DataFrame, keep: Sequence[str] = (), partitions: int | N
     closed = F.sum(closing.cast("int")).over(page.rowsBetween(Window.unboundedPreceding, -1))
     placed = long.withColumn("depth", F.greatest(F.lit(0), opened - F.coalesce(closed, F.lit(0))))
     # after the window, so that the test does not repeat the expressions above
-    return placed.filter(F.col("tag").isin(_PLACED) | (F.col("text") != ""))
+    shut = F.col("_shut") > 0 if fold else F.lit(False)
+    return placed.filter(F.col("tag").isin(_PLACED) | (F.col("text") != "") | shut)
 
 
-def structure(pages: DataFrame, keep: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
+def structure(pages: DataFrame, keep: Sequence[str] = (), partitions: int | None = None, fold: bool = False) -> DataFrame:
     """Tags of every page with their text, each placed in its table, row and cell.
 
     Adds to :func:`table_tokens`: ``tbl``/``row``/``cell`` (positions of the opening tags),
     ``row_no``/``col_no`` (1-based), ``cell_cls`` (class of the cell) and ``stop`` (position
     where an opened table, row or cell ends, NULL at a truncated end). Missing closing tags do
-    no harm. All these windows share one sort, by page, depth and position.
+    no harm. All these windows share one sort, by page, depth and position. ``fold`` is as there.
     """
-    tokens = table_tokens(pages, keep, partitions)
+    tokens = table_tokens(pages, keep, partitions, fold)
     level = _running(Window.partitionBy("page_id", "depth").orderBy("pos"))
     tag, pos = F.col("tag"), F.col("pos")
     is_tbl, is_row, is_cell = tag == "table", tag == "tr", tag.isin("td", "th")
     closes = F.col("_markup") & (tag == "/table")
 
-    def since(flag: Column, closed: Sequence[str] = ()) -> Column:
+    # closing tags that are part of a row hold from behind it on
+    cell_shut, row_shut = (F.col("_shut") > 0, F.col("_shut") == 2) if fold else (F.lit(False), F.lit(False))
+
+    def since(flag: Column, closed: Sequence[str] = (), shut: Column | None = None) -> Column:
         # -1 once a closing tag ends the element, so text between elements has no owner
-        mark = F.when(flag, pos)
-        mark = mark.when(tag.isin(*closed), F.lit(-1)) if closed else mark
-        return F.last(mark, ignorenulls=True).over(level)
+        if shut is None:
+            return F.last(F.when(flag, pos), ignorenulls=True).over(level)
+        mark = F.when(shut, F.lit(-1)).when(flag, pos).when(tag.isin(*closed), F.lit(-1))
+        if not fold:
+            return F.last(mark, ignorenulls=True).over(level)
+        # the row itself still lies in the element
+        own = F.when(flag, pos).when(tag.isin(*closed), F.lit(-1))
+        return F.coalesce(own, F.last(mark, ignorenulls=True).over(level.rowsBetween(Window.unboundedPreceding, -1)))
 
     def seen(flag: Column) -> Column:
         return F.sum(flag.cast("int")).over(level)
@@ -458,15 +497,15 @@ def structure(pages: DataFrame, keep: Sequence[str] = (), partitions: int | None
     out = tokens.select(
         "*",
         since(is_tbl).alias("tbl"),
-        since(is_row, ["/tr"]).alias("row"),
-        since(is_cell, ["/td", "/th", "/tr"]).alias("cell"),
+        since(is_row, ["/tr"], row_shut).alias("row"),
+        since(is_cell, ["/td", "/th", "/tr"], cell_shut).alias("cell"),
         F.last(F.when(is_cell, F.coalesce(raw_attr(F.col("tok"), "class"), F.lit(""))), ignorenulls=True)
         .over(level).alias("_cls"),
         seen(is_row).alias("_rows"),
         seen(is_cell).alias("_cells"),
         F.when(closes, pos).alias("_tbl_stop"),
         F.when((tag == "tr") | closes, pos).alias("_row_stop"),
-        F.when(tag.isin("td", "th", "/td", "/th", "tr", "/tr") | closes, pos).alias("_cell_stop"),
+        F.when(tag.isin("td", "th", "/td", "/th", "tr", "/tr") | closes, pos).when(cell_shut, pos + 2).alias("_cell_stop"),
     )
     # IGNORE NULLS moves one pointer forward, so the look-ahead stays linear
     nxt = "lead({c}, 1) ignore nulls over (partition by page_id, depth order by pos)"
@@ -476,13 +515,14 @@ def structure(pages: DataFrame, keep: Sequence[str] = (), partitions: int | None
         F.last(F.when(is_row | is_tbl, F.col("_cells")), ignorenulls=True).over(level).alias("_cells0"),
         F.when(is_tbl, F.expr(nxt.format(c="_tbl_stop")))
         .when(is_row, F.expr(nxt.format(c="_row_stop")))
+        .when(is_cell & cell_shut, pos + 2)
         .when(is_cell, F.expr(nxt.format(c="_cell_stop")))
         .alias("stop"),
     )
     in_tbl = F.col("depth") > 0
     in_row = in_tbl & (F.col("row") > F.col("tbl"))
     in_cell = in_row & (F.col("cell") > F.col("row"))
-    kept = [c for c in tokens.columns if c != "_markup"]
+    kept = [c for c in tokens.columns if c not in ("_markup", "_shut")]
     return out.select(
         *kept,
         F.when(in_tbl, F.col("tbl")).alias("tbl"),

@@ -20,7 +20,7 @@ def _raw(kind: str, sel: tuple, gen: int) -> str:
         return D.nth(D.class_texts(sel[0]), sel[1])
     if kind == "cell":
         cell = D.nth(D.cells(sel[0]), sel[1] - 1)
-        return D.nth(D.all_texts(cell) if sel[0] == "cen" else D.own_texts(cell), 0)
+        return D.nth(D.all_texts(cell), 0) if sel[0] == "cen" else D.own_text(cell)
     if kind == "after_br":
         return D.nth(D.texts_after(D.nth(D.cells(sel[0]), sel[1] - 1), "br"), 0)
     if kind in ("aligned", "aligned_icon"):
@@ -33,7 +33,7 @@ def _raw(kind: str, sel: tuple, gen: int) -> str:
     if kind == "icon":
         return D.nth(D.values_in(D.nth(D.cells(sel[0]), sel[1] - 1), starts=sel[2]), 0)
     if kind == "flag":
-        return D.nth(D.own_texts(D.nth(D.cells(sel[0]), sel[1] - 1)), 0)
+        return D.own_text(D.nth(D.cells(sel[0]), sel[1] - 1))
     if kind == "below":
         label, mode, cls, k = sel
         return D.value(label, k, mode, cls=cls)

@@ -211,3 +211,21 @@ def test_noise_is_cut_only_where_there_is_some(spark):
     whole = [r[0] for r in spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "i int, h string").orderBy("i")
              .select(F.regexp_replace("h", html.NOISE, "")).collect()]
     assert got == whole
+
+
+def test_closing_tags_ride_with_the_tag_before(spark):
+    page = ("<table><tr><td>a</td> lost <td class='c'>b<br>c</td>\n</tr> lost <tr><td><table><tr><td>in</td></tr></table>after</td></tr></table>"
+            "<td>out</td>")
+    pages = spark.createDataFrame([(1, page), (2, "</td>")], "page_id LONG, html STRING")
+    shut = html.structure(pages, fold=True)
+    # seven closing tags of page 1 are no rows, the one behind the text "after" is; the one of page 2 has no tag before it
+    assert shut.filter("page_id = 1").count() == 15 and shut.count() == 16
+    docs = {r.page_id: r for r in fields.documents(pages).collect()}
+    assert docs[2].cells == [] and docs[2].texts == []
+    texts = [(t.text, t.direct) for t in docs[1].texts]
+    assert texts == [("a", True), ("b", True), ("c", True), ("in", True), ("after", True)]
+    assert [c.first for c in docs[1].cells] == ["a", "b", None, "in", None]
+    # a cell ends behind its texts and before what follows it
+    cells, at = docs[1].cells, {t.text: t.pos for t in docs[1].texts}
+    assert at["a"] < cells[0].stop < cells[1].pos < at["c"] < cells[1].stop < cells[2].pos
+    assert at["in"] < cells[3].stop < at["after"] < cells[2].stop
